@@ -6,16 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, sharding, token_files
 from .common import table
 
 
+def tokenizer_file(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.balanced_shards(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
+    return token_files.read_token_files(files)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_exact_dedup,)}
+    return {f.__name__: f for f in (op3_sharding, op5_exact_dedup, op8_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
