@@ -112,3 +112,46 @@ def attach_groups(members: DataFrame, groups: DataFrame, key: str, size: str, to
     )
     out = out.join(cold, F.col("__key") == F.col("__cold_key"), "left")
     return out.select(*members.columns, *[F.coalesce(f"__hot_{v}", f"__cold_{v}").alias(v) for v in values])
+
+
+class Scratch:
+    """Named tables of one operator in the shared folder; those that the result does not read can be dropped early."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.paths = spark, name, {}
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.paths[name] = scratch(self.spark, f"{self.name}-{name}")
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for n in names:
+            discard(self.spark, self.paths.pop(n))
+
+
+def components(edges: DataFrame, work: Scratch, rounds: int = 40) -> DataFrame:
+    """node, root (the smallest node that its edges reach) for every node of edges (a, b), by alternating large and small stars.
+
+    Each half-round is one aggregate and one join; edges are written between
+    rounds and none reaches the driver.
+    """
+    key = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    now = work.keep(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges-0")
+    before = now.agg(F.count("*"), key).first()
+    for k in range(1, rounds + 1):
+        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        large = work.keep(large, f"large-{k}")
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
+        small = work.keep(small.filter("a <> b").distinct(), f"edges-{k}")
+        work.drop(f"large-{k}", f"edges-{k - 1}")
+        now, after = small, small.agg(F.count("*"), key).first()
+        if after == before:
+            break
+        before = after
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
