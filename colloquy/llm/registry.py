@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, near_dedup, sharding, token_files
+from . import exact_dedup, near_dedup, sharding, token_files, toxicity
 from .common import table
 
 
@@ -34,8 +34,12 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(files)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op3_sharding, op5_exact_dedup, op8_token_files)}
+    return {f.__name__: f for f in (op1_near_dedup, op3_sharding, op5_exact_dedup, op8_token_files, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
