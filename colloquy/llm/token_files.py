@@ -13,8 +13,10 @@ documents; an empty table gives no rows.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window
@@ -28,9 +30,9 @@ BLOCK_IDS = 1 << 16
 #: Bytes of text that one file takes.
 FILE_TEXT_BYTES = 64 << 20
 #: Entries of a worker's table of encoded words; it starts anew when full.
-CACHE_WORDS = 400_000
-#: Characters that the word tokenizer drops and never joins over.
-BLANKS = str.maketrans("\n\r\t", "   ")
+CACHE_WORDS = 700_000
+#: Texts encoded together.
+TEXTS = 256
 
 
 def split_planes(ids, width: int, kind: str) -> list[bytes]:
@@ -162,22 +164,45 @@ class IdFile:
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
+# The word tokenizer's own splitting rule, for lower-case text in which only the characters below occur.
+_PLAIN = "\\t\\n\\x0b\\x0c\\r -~\\xa0-\\u012f"
+_LETTER, _DIGIT, _BLANK = "a-z\\xaa\\xb5\\xba\\xdf-\\xf6\\xf8-\\u012f", "0-9\\xb2\\xb3\\xb9\\xbc-\\xbe", " \\t\\n\\x0b\\x0c\\r\\xa0"
+WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_BLANK}{_LETTER}{_DIGIT}]+")
+UNUSUAL = re.compile(f"[^{_PLAIN}]")
+#: Runs without white space that hold any other character go to the library as they are.
+OTHER = re.compile(f"([^ \\t\\n\\r]*[^{_PLAIN}][^ \\t\\n\\r]*)")
 
 
 class WordEncoder:
-    """Ids of whole texts by a word tokenizer, each white-space-free run encoded once while the table lasts.
+    """Ids of whole texts by a word tokenizer file, each word encoded once while the table lasts.
 
-    The tokenizer drops white space and its pieces never reach over it, so a
-    text's ids are those of its runs in order.
+    Such a tokenizer drops white space and ends every word's last piece with the
+    suffix for word ends, so a text's ids are those of its words in order, and
+    many words encoded in one call can be told apart.
     """
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import numpy as np
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.seen = Tokenizer.from_file(path), limit, {"": b""}
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.words: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+        described = json.loads(self.tokenizer.to_str())
+        suffix = described["model"].get("end_of_word_suffix")
+        if not suffix:
+            raise ValueError(f"{path} has no suffix for word ends")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for piece, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = piece.endswith(suffix)
+        # the same model for words that are split and in lower case already
+        described["normalizer"] = None
+        described["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+        self.by_words = Tokenizer.from_str(json.dumps(described))
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     @classmethod
     def shared(cls, path: str) -> WordEncoder:
@@ -186,23 +211,51 @@ class WordEncoder:
             _ENCODERS[path] = cls(path)
         return _ENCODERS[path]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """For each text its ids as little-endian 32-bit integers."""
+    def _library(self, run: str) -> bytes:
+        """Ids of a run that the plain rule does not cover."""
+        if (got := self.runs.get(run)) is None:
+            if len(self.runs) > self.limit // 8:
+                self.runs.clear()
+            got = self.runs[run] = array("I", self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
+        return got
+
+    def _learn(self, words: list[str]) -> None:
+        """Encodes new words, many in a call."""
         import numpy as np
 
-        out, seen = [], self.seen
+        for a in range(0, len(words), 512):
+            part = words[a : a + 512]
+            ids = np.array(self.by_words.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer does not split as its words do")
+            whole, at = ids.tobytes(), 0
+            for word, end in zip(part, (4 * ends).tolist()):
+                self.words[word] = whole[at:end]
+                at = end
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """For each text its ids as little-endian 32-bit integers."""
+        split = []
         for text in texts:
-            words = text.translate(BLANKS).split(" ")
-            if new := [w for w in set(words) if w not in seen]:
-                if len(seen) + len(new) > self.limit:
-                    seen = self.seen = {"": b""}
-                    new = list(set(words) - {""})
-                encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-                for a in range(0, len(new), 4096):
-                    for w, e in zip(new[a : a + 4096], encode(new[a : a + 4096], add_special_tokens=False)):
-                        seen[w] = np.array(e.ids, "<u4").tobytes()
-            out.append(b"".join([seen[w] for w in words]))
-        return out
+            if any(x in text for x in self.special):
+                split.append([(text, None)])
+            elif UNUSUAL.search(text):
+                pieces = OTHER.split(text)
+                split.append([(p, None) if k % 2 else (None, WORDS.findall(p.lower())) for k, p in enumerate(pieces)])
+            else:
+                split.append([(None, WORDS.findall(text.lower()))])
+        used: set[str] = set()
+        for pieces in split:
+            for _, words in pieces:
+                if words:
+                    used.update(words)
+        new = used - self.words.keys()
+        if len(self.words) + len(new) > self.limit:
+            self.words, new = {}, used
+        self._learn(list(new))
+        get = self.words.__getitem__
+        return [b"".join([b"".join(map(get, words)) if words is not None else self._library(run) for run, words in pieces]) for pieces in split]
 
 
 def _write(folder: str, path: str, end_id: int | None, kind: str, width: int):
@@ -219,8 +272,8 @@ def _write(folder: str, path: str, end_id: int | None, kind: str, width: int):
             nonlocal docs, ids, seen
             for batch in batches:
                 keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                for a in range(0, len(texts), 256):
-                    for key, coded in zip(keys[a : a + 256], encoder.encode(texts[a : a + 256])):
+                for a in range(0, len(texts), TEXTS):
+                    for key, coded in zip(keys[a : a + TEXTS], encoder.encode(texts[a : a + TEXTS])):
                         row = np.frombuffer(coded + end, "<u4")
                         docs, ids, seen = docs + 1, ids + len(row), True
                         yield key, row
