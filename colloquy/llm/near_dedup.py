@@ -11,9 +11,9 @@ About K ln K + 2K darts a document are thrown however long it is.
 
 Signatures are cut into bands. Documents that share a band are compared with
 one leader of their bucket, then with the best-linked member, then, where a
-bucket still holds several classes, in blocks by signature across classes;
-every link counts only after the exact similarity is computed from the whole
-shingle sets. Classes are the connected components of links of 0.8 or more.
+bucket still holds several classes, across classes in blocks, best estimates
+first; every link counts only after the exact similarity is computed from the
+whole shingle sets. Classes are the connected components of links of 0.8 or more.
 
 Defined results: documents with the same words are one node, so copies never
 multiply pairs; a document of fewer than five words has one shingle of all its
@@ -41,7 +41,7 @@ K = 240
 #: Standard deviations below the threshold at which an estimate excludes a pair.
 MARGIN = 4.0
 #: Rows of a bucket that are compared in memory at once.
-BLOCK_ROWS = 10_000
+BLOCK_ROWS = 2_000
 WORD = re.compile(r"\w+")
 NO_ID = -(1 << 63)
 
@@ -221,27 +221,40 @@ def _similarities(batches: Iterator):
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sims, pa.float64())], ["a", "b", "sim"])
 
 
-def _across(least: float):
-    """Pairs of one block of a bucket that lie in different classes and whose estimate reaches `least`."""
+def _across(threshold: float, least: float):
+    """Links between different classes of one block of a bucket, as many as join classes and no more.
+
+    A pair is compared if its estimate reaches `least`, in the first bucket that
+    it shares; the exact similarity decides.
+    """
 
     def run(group):
         import numpy as np
         import pyarrow as pa
 
-        nodes, roots = group.column("node").to_pylist(), np.array(group.column("root").to_pylist())
-        sides = np.array(group.column("side").to_pylist())
+        nodes = group.column("node").to_pylist()
+        _, kind = np.unique(np.array(group.column("root").to_pylist()), return_inverse=True)
+        sides, bucket = np.array(group.column("side").to_pylist()), group.column("bucket")[0].as_py()
         sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), "<u2").reshape(len(nodes), -1)
+        bands = np.array(group.column("bands").to_pylist(), np.int64)
+        own = (bands == bucket).argmax(axis=1)
+        elements = [np.frombuffer(x, "<u8") for x in group.column("e").to_pylist()]
+        counts = [np.frombuffer(x, "<i4") for x in group.column("c").to_pylist()]
+        size = np.array([c.sum() for c in counts])
         left, right = np.flatnonzero((sides == 0) | (sides == 2)), np.flatnonzero((sides == 1) | (sides == 2))
         a, b = [], []
         for i in left:
-            js = right[roots[right] != roots[i]]
+            js = right[kind[right] != kind[i]]
             js = js[js > i] if sides[i] == 2 else js
-            if len(js):
-                for j in js[(sketch[js] == sketch[i]).mean(axis=1) >= least]:
-                    x, y = nodes[i], nodes[j]
-                    a.append(min(x, y))
-                    b.append(max(x, y))
-        return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
+            js = js[np.minimum(size[js], size[i]) >= threshold * np.maximum(size[js], size[i])]
+            js = js[~(bands[js, : own[i]] == bands[i, : own[i]]).any(axis=1)]
+            estimate = (sketch[js] == sketch[i]).mean(axis=1)
+            for j in js[np.argsort(-estimate, kind="stable")][: int((estimate >= least).sum())]:
+                if kind[i] != kind[j] and weighted_jaccard(elements[i], counts[i], elements[j], counts[j]) >= threshold:
+                    a.append(min(nodes[i], nodes[j]))
+                    b.append(max(nodes[i], nodes[j]))
+                    kind[kind == kind[j]] = kind[i]
+        return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string()), "sim": pa.array([1.0] * len(a), pa.float64())})
 
     return run
 
@@ -298,16 +311,16 @@ def near_classes(
     tested = tested.unionByName(more)
     roots = rooted(tested, "roots-2")
     # 3. what is still apart: across classes, by estimate, in blocks
-    sketches = nodes.select("node", "sketch")
     blocks = F.greatest(F.ceil(F.col("n") / F.lit(block_rows)), F.lit(1)).cast("int")
     left = work.keep(unsettled(roots), "open-3").withColumn("blocks", blocks)
     left = left.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     to = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))
     dealt = left.withColumn("to", F.explode(to)).withColumn("side", F.when(F.col("to.i") == F.col("to.j"), 2).when(F.col("block") == F.col("to.i"), 0).otherwise(1))
-    dealt = dealt.select("bucket", F.col("to.i").alias("i"), F.col("to.j").alias("j"), "side", "node", "root").join(sketches, "node")
+    dealt = dealt.select("bucket", F.col("to.i").alias("i"), F.col("to.j").alias("j"), "side", "node", "root")
+    dealt = dealt.join(nodes.select("node", "sketch", "bands"), "node").join(sets, "node")
     least = threshold - MARGIN * math.sqrt(threshold * (1 - threshold) / k)
-    pairs = dealt.groupBy("bucket", "i", "j").applyInArrow(_across(least), "a string, b string").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    tested = tested.unionByName(links(pairs, "tested-3"))
+    across = dealt.groupBy("bucket", "i", "j").applyInArrow(_across(threshold, least), "a string, b string, sim double")
+    tested = tested.unionByName(work.keep(across, "tested-3"))
     roots = work.keep(rooted(tested, "roots-3"), "roots")
 
     joined = nodes.select("node", "rep", "rows").join(roots, F.col("node") == F.col("__n"), "left").withColumn("root", F.coalesce("root", "node"))
