@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, near_dedup, sharding, token_files, toxicity
+from . import decontaminate, exact_dedup, language_id, near_dedup, sharding, token_files, toxicity
 from .common import table
 
 
@@ -29,6 +29,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,7 +47,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op3_sharding, op5_exact_dedup, op7_decontaminate, op8_token_files, op10_toxicity)}
+    return {f.__name__: f for f in (op1_near_dedup, op3_sharding, op5_exact_dedup, op6_language_id, op7_decontaminate, op8_token_files, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
