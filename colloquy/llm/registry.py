@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, language_id, near_dedup, sharding, token_files, toxicity
+from . import decontaminate, exact_dedup, language_id, near_dedup, sentencepieces, sharding, token_files, toxicity
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.piece_digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.balanced_shards(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op3_sharding, op5_exact_dedup, op6_language_id, op7_decontaminate, op8_token_files, op10_toxicity)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_sentencepieces, op3_sharding, op5_exact_dedup, op6_language_id, op7_decontaminate, op8_token_files, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
