@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, language_id, near_dedup, sentencepieces, sharding, token_files, toxicity
+from . import decontaminate, exact_dedup, language_id, near_dedup, sentencepieces, sharding, token_files, toxicity, warc
 from .common import table
 
 
@@ -46,12 +46,16 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(files)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op2_sentencepieces, op3_sharding, op5_exact_dedup, op6_language_id, op7_decontaminate, op8_token_files, op10_toxicity)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_sentencepieces, op3_sharding, op5_exact_dedup, op6_language_id, op7_decontaminate, op8_token_files, op9_warc, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
