@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, language_id, near_dedup, sentencepieces, sharding, token_files, toxicity, warc
+from . import decontaminate, exact_dedup, katz, language_id, near_dedup, sentencepieces, sharding, token_files, toxicity, warc
 from .common import table
 
 
@@ -29,6 +29,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.balanced_shards(table(spark, sf_dir, "documents"))
 
 
+def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.katz_scores(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
@@ -55,7 +59,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op2_sentencepieces, op3_sharding, op5_exact_dedup, op6_language_id, op7_decontaminate, op8_token_files, op9_warc, op10_toxicity)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_sentencepieces, op3_sharding, op4_katz, op5_exact_dedup, op6_language_id, op7_decontaminate, op8_token_files, op9_warc, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
