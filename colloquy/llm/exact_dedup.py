@@ -213,7 +213,7 @@ def exact_dedup(df: DataFrame, text: str = "text", key: str = "doc_id", **option
     carry = [c for c in df.columns if c != text]
     kept = grace_dedup(df, text, key, carry, **options)
     back = {c: F.col(f"__c{k}") for k, c in enumerate(carry)}
-    back[text] = F.when(~F.col("__null"), F.decode(F.col("__text"), F.lit("utf-8")))
+    back[text] = F.when(~F.col("__null"), F.col("__text").cast("string"))
     return kept.select(*[back[c].alias(c) for c in df.columns])
 
 
