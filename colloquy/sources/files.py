@@ -14,7 +14,7 @@ POST_ID = re.compile(r"^[a-z0-9]+$", re.I)
 
 
 def sniff_encoding(spark: SparkSession, path: str, sample: int = 1 << 20) -> str:
-    """UTF-8 if the first bytes are, else windows-1252 (no detector is bundled); read through Spark, so any store will do."""
+    """UTF-8 if the first bytes are, else the single-byte one; read through Spark, so any store will do."""
     head = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, sample).alias("head")).first()
     if head is None:
         return "UTF-8"
@@ -22,15 +22,22 @@ def sniff_encoding(spark: SparkSession, path: str, sample: int = 1 << 20) -> str
         bytes(head["head"]).decode("utf-8")
     except UnicodeDecodeError as error:
         # a character cut off by the sample is no proof
-        return "UTF-8" if error.start >= sample - 4 else "windows-1252"
+        return "UTF-8" if error.start >= sample - 4 else "ISO-8859-1"
     return "UTF-8"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """All columns as text; empty cells are empty, not null; quoted line ends and doubled quotes stay."""
-    options = {"header": True, "encoding": sniff_encoding(spark, path), "multiLine": True, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0000"}
+    encoding = sniff_encoding(spark, path)
+    options = {"header": True, "encoding": encoding, "multiLine": True, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0000"}
     reader = spark.read.options(**options)
-    return (reader.schema(schema) if schema else reader).csv(path).na.fill("")
+    df = (reader.schema(schema) if schema else reader).csv(path).na.fill("")
+    if encoding != "UTF-8":
+        # windows-1252, which readers do not take by name, differs from the other in these characters only
+        pairs = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(128, 160)]
+        old, new = ("".join(x) for x in zip(*[p for p in pairs if p[1]]))
+        df = df.select(*[F.translate(c, old, new).alias(c) for c in df.columns])
+    return df
 
 
 def write_csv(df: DataFrame, path: str, columns: list[str], exact: bool = True) -> bool:

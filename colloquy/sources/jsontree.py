@@ -94,13 +94,16 @@ def assemble(pages: DataFrame, thread: str = "thread_id", cursor: str = "cursor"
 
     Pages are reached breadth-first, one join a level; comments are numbered by
     (place of the page, place on it), the first of an id counts, then caps apply.
-    truncated: a cap was hit, or a cursor leads to a page that has not landed.
+    truncated: a cap was hit, a cursor leads to a page that has not landed, or
+    cursors lead in a circle.
     """
     from ..session import cut
 
     landed = pages.select(F.col(thread).alias("t"), F.col(cursor).alias("c"), "payload")
+    # a path over cursors that does not repeat a page is no longer than the thread's pages; longer ones go round in circles
+    longest = landed.groupBy("t").count().agg(F.max("count")).first()[0] or 0
     level = landed.filter("c is null").select("t", F.lit("").alias("c"), F.lit(0).alias("d"), F.lit("").alias("place"), "payload")
-    reached, missing = level, None
+    reached, missing, steps_left = level, None, min(longest, max_pages or longest)
     while True:
         links = cursors(level, ["t", "c", "place"], base_depth="d")
         order = F.concat_ws("/", "place", F.lpad(F.col("n").cast("string"), 9, "0"))
@@ -111,8 +114,12 @@ def assemble(pages: DataFrame, thread: str = "thread_id", cursor: str = "cursor"
         gone = found.filter("payload is null").select("t").distinct()
         missing = gone if missing is None else missing.unionByName(gone)
         level = found.filter("payload is not null")
+        steps_left -= 1
         if level.isEmpty():
             break
+        if steps_left <= 0:
+            missing = missing.unionByName(level.select("t").distinct())
+            break
         reached = reached.unionByName(level)
     # breadth first: fewer steps from the first page come first
     steps = F.size(F.split("place", "/"))
