@@ -42,6 +42,8 @@ K = 240
 MARGIN = 4.0
 #: Rows of a bucket that are compared in memory at once.
 BLOCK_ROWS = 2_000
+#: Below so many elements, darts of an element are thrown together.
+FEW = 3_000
 WORD = re.compile(r"\w+")
 NO_ID = -(1 << 63)
 
@@ -50,9 +52,12 @@ def mix(x):
     """splitmix64's finaliser on an array of unsigned 64-bit integers."""
     import numpy as np
 
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 class WordHashes(dict):
@@ -122,25 +127,34 @@ def _throw(keys, low, width, top, limit, k):
     import numpy as np
 
     ranks, at, ids = [], [], []
-    active, base, j = np.arange(len(keys)), np.zeros(len(keys)), 0
-    while len(active):
-        ahead = min(max(1, math.ceil((limit * width[active]).max() * 1.1)), 1 + 200_000 // len(active))
+    base, j = np.zeros(len(keys)), 0
+    while len(keys):
+        # many elements take one dart each; few take as many as they may need at once
+        ahead = 1 if len(keys) >= FEW else min(max(1, math.ceil(limit * width.max() * 1.1)), 4096)
         steps = np.arange(j + 1, j + ahead + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        dart = mix(keys[active][:, None] + steps[None, :])
-        unit = ((dart >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
-        gaps = -np.log(unit) / width[active][:, None]
-        gaps[:, 0] += base[active]
-        rank = np.cumsum(gaps, axis=1)  # one addition after another, so that a dart's rank does not depend on `ahead`
+        dart = mix((keys[:, None] + steps[None, :]).ravel())
+        gap = np.log(((dart >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53)
+        if ahead == 1:
+            rank = base - gap / width
+            own = np.flatnonzero(rank <= limit)
+            last = rank
+        else:
+            gap = -gap.reshape(-1, ahead) / width[:, None]
+            gap[:, 0] += base
+            rank = np.cumsum(gap, axis=1)  # one addition after another, as with single darts
+            last = rank[:, -1]
+            rank = rank.ravel()
+            own = np.flatnonzero(rank <= limit)
+        rank, dart, whose = rank[own], dart[own], own // ahead
         other = mix(dart ^ np.uint64(0xA0761D6478BD642F))
-        height = low[active][:, None] + width[active][:, None] * ((other >> np.uint64(11)).astype(float) * 2.0**-53)
-        hit = (rank <= limit) & (height < top[active][:, None])
+        hit = low[whose] + width[whose] * ((other >> np.uint64(11)).astype(float) * 2.0**-53) < top[whose]
         ranks.append(rank[hit])
         ids.append(dart[hit])
         at.append((mix(other[hit]) % np.uint64(k)).astype(np.int64))
-        base[active] = rank[:, -1]
-        active, j = active[rank[:, -1] <= limit], j + ahead
+        going = np.flatnonzero(last <= limit)
+        keys, base, low, width, top, j = keys[going], last[going], low[going], width[going], top[going], j + ahead
     ranks, ids, at = map(np.concatenate, (ranks, ids, at))
-    order = np.lexsort((ids, ranks))[::-1]
+    order = np.argsort(-ranks, kind="stable")
     out, marks = np.zeros(k, np.uint64), np.zeros(k, np.int8)
     out[at[order]] = ids[order]  # the last written, that is the earliest, stays
     marks[at] = 1
