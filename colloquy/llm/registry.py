@@ -51,7 +51,8 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive_pages(table(spark, sf_dir, "pages"))
+    out = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,4 +69,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                    doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+        "op9_warc": """
+            WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+            d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS latest FROM p),
+            b AS (SELECT *, array_to_string(list_transform(string_split(x, ''), lambda c: lpad(bin(('0x' || c)::INT), 4, '0')), '') AS bits FROM d)
+            SELECT page_id, payload_bytes,
+                   array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(list_sum(list_transform(range(5), lambda k:
+                       substr(bits, CAST(5 * i + k + 1 AS INT), 1)::INT * [16, 8, 4, 2, 1][CAST(k + 1 AS INT)])) AS INT), 1)), '') AS payload_digest,
+                   CASE WHEN page_id = latest THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> latest THEN latest END AS refers_to
+            FROM b""",
     }
