@@ -350,7 +350,8 @@ def near_classes(
 def near_dedup(df: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """df without the rows that are not the first of their class (smallest key); columns as in df.
 
-    Where several rows repeat a kept key, all of those rows stay.
+    Where several rows repeat a key, all of them stay if any of them is kept.
     """
-    gone = near_classes(df, text, key, **options).filter("not kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__gone")).distinct()
+    rows = near_classes(df, text, key, **options).groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("__gone"))
+    gone = rows.agg(F.bool_or("kept").alias("kept")).filter("not kept").select("__gone")
     return df.join(gone, F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)) == F.col("__gone"), "left_anti").select(*df.columns)
