@@ -11,7 +11,7 @@ occurrence would cost many times the input. So texts become chunks of some
 million tokens (a list of word hashes and the tokens as places in it), and
 chunks and model partitions exchange sorted, packed blocks:
 
-  1. chunks: one row each, in a table of the shared folder;
+  1. chunks: one row each, in a bucketed table of the warehouse;
   2. words: each chunk sends its words' counts to the partition of their hash;
      partitions add them up and answer every chunk with the totals;
   3. pairs: each chunk sends its pairs' counts, with the words' totals, to the
@@ -34,6 +34,7 @@ empty result.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -47,9 +48,9 @@ from .near_dedup import mix
 HELD_OUT = (10, 0)
 #: Counts above this are not discounted.
 LARGEST = 5
-CHUNK_TOKENS = 1_500_000
+CHUNK_TOKENS = 1_200_000
 #: Bytes of text for each model partition.
-PARTITION_TEXT = 24 << 20
+PARTITION_TEXT = 16 << 20
 #: A context is spread if it has more than 1 / (SPREAD_SHARE * partitions) of the training tokens; over so many partitions.
 SPREAD_SHARE, SPREAD = 4, 64
 END = b" "
@@ -329,11 +330,10 @@ def _pair_blocks(parts: int, large):
             c = Chunk(row, _answers_by_kind(right), parts, large)
             n = np.bincount(c.place[_train_mask(c.ids, c.lengths)], minlength=len(c.left))
             for a, b in _cuts(c.part):
-                inner = list(_cuts(c.left[a:b]))
-                starts = np.array([a + x for x, _ in inner])
-                contexts = c.left[starts]
+                starts = np.concatenate([[0], np.flatnonzero(np.diff(c.left[a:b])) + 1])
+                contexts = c.left[a + starts]
                 rows.append((
-                    int(c.part[a]), row["chunk"], pack_sorted(c.words[contexts]), pack(np.array([y - x for x, y in inner])),
+                    int(c.part[a]), row["chunk"], pack_sorted(c.words[contexts]), pack(np.diff(starts, append=b - a)),
                     pack(c.words[c.right[a:b]] >> np.uint64(16)), pack(n[a:b]), pack(c.counts[c.right[a:b]]),
                 ))
         kinds = (pa.int32(), pa.string(), *[pa.binary()] * 5)
@@ -423,7 +423,10 @@ def katz_scores(df: DataFrame, text: str = "text", key: str = "doc_id", chunk_to
     docs = df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = shuffle_partitions(spark, size, partition_text)
-    chunks = work.keep(docs.mapInArrow(_chunks(chunk_tokens), CHUNK), "chunks")
+    # in buckets by chunk, so that the two steps that bring answers to the chunks do not shuffle them
+    name = f"katz_chunks_{uuid.uuid4().hex[:12]}"
+    docs.mapInArrow(_chunks(chunk_tokens), CHUNK).write.bucketBy(parts, "chunk").option("compression", "none").saveAsTable(name)
+    chunks = spark.table(name)
 
     # words; a word is a large context above this count, and fewer than spread_share * parts words can be
     tokens_bound = chunks.agg(F.sum(F.size("ids"))).first()[0] or 0
