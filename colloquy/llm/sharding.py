@@ -2,9 +2,10 @@
 
 Rows with equal texts are linked. Each linked row starts in an even spread over
 the shards; in every round the rows of a group ask to move to the shard that
-holds most of their neighbours and still has room, and a driver-side quota for
-each pair of shards (a matrix of shards x shards) admits exchanges and free
-capacity, largest gain first. Rows without links have no preference and fill
+holds most of their neighbours and still has room (those of a group larger than
+a shard to several such shards), and a driver-side quota for each pair of shards
+(a matrix of shards x shards) admits exchanges and free capacity, largest gain
+first, until no move is admitted. Rows without links have no preference and fill
 what is left, so the counts of any two shards differ by one row at most.
 
 Within a group and shard rows are alike, so the state of a round is one row for
@@ -17,15 +18,19 @@ gives an empty result. Law `rows`; grown_shard is null.
 
 from __future__ import annotations
 
+import itertools
+import logging
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import attach_groups, materialize, shuffle_partitions, text_or_empty
 
+log = logging.getLogger(__name__)
+
 SHARDS = 40
-ROUNDS = 6
-#: A round that moves less than this share of the linked rows is the last.
-SETTLED = 0.002
+#: None: until no move is admitted.
+ROUNDS = None
 #: Parts in which the rows of a large group are numbered.
 PARTS = 64
 
@@ -56,20 +61,39 @@ def quotas(want: dict[tuple[int, int], int], spare: list[int]) -> dict[tuple[int
     return {k: n for k, n in allowed.items() if n}
 
 
-def propagate(state: DataFrame, capacity: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """state: g, shard, n (rows of group g in shard). Returns it after the rounds; no shard exceeds its capacity."""
+def wished(state: DataFrame, room: list[int], least: int, salt: int) -> DataFrame:
+    """g, n, i, j, gain: rows that ask to move from shard i to shard j, where their group has more rows and there is room.
+
+    A group of at most `least` rows, which fits any shard, asks for one target.
+    A larger one fills its targets one after the other, the fullest first, from
+    its smallest shards; such groups are fewer than the shards, so their rows are
+    broadcast. A target only gains and a source only loses, and a target has at
+    least as many rows, so moves always raise the sum of n x n.
+    """
+    weight = F.struct(F.col("n"), F.xxhash64("g", "shard", F.lit(salt)), F.col("shard"))
+    per_group = Window.partitionBy("g")
+    rows = state.withColumn("room", F.element_at(F.array(*[F.lit(x).cast("long") for x in room]), F.col("shard") + 1))
+    rows = rows.withColumn("weight", weight).withColumn("size", F.sum("n").over(per_group))
+    rows = rows.withColumn("best", F.max(F.when(F.col("room") > 0, F.col("weight"))).over(per_group))
+    small = rows.filter((F.col("size") <= least) & (F.col("weight") < F.col("best")))
+    small = small.select("g", "n", F.col("shard").alias("i"), F.col("best.shard").alias("j"), (F.col("best.n") - F.col("n")).alias("gain"))
+
+    large = rows.filter(F.col("size") > least)
+    upward, downward = per_group.orderBy("weight"), per_group.orderBy(F.desc("weight"))
+    source = large.select("g", F.col("shard").alias("i"), F.col("n").alias("__n"), F.col("weight").alias("__own"), F.sum("n").over(upward).alias("__s"))
+    target = large.select("g", F.col("shard").alias("j"), F.col("n").alias("__to"), F.col("weight").alias("__other"), "room", F.sum("room").over(downward).alias("__r"))
+    overlap = F.least("__s", "__r") - F.greatest(F.col("__s") - F.col("__n"), F.col("__r") - F.col("room"))
+    large = source.join(F.broadcast(target.filter("room > 0")), "g").withColumn("n", overlap).filter((F.col("n") > 0) & (F.col("__own") < F.col("__other")))
+    return small.unionByName(large.select("g", "n", "i", "j", (F.col("__to") - F.col("__n")).alias("gain")))
+
+
+def propagate(state: DataFrame, capacity: list[int], rounds: int | None = ROUNDS) -> DataFrame:
+    """state: g, shard, n (rows of group g in shard). Returns it when no move is admitted, or after the rounds; no shard exceeds its capacity."""
     spark, shards = state.sparkSession, len(capacity)
-    for k in range(rounds):
+    for k in itertools.count() if rounds is None else range(rounds):
         used = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # a row a shard
         spare = [capacity[s] - used.get(s, 0) for s in range(shards)]
-        open_to = F.array(*[F.lit(x > 0) for x in spare])
-        # neighbours' shard: the largest count, among shards with room or already larger; ties by hash
-        weight = F.struct(F.col("n"), F.xxhash64("g", "shard"), F.col("shard"))
-        per_group = Window.partitionBy("g")
-        best = F.max(F.when(F.element_at(open_to, F.col("shard") + 1), weight)).over(per_group)
-        wishes = state.withColumn("__best", best).filter((F.col("__best.shard") != F.col("shard")) & (weight < F.col("__best")))
-        wishes = wishes.select("g", "n", F.col("shard").alias("i"), F.col("__best.shard").alias("j"), (F.col("__best.n") - F.col("n")).alias("gain"))
-        wishes = materialize(wishes, f"shard-wishes-{k}")
+        wishes = materialize(wished(state, spare, min(capacity), 0), f"shard-wishes-{k}")
         want = {(r["i"], r["j"]): r["n"] for r in wishes.groupBy("i", "j").agg(F.sum("n").alias("n")).collect()}  # shards x shards
         allowed = quotas(want, spare)
         if not allowed:
@@ -81,12 +105,11 @@ def propagate(state: DataFrame, capacity: list[int], rounds: int = ROUNDS) -> Da
         change = moved.select("g", F.inline(F.array(F.struct(F.col("i").alias("shard"), (-F.col("m")).alias("n")), F.struct(F.col("j").alias("shard"), F.col("m").alias("n")))))
         state = state.unionByName(change).groupBy("g", "shard").agg(F.sum("n").alias("n")).filter("n > 0")
         state = materialize(state, f"shard-state-{k}")
-        if sum(allowed.values()) < SETTLED * max(sum(used.values()), 1):
-            break
+        log.debug("round %d: %d rows wish to move, %d may", k, sum(want.values()), sum(allowed.values()))
     return state
 
 
-def balanced_shards(df: DataFrame, text: str = "text", key: str = "doc_id", shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def balanced_shards(df: DataFrame, text: str = "text", key: str = "doc_id", shards: int = SHARDS, rounds: int | None = ROUNDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, and linked: whether another row has the same text."""
     spark = df.sparkSession
     content = text_or_empty(text)

@@ -48,3 +48,12 @@ def test_quotas_never_overfill():
         change[i] -= n
         change[j] += n
     assert all(change[s] <= room for s, room in enumerate([0, 3, 0]))
+
+
+def test_a_hot_group_fills_whole_shards_with_production_settings(spark):
+    rows = [(i, "hot" if i % 3 == 0 else f"t{i // 9}" if i % 3 == 1 else f"u{i}") for i in range(12000)]
+    got = S.balanced_shards(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    check(rows, got, S.SHARDS)
+    hot = Counter(r.shard for r in got if rows[r.doc_id][1] == "hot")
+    fullest = sorted(hot.values(), reverse=True)[:14]  # 4000 rows, 300 a shard
+    assert sum(fullest) > 0.6 * 4000
