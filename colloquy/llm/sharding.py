@@ -1,11 +1,11 @@
 """Sharding by balanced label propagation.
 
-Rows with equal texts are linked. Each linked row starts in an even spread over
-the shards; in every round the rows of a group ask to move to the shard that
-holds most of their neighbours and still has room (those of a group larger than
-a shard to several such shards), and a driver-side quota for each pair of shards
-(a matrix of shards x shards) admits exchanges and free capacity, largest gain
-first, until no move is admitted. Rows without links have no preference and fill
+Rows with equal texts are linked. Groups larger than a shard start in whole shards,
+each other linked row in an even spread over the rest; in every round the rows of a group ask to move to the shard that
+holds most of their neighbours (those of a group larger than a shard to several),
+in turn among all shards and among those with room, and a driver-side quota for
+each pair of shards (a matrix of shards x shards) admits exchanges, free capacity
+and cycles through full shards, largest gain first, until no move is admitted. Rows without links have no preference and fill
 what is left, so the counts of any two shards differ by one row at most.
 
 Within a group and shard rows are alike, so the state of a round is one row for
@@ -21,7 +21,7 @@ from __future__ import annotations
 import itertools
 import logging
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import attach_groups, materialize, shuffle_partitions, text_or_empty
@@ -31,6 +31,8 @@ log = logging.getLogger(__name__)
 SHARDS = 40
 #: None: until no move is admitted.
 ROUNDS = None
+#: Rounds in a row without an admitted move, half of them of each kind, that end the propagation.
+IDLE = 4
 #: Parts in which the rows of a large group are numbered.
 PARTS = 64
 
@@ -49,22 +51,63 @@ def numbered(df: DataFrame, by: list[str], name: str, parts: int) -> DataFrame:
     return out.withColumn(name, F.col("__within") + F.col("__before")).drop("__part", "__within", "__before")
 
 
+def shard_of(rank: str, ends: list[int]) -> Column:
+    """The shard of a rank, where each shard takes the ranks below its end that those before it leave."""
+    return F.aggregate(F.array(*[F.lit(e).cast("long") for e in ends]), F.lit(0), lambda n, e: n + (F.col(rank) >= e).cast("int"))
+
+
 def quotas(want: dict[tuple[int, int], int], spare: list[int]) -> dict[tuple[int, int], int]:
-    """Rows that may move from shard to shard: exchanges in pairs, then into free capacity, fullest wish first."""
+    """Rows that may move from shard to shard: exchanges in pairs, then into free capacity, fullest wish first, then in cycles."""
     allowed = {(i, j): min(n, want.get((j, i), 0)) for (i, j), n in want.items()}
     room = list(spare)
-    for (i, j), n in sorted(want.items(), key=lambda x: (-x[1], x[0])):
-        more = min(n - allowed[i, j], max(room[j], 0))
-        allowed[i, j] += more
-        room[j] -= more
-        room[i] += more
+    going = True
+    while going:  # a move out of a full shard makes room there
+        going = False
+        for (i, j), n in sorted(want.items(), key=lambda x: (-x[1], x[0])):
+            if (more := min(n - allowed[i, j], max(room[j], 0))) > 0:
+                allowed[i, j] += more
+                room[j] -= more
+                room[i] += more
+                going = True
+    rest: dict[int, dict[int, int]] = {}
+    for (i, j), n in sorted(want.items()):
+        if n > allowed[i, j]:
+            rest.setdefault(i, {})[j] = n - allowed[i, j]
+    path: list[int] = []
+    while rest:
+        if not path:
+            path.append(min(rest))
+        onward = rest.get(path[-1])
+        if not onward:  # no cycle leads through a shard that no row wishes to leave
+            last = path.pop()
+            rest.pop(last, None)
+            if path:
+                rest[path[-1]].pop(last)
+            continue
+        to = max(onward, key=lambda j: (onward[j], -j))
+        if to not in path:
+            path.append(to)
+            continue
+        cycle = [*path[path.index(to) :], to]
+        steps = list(zip(cycle, cycle[1:]))
+        n = min(rest[i][j] for i, j in steps)
+        for i, j in steps:
+            allowed[i, j] += n
+            rest[i][j] -= n
+            if not rest[i][j]:
+                del rest[i][j]
+        path = path[: path.index(to) + 1]
     return {k: n for k, n in allowed.items() if n}
 
 
-def wished(state: DataFrame, room: list[int], least: int, salt: int) -> DataFrame:
-    """g, n, i, j, gain: rows that ask to move from shard i to shard j, where their group has more rows and there is room.
+def wished(state: DataFrame, spare: list[int], capacity: list[int], salt: int) -> DataFrame:
+    """g, n, i, j, gain: rows that ask to move from shard i to shard j, where their group has more rows.
+
+    Targets are the shards with spare places; without a list of those every
+    shard, also a full one, which may give up all rows of other groups. Ties
+    fall by salt, so that a wish without a partner may turn round.
 
-    A group of at most `least` rows, which fits any shard, asks for one target.
+    A group that fits any shard asks for one target.
     A larger one fills its targets one after the other, the fullest first, from
     its smallest shards; such groups are fewer than the shards, so their rows are
     broadcast. A target only gains and a source only loses, and a target has at
@@ -72,9 +115,11 @@ def wished(state: DataFrame, room: list[int], least: int, salt: int) -> DataFram
     """
     weight = F.struct(F.col("n"), F.xxhash64("g", "shard", F.lit(salt)), F.col("shard"))
     per_group = Window.partitionBy("g")
-    rows = state.withColumn("room", F.element_at(F.array(*[F.lit(x).cast("long") for x in room]), F.col("shard") + 1))
+    least = min(capacity)
+    room = F.element_at(F.array(*[F.lit(x).cast("long") for x in spare or capacity]), F.col("shard") + 1)
+    rows = state.withColumn("room", room if spare else room - F.col("n"))
     rows = rows.withColumn("weight", weight).withColumn("size", F.sum("n").over(per_group))
-    rows = rows.withColumn("best", F.max(F.when(F.col("room") > 0, F.col("weight"))).over(per_group))
+    rows = rows.withColumn("best", F.max(F.when(F.col("room") > 0, F.col("weight")) if spare else F.col("weight")).over(per_group))
     small = rows.filter((F.col("size") <= least) & (F.col("weight") < F.col("best")))
     small = small.select("g", "n", F.col("shard").alias("i"), F.col("best.shard").alias("j"), (F.col("best.n") - F.col("n")).alias("gain"))
 
@@ -89,15 +134,25 @@ def wished(state: DataFrame, room: list[int], least: int, salt: int) -> DataFram
 
 def propagate(state: DataFrame, capacity: list[int], rounds: int | None = ROUNDS) -> DataFrame:
     """state: g, shard, n (rows of group g in shard). Returns it when no move is admitted, or after the rounds; no shard exceeds its capacity."""
-    spark, shards = state.sparkSession, len(capacity)
+    spark, shards, idle = state.sparkSession, len(capacity), 0
     for k in itertools.count() if rounds is None else range(rounds):
         used = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # a row a shard
         spare = [capacity[s] - used.get(s, 0) for s in range(shards)]
-        wishes = materialize(wished(state, spare, min(capacity), 0), f"shard-wishes-{k}")
+        # in turn: any shard may be wished for, and rows change places; then only shards with room
+        if exchange := k % 2 == 0:
+            wishes = wished(state, [], capacity, k)
+        else:
+            wishes = wished(state, spare, capacity, k)
+        wishes = materialize(wishes, f"shard-wishes-{k}")
         want = {(r["i"], r["j"]): r["n"] for r in wishes.groupBy("i", "j").agg(F.sum("n").alias("n")).collect()}  # shards x shards
+        if exchange and not want:
+            break  # every group has met
         allowed = quotas(want, spare)
-        if not allowed:
+        idle = 0 if allowed else idle + 1
+        if idle == IDLE:
             break
+        if not allowed:
+            continue
         quota = spark.createDataFrame([(i, j, n) for (i, j), n in allowed.items()], "i int, j int, quota long")
         order = Window.partitionBy("i", "j").orderBy(F.desc("gain"), F.xxhash64("g"), "g").rowsBetween(Window.unboundedPreceding, -1)
         moved = wishes.withColumn("__before", F.coalesce(F.sum("n").over(order), F.lit(0))).join(F.broadcast(quota), ["i", "j"])
@@ -129,9 +184,22 @@ def balanced_shards(df: DataFrame, text: str = "text", key: str = "doc_id", shar
     base = materialize(attach_groups(base, sizes, "g", "group_size", total, "__uid"), "shard-linked")
     linked, free = base.filter("group_size is not null"), base.filter("group_size is null")
 
-    # an even start: the rank over all linked rows, modulo the shards, never exceeds a capacity
-    start = numbered(linked.select("__uid", "g"), [], "__n", parts)
-    state = start.groupBy("g", F.pmod("__n", F.lit(shards)).cast("int").alias("shard")).agg(F.count("*").alias("n"))
+    # the start: groups larger than a shard, fewer than the shards, fill whole shards one after the other ...
+    large = sizes.filter(F.col("group_size") > min(capacity)).orderBy(F.desc("group_size"), "g").collect()
+    packed, left, s = [], list(capacity), 0
+    for g, n in large:
+        while n:
+            m = min(n, left[s])
+            if m:
+                packed.append((g, s, m))
+            n, left[s] = n - m, left[s] - m
+            s += not left[s]
+    # ... and the other linked rows spread over what is left in even shares, which never exceed it
+    start = linked.filter(F.col("group_size") <= min(capacity)).select("__uid", "g")
+    many, open_places = start.count(), sum(left)
+    start = numbered(start, [], "__n", parts).withColumn("shard", shard_of("__n", [n * many // max(open_places, 1) for n in itertools.accumulate(left)]))
+    state = start.groupBy("g", "shard").agg(F.count("*").alias("n"))
+    state = state.unionByName(spark.createDataFrame(packed, "g string, shard int, n long"))
     state = propagate(materialize(state, "shard-state"), capacity, rounds)
 
     used = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
@@ -150,13 +218,9 @@ def balanced_shards(df: DataFrame, text: str = "text", key: str = "doc_id", shar
     linked = linked.withColumn("shard", F.element_at(place, 1)["shard"])
 
     # rows without links fill what is left of each shard
-    ends, end = [], 0
-    for s in range(shards):
-        end += capacity[s] - used.get(s, 0)
-        ends.append(end)
+    ends = list(itertools.accumulate(capacity[s] - used.get(s, 0) for s in range(shards)))
     free = numbered(free, [], "__rank", parts)
-    filled = F.aggregate(F.array(*[F.lit(e).cast("long") for e in ends]), F.lit(0), lambda n, e: n + (F.col("__rank") >= e).cast("int"))
-    free = free.withColumn("shard", filled)
+    free = free.withColumn("shard", shard_of("__rank", ends))
 
     columns = ["doc_id", "size", "text_crc32", "shard", "__uid"]
     placed = linked.select(*columns, F.lit(True).alias("linked")).unionByName(free.select(*columns, F.lit(False).alias("linked")))

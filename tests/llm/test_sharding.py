@@ -57,3 +57,24 @@ def test_a_hot_group_fills_whole_shards_with_production_settings(spark):
     hot = Counter(r.shard for r in got if rows[r.doc_id][1] == "hot")
     fullest = sorted(hot.values(), reverse=True)[:14]  # 4000 rows, 300 a shard
     assert sum(fullest) > 0.6 * 4000
+
+
+def test_copies_meet_where_every_text_has_one_and_no_shard_has_room(spark):
+    rows = [(i, f"t{i // 2}") for i in range(2400)]
+    got = S.balanced_shards(spark.createDataFrame(rows, "doc_id long, text string"), shards=8).collect()
+    check(rows, got, 8)
+    where = defaultdict(set)
+    for r in got:
+        where[rows[r.doc_id][1]].add(r.shard)
+    assert sum(len(x) == 1 for x in where.values()) > 0.95 * len(where)
+
+
+def test_quotas_admit_cycles_through_full_shards():
+    assert S.quotas({(0, 1): 5, (1, 2): 3, (2, 0): 4, (2, 3): 9}, [0, 0, 0, 0]) == {(0, 1): 3, (1, 2): 3, (2, 0): 3}
+
+
+def test_a_hot_group_among_linked_rows_only_touches_no_more_shards_than_it_needs(spark):
+    rows = [(i, "hot" if i % 3 == 0 else f"t{i // 6},{i % 3}") for i in range(2400)]
+    got = S.balanced_shards(spark.createDataFrame(rows, "doc_id long, text string"), shards=8).collect()
+    check(rows, got, 8)
+    assert len({r.shard for r in got if rows[r.doc_id][1] == "hot"}) == 3  # 800 rows, 300 a shard
