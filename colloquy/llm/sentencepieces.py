@@ -2,11 +2,11 @@
 
 A text is cut where no piece of the model can reach over, and each part is
 merged from characters by an agenda: the candidate of the best score, leftmost
-on ties, is taken next, and is skipped for good if a hash keyed by (seed, stream,
-part, position, merged piece) falls below the dropout rate. Characters without a
-piece become byte pieces. Documents are dealt to streams by a keyed hash of
-their id, so that equal words are cut differently in different documents, yet
-the same seed always gives the same ids.
+on ties, is taken next, or is skipped for good at the dropout rate. Whether it is
+skipped is drawn from a hash of the seed, the document's id and the part's place
+in the text, so that every occurrence of a word is cut for itself, yet the same
+seed always gives the same ids. What is kept of a part is only which ids a set
+of skipped candidates leads to. Characters without a piece become byte pieces.
 
 The model's BPE pieces, scores and byte pieces are used; nothing is trained. At
 rate 0 the ids are those of the sentencepiece library. A literal U+2581 is
@@ -31,7 +31,11 @@ from pyspark.sql import types as T
 
 from .common import text_or_empty
 
-DROPOUT, SEED, STREAMS = 0.1, 20240501, 2
+DROPOUT, SEED = 0.1, 20240501
+#: None: every occurrence of a part is cut for itself. A number: documents are dealt to so many streams.
+STREAMS = None
+#: The longest part whose segmentations are kept; longer ones are merged at every occurrence.
+SHORT = 32
 #: Parts of texts whose ids a worker keeps, for each stream.
 CACHE_PARTS = 300_000
 MASK = (1 << 64) - 1
@@ -118,14 +122,98 @@ class Pieces:
         return out
 
 
+def _mixed(base, number):
+    """A 64-bit hash of each base and number."""
+    import numpy as np
+
+    with np.errstate(over="ignore"):
+        h = base ^ ((number.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+        return h ^ (h >> np.uint64(31))
+
+
 class DropoutEncoder:
     """Ids of texts under one model, seed and rate."""
 
-    def __init__(self, path: str, rate: float = DROPOUT, seed: int = SEED, streams: int = STREAMS, limit: int = CACHE_PARTS):
+    def __init__(self, path: str, rate: float = DROPOUT, seed: int = SEED, streams: int | None = STREAMS, limit: int = CACHE_PARTS):
         self.pieces, self.rate, self.seed, self.limit = Pieces(path), rate, seed, limit
         self.least = int(rate * (1 << 32))
         self.streams = streams if self.least else 1
-        self.caches: list[dict[str, bytes]] = [{} for _ in range(self.streams)]
+        self.caches: list[dict[str, bytes]] = [{} for _ in range(self.streams or 0)]
+        if not self.streams:
+            self.whole = DropoutEncoder.__new__(DropoutEncoder)
+            self.whole.__dict__.update(pieces=self.pieces, seed=seed, least=0)
+            self._forget()
+
+    def _forget(self) -> None:
+        """Empties the tables of parts. A node is a part and the places, in its row of candidates, of those that are skipped."""
+        self.roots: dict[str, int] = {}
+        self.children: dict[int, int] = {}
+        self.nodes: list[tuple[str, tuple[int, ...]]] = []
+        self.ids: list[bytes] = []
+        #: candidates of a node after its last skipped one
+        self.more = array("q")
+
+    def _node(self, part: str, skips: tuple[int, ...], ids: bytes, more: int) -> int:
+        self.nodes.append((part, skips))
+        self.ids.append(ids)
+        self.more.append(more)
+        return len(self.nodes) - 1
+
+    def _child(self, key: int) -> int:
+        """The node where, after `key % 64` further candidates of node `key // 64`, one is skipped."""
+        if (found := self.children.get(key)) is None:
+            part, skips = self.nodes[key // 64]
+            skips = (*skips, (skips[-1] + 1 if skips else 0) + key % 64)
+            ids, taken = self._agenda(part, skip=lambda at, i, piece: at in skips)
+            found = self.children[key] = self._node(part, skips, array("I", ids).tobytes(), taken - skips[-1] - 1)
+        return found
+
+    def _varied(self, texts: list[str], keys: list) -> list[bytes]:
+        """encode() with draws for every occurrence of a part.
+
+        The number of candidates taken before the next skipped one is drawn at
+        once, which is the same as drawing for each.
+        """
+        import numpy as np
+        import xxhash
+
+        if len(self.nodes) > 2 * self.limit:
+            self._forget()
+        split = [self.pieces.parts.findall(" " + t) if t else [] for t in texts]
+        parts = [p for row in split for p in row]
+        new = list(set(parts) - self.roots.keys())
+        short = [p for p in new if len(p) <= SHORT]
+        self.roots.update((p, -1) for p in new if len(p) > SHORT)
+        known = self.pieces.known
+        for a in range(0, len(short), 8192):
+            for p, ids in zip(short[a : a + 8192], self.whole.merge_all(short[a : a + 8192], 0)):
+                bytewise = sum(len(c.encode()) - 1 for c in p if c not in known)
+                self.roots[p] = self._node(p, (), ids, len(p) - (len(ids) // 4 - bytewise))
+        node = np.fromiter(map(self.roots.__getitem__, parts), np.int64, len(parts))
+        ends = np.cumsum([0, *map(len, split)])
+        place = np.arange(len(parts)) - np.repeat(ends[:-1], np.diff(ends))
+        document = np.array([xxhash.xxh3_64_intdigest(str(k), seed=self.seed) for k in keys], np.uint64)
+        own = _mixed(np.repeat(document, np.diff(ends)), place)
+        going, draw, keep = np.flatnonzero(node >= 0), 0, 1 - self.rate
+        while len(going):
+            more = np.frombuffer(self.more, np.int64)[node[going]]
+            u = ((_mixed(own[going], np.full(len(going), draw)) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+            skip = u >= keep ** more.astype(np.float64)
+            going, u, more = going[skip], u[skip], more[skip]
+            taken = np.minimum(np.floor(np.log(u) / np.log(keep)).astype(np.int64), more - 1) if keep > 0 else np.zeros(len(going), np.int64)
+            steps, which = np.unique(node[going] * 64 + taken, return_inverse=True)
+            node[going] = np.fromiter(map(self._child, steps.tolist()), np.int64, len(steps))[which]
+            draw += 1
+        known_nodes = len(self.ids)
+        for at in np.flatnonzero(node < 0).tolist():
+            node[at] = len(self.ids)
+            self.ids.append(array("I", self.merge(parts[at], 0, int(own[at]))).tobytes())
+        node, ends = node.tolist(), ends.tolist()
+        out = [b"".join(map(self.ids.__getitem__, node[a:b])) for a, b in zip(ends, ends[1:])]
+        del self.ids[known_nodes:]
+        return out
 
     def stream(self, key) -> int:
         """The stream of a document id."""
@@ -133,12 +221,24 @@ class DropoutEncoder:
 
         return xxhash.xxh3_64_intdigest(str(key), seed=self.seed) % self.streams
 
-    def merge(self, part: str, stream: int) -> list[int]:
-        """Ids of one part by agenda merging with keyed dropout."""
+    def merge(self, part: str, stream: int, base: int | None = None) -> list[int]:
+        """Ids of one part by agenda merging with keyed dropout, keyed by the stream and part or by `base`."""
         import xxhash
 
-        known, n, least = self.pieces.known, len(part), self.least
-        base = xxhash.xxh3_64_intdigest(part, seed=self.seed + stream) if least else 0
+        least = self.least
+        if base is None:
+            base = xxhash.xxh3_64_intdigest(part, seed=self.seed + stream) if least else 0
+
+        def skip(at, i, piece):
+            h = ((base ^ (i * 0x9E3779B97F4A7C15 & MASK) ^ piece) * 0xD6E8FEB86659FD93) & MASK
+            h = ((h ^ h >> 32) * 0xD6E8FEB86659FD93) & MASK
+            return h >> 32 < least
+
+        return self._agenda(part, skip if least else None)[0]
+
+    def _agenda(self, part: str, skip=None) -> tuple[list[int], int]:
+        """Ids of one part and the number of candidates; skip(number, place, piece) says whether one is skipped."""
+        known, n, seen = self.pieces.known, len(part), 0
         symbols: list[str | None] = list(part)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = []
@@ -151,11 +251,9 @@ class DropoutEncoder:
             left = symbols[i]
             if left is None or (j := after[i]) >= n or len(left) + len(symbols[j]) != length or known[left + symbols[j]][1] != piece:
                 continue  # one of the two has been merged since
-            if least:
-                h = ((base ^ (i * 0x9E3779B97F4A7C15 & MASK) ^ piece) * 0xD6E8FEB86659FD93) & MASK
-                h = ((h ^ h >> 32) * 0xD6E8FEB86659FD93) & MASK
-                if h >> 32 < least:
-                    continue
+            seen += 1
+            if skip and skip(seen - 1, i, piece):
+                continue
             joined = symbols[i] = left + symbols[j]
             symbols[j] = None
             k = after[i] = after[j]
@@ -172,7 +270,7 @@ class DropoutEncoder:
                     out.append(hit[1])
                 else:
                     out.extend(self.pieces.bytes[b] for b in s.encode())
-        return out
+        return out, seen
 
     def merge_all(self, parts: list[str], stream: int) -> list[bytes]:
         """What merge() gives for each part, as bytes, the agendas of many parts worked off in step.
@@ -253,6 +351,8 @@ class DropoutEncoder:
 
     def encode(self, texts: list[str], keys: list) -> list[bytes]:
         """For each text its ids as little-endian 32-bit integers."""
+        if not self.streams:
+            return self._varied(texts, keys)
         split = [self.pieces.parts.findall(" " + t) if t else [] for t in texts]
         streams = [self.stream(k) for k in keys]
         for s, cache in enumerate(self.caches):
@@ -313,7 +413,7 @@ def _encode(how: tuple, more: list[str], with_ids: bool):
     return run
 
 
-def encode(df: DataFrame, model: str, text: str = "text", key: str = "doc_id", rate: float = DROPOUT, seed: int = SEED, streams: int = STREAMS, with_ids: bool = True) -> DataFrame:
+def encode(df: DataFrame, model: str, text: str = "text", key: str = "doc_id", rate: float = DROPOUT, seed: int = SEED, streams: int | None = STREAMS, with_ids: bool = True) -> DataFrame:
     """df with __n (ids), __crc (crc32 of the ids as 32-bit integers), __same (decoding gave the text) and, if wanted, __ids.
 
     model: path of a model file that exists on every machine.

@@ -76,3 +76,25 @@ def test_awkward_rows(awkward, awkward_rows, empty):
     assert sorted(r["__decoded"] for r in back) == sorted(r[1] or "" for r in awkward_rows)
     assert all(r["__same"] and r["__n"] == len(r["__ids"]) for r in back)
     assert P.piece_digests(empty, PATH).collect() == []
+
+
+def test_every_occurrence_of_a_word_is_cut_for_itself():
+    encoder = P.DropoutEncoder(PATH, 0.3)
+    word, n = "internationalization", 400
+    within = encoder.encode([" ".join([word] * n)], [1])[0]
+    assert encoder.decode(np.frombuffer(within, "<u4").tolist()) == " ".join([word] * n)
+    alone = [ids(encoder, word, k) for k in range(n)]
+    assert len({tuple(x) for x in alone}) > 10
+    assert [ids(P.DropoutEncoder(PATH, 0.3), word, k) for k in range(3)] == alone[:3]
+    assert len(within) // 4 > 1.2 * n * len(ids(PLAIN, word))
+
+
+def test_segmentations_are_as_frequent_as_with_a_draw_for_each_candidate():
+    import random
+    from collections import Counter
+
+    encoder, rnd, n = P.DropoutEncoder(PATH, 0.1), random.Random(5), 6000
+    for word in ("the", "orchard", "internationalization"):
+        got = Counter(tuple(ids(encoder, word, k)) for k in range(n))
+        want = Counter(tuple(encoder.merge(" " + word, 0, rnd.getrandbits(64))) for _ in range(n))
+        assert all(abs(got[x] - want[x]) < 0.03 * n for x in got | want)
