@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import uuid
 
@@ -114,6 +115,18 @@ def attach_groups(members: DataFrame, groups: DataFrame, key: str, size: str, to
     return out.select(*members.columns, *[F.coalesce(f"__hot_{v}", f"__cold_{v}").alias(v) for v in values])
 
 
+@contextlib.contextmanager
+def shuffles_end_with_the_query(spark: SparkSession):
+    """Queries that run inside delete their shuffle files when they end, not when the driver next collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Scratch:
     """Named tables of one operator in the shared folder; those that the result does not read can be dropped early."""
 
@@ -122,7 +135,8 @@ class Scratch:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = self.paths[name] = scratch(self.spark, f"{self.name}-{name}")
-        df.write.option("compression", "zstd").parquet(path)
+        with shuffles_end_with_the_query(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

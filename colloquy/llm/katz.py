@@ -1,39 +1,45 @@
-"""Katz backoff language model of order 2, trained and evaluated over whole tables.
+"""Katz backoff language model of any order, trained and evaluated over whole tables.
 
-P(w | h) is the Good-Turing discounted relative frequency where the pair (h, w)
-occurs in training, else alpha(h) P(w); P(w) is the discounted frequency of the
-word, and the mass that discounting frees belongs to one class of unknown words.
-alpha(h) = (1 - sum of the seen P(w | h)) / (1 - sum of the seen P(w)), so every
-context sums to one over the vocabulary and the unknown class.
+P(w | h) is the Good-Turing discounted relative frequency where the n-gram (h, w)
+occurs in training, else alpha(h) P(w | h'), h' being h without its first word;
+P(w) is the discounted frequency of the word, and the mass that discounting frees
+belongs to one class of unknown words. alpha(h) = (1 - sum of the seen P(w | h)) /
+(1 - sum of P(w | h') over the same words), so every context sums to one over the
+vocabulary and the unknown class. Discounts are estimated for each level.
 
-Neither the vocabulary nor the pairs fit one machine, and a row for each
+Neither the vocabulary nor the n-grams fit one machine, and a row for each
 occurrence would cost many times the input. So texts become chunks of some
-million tokens (a list of word hashes and the tokens as places in it), and
-chunks and model partitions exchange sorted, packed blocks:
-
-  1. chunks: one row each, in a bucketed table of the warehouse;
-  2. words: each chunk sends its words' counts to the partition of their hash;
-     partitions add them up and answer every chunk with the totals;
-  3. pairs: each chunk sends its pairs' counts, with the words' totals, to the
-     partition of the context's hash; partitions add them up and answer with
-     the pairs' totals and, for each context, how many of its pairs occur 1 to 5
-     times and the sum of P(w) over all. Contexts with a large share of all
-     tokens are spread over several partitions and their sums joined afterwards;
-  4. scores: each chunk evaluates its tokens, pair first, then word, then the
-     unknown class, and sums by document.
-
-Tables of steps 2 and 3 are partitioned by hash; only counts of counts and the
-bounded list of large contexts reach the driver.
+million tokens (a list of word hashes and the tokens as places in it), kept as
+files in the shared folder, and chunks and model partitions exchange sorted,
+packed blocks, level after level:
+
+  1. words: each chunk sends its words' counts to the partition of their hash;
+     partitions add them up and answer with totals and with an id for each word;
+  2. n-grams: each chunk sends, to the partition of the context's id, the ids of
+     contexts and last words with its own counts and the totals of (h', w);
+     partitions add up and answer with totals, ids, and for each context how many
+     of its n-grams occur 1 to 5 times and how often the others, and the same
+     for the totals of (h', w). That is all that alpha needs, in whole numbers;
+  3. scores: each chunk evaluates its n-grams recursively and sums by document.
+
+A context whose total is large is spread over as many partitions as its total
+fills, which every chunk knows from the level before; the chunk adds up the parts
+of the context's numbers. Where there are more partitions than FAN, a chunk does
+not send a block to each: chunks in bundles first merge what they have for a range
+of partitions, and answers come back the same way, so that blocks stay large.
+
+Only counts of counts reach the driver: one row a level.
 
 Defined results: a null text counts as empty and has its end token alone; tokens
-are runs without white space, A-Z in lower case, then one end; the context of a
-first word is the end token; repeated ids are rows like others; with no training
-row everything is the unknown class with probability 1; an empty table gives an
-empty result.
+are runs without white space, A-Z in lower case, then one end; a text's first
+word follows an end token, and near the beginning, contexts are as long as the
+text allows; repeated ids are rows like others; with no training row everything
+is the unknown class with probability 1; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -41,18 +47,21 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, shuffle_partitions, text_or_empty
+from .common import Scratch, discard, filesystem, scratch, shuffle_partitions, text_or_empty, write_whole
 from .near_dedup import mix
 
+ORDER = 3
 #: Rows whose crc32(id) modulo HELD_OUT[0] is HELD_OUT[1] are scored but not learned from.
 HELD_OUT = (10, 0)
 #: Counts above this are not discounted.
 LARGEST = 5
-CHUNK_TOKENS = 1_200_000
+CHUNK_TOKENS = 1_000_000
 #: Bytes of text for each model partition.
 PARTITION_TEXT = 16 << 20
-#: A context is spread if it has more than 1 / (SPREAD_SHARE * partitions) of the training tokens; over so many partitions.
-SPREAD_SHARE, SPREAD = 4, 64
+#: A context is spread over a partition more for every SPREAD times the mean of a partition that its total reaches.
+SPREAD = 4
+#: Blocks that a chunk sends at most; beyond so many partitions it sends to ranges of them.
+FAN = 2048
 END = b" "
 
 
@@ -93,6 +102,7 @@ def unpack(data: bytes):
 
 
 def pack_sorted(values) -> bytes:
+    """As pack(), by differences; also right, if not small, where values fall."""
     import numpy as np
 
     return pack(np.diff(values, prepend=np.uint64(0)))
@@ -130,6 +140,13 @@ def discounts(n: list[int]):
     return d
 
 
+def discounted(counts, d):
+    """d[r] * r for each count."""
+    import numpy as np
+
+    return np.where(counts > LARGEST, 1.0, d[np.minimum(counts, LARGEST)]) * counts
+
+
 class Words:
     """P(w) from the counts of counts of words: discounted frequencies and one unknown class."""
 
@@ -137,85 +154,221 @@ class Words:
         self.tokens, self.types, self.d = tokens, types, discounts(n)
         kept = 1 - sum((1 - self.d[r]) * r * n[r] for r in range(1, LARGEST + 1)) / tokens if tokens else 0.0
         self.unknown = max(1 - kept, 1 / (tokens + 1))
-        self.scale = (1 - self.unknown) / kept if kept else 0.0
+        #: what a discounted count is divided by
+        self.whole = tokens * kept / (1 - self.unknown) if tokens else 1.0
 
     def p(self, counts):
         import numpy as np
 
         if not self.tokens:
             return np.ones(len(counts))
-        c = counts.astype(float)
-        return np.where(counts > 0, self.d[np.minimum(counts, LARGEST).astype(int) * (counts <= LARGEST)] * c / self.tokens * self.scale, self.unknown)
+        return np.where(counts > 0, discounted(counts, self.d) / self.whole, self.unknown)
 
     def base(self, counts):
         return (counts.astype(float) + 0.1) / (self.tokens + 0.1 * (self.types + 1))
 
 
-def pair_p(count, total, low, seen_p, p_word, d):
-    """P(w | h): count of (h, w), count of h, low[:, r - 1] pairs of h that occur r times, sum of P over h's pairs, P(w)."""
-    import numpy as np
-
-    r = np.arange(1, LARGEST + 1)
-    total = total.astype(float)
-    kept = (low * (d[1:] * r)).sum(axis=1) + (total - (low * r).sum(axis=1))
-    # a context without a discounted pair gets one more occurrence, so that something is left for the others
-    whole = total + (low.sum(axis=1) == 0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        alpha = (1 - kept / whole) / (1 - seen_p)
-        frequency = d[np.minimum(count, LARGEST).astype(int) * (count <= LARGEST)] * count.astype(float) / whole
-    return np.where(total == 0, p_word, np.where(count > 0, frequency, alpha * p_word))
-
-
 # ---------------------------------------------------------------- chunks
 
 
-CHUNK = "chunk string, ids array<long>, lengths binary, words binary, tokens binary"
-
+def _chunks(folder: str, limit: int):
+    """Writes chunks to a file of the task, and yields their names, which say where they are."""
 
-def _chunks(limit: int):
     def run(batches: Iterator):
         import numpy as np
         import pyarrow as pa
-        from pyspark import TaskContext
 
-        part, k = TaskContext.get().partitionId(), 0
-        ids, arrays, count = [], [], 0
-        end = np.array([_HASHES[END]], np.uint64)
+        end, name, names = np.array([_HASHES[END]], np.uint64), uuid.uuid4().hex[:12], []
 
-        def chunk():
-            nonlocal ids, arrays, count, k
+        def chunk(ids, arrays):
             lengths = np.fromiter(map(len, arrays), np.uint64, len(arrays))
             words, tokens = np.unique(np.concatenate(arrays), return_inverse=True)
-            row = [[f"{part}-{k}"], [ids], [pack(lengths)], [pack_sorted(words)], [pack(tokens)]]
-            ids, arrays, count, k = [], [], 0, k + 1
-            kinds = (pa.string(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds)], ["chunk", "ids", "lengths", "words", "tokens"])
-
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                runs = tokens_of(text)
-                ids.append(doc_id)
-                arrays.append(np.concatenate([np.fromiter(map(_HASHES.__getitem__, runs), np.uint64, len(runs)), end]))
-                count += len(runs) + 1
-                if count >= limit:
-                    yield chunk()
-        if ids:
-            yield chunk()
+            columns = [pa.array([ids], pa.list_(pa.int64())), *[pa.array([x], pa.binary()) for x in (pack(lengths), pack_sorted(words), pack(tokens))]]
+            batch = pa.RecordBatch.from_arrays(columns, ["ids", "lengths", "words", "tokens"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema) as out:
+                out.write_batch(batch)
+            return sink.getvalue().to_pybytes()
+
+        def packed():
+            ids, arrays, count, at = [], [], 0, 0
+            for batch in batches:
+                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                    runs = tokens_of(text)
+                    ids.append(doc_id)
+                    arrays.append(np.concatenate([np.fromiter(map(_HASHES.__getitem__, runs), np.uint64, len(runs)), end]))
+                    count += len(runs) + 1
+                    if count >= limit:
+                        data = chunk(ids, arrays)
+                        names.append(f"{name}-{at}-{len(data)}")
+                        ids, arrays, count, at = [], [], 0, at + len(data)
+                        yield data
+            if ids:
+                data = chunk(ids, arrays)
+                names.append(f"{name}-{at}-{len(data)}")
+                yield data
+
+        parts = packed()
+        first = next(parts, None)
+        if first is not None:
+            write_whole(f"{folder}/{name}", _chain(first, parts))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["origin"])
 
     return run
 
 
-def _train_mask(ids, lengths):
-    import numpy as np
-
-    return np.repeat(~np.array([_is_held(i) for i in ids], bool), lengths.astype(np.int64))
+def _chain(first, rest):
+    yield first
+    yield from rest
 
 
 def _part_of(hashes, parts: int):
     """Partition by the upper half of the hash: ascending with the hash."""
     import numpy as np
 
-    return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+    return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+class Level:
+    """The distinct n-grams of one level in a chunk, in the order in which they are sent.
+
+    at: the n-gram that ends at each token, or -1; context, suffix: its first and
+    last words as n-grams of the level below; last: its last word. block_*: the
+    contexts with their partitions, as sent, and the n-grams of each.
+    """
+
+    def __init__(self, chunk: "Chunk", below: "Level | None"):
+        import numpy as np
+
+        if below is None:
+            self.at, self.n = chunk.tokens, len(chunk.words)
+            self.block_id, self.block_size, self.next = chunk.words, np.ones(self.n, np.int64), np.zeros(self.n, np.uint64)
+            self.block_part = _part_of(chunk.words, chunk.parts)
+            return
+        words, k = chunk.levels[0], len(chunk.levels) + 1
+        place = np.flatnonzero(chunk.place >= k - 2)
+        before = below.at[np.maximum(place - 1, 0)]
+        if k == 2:
+            before = np.where(chunk.place[place] == 0, chunk.end, before)
+        grams, inverse = np.unique(before * words.n + chunk.tokens[place], return_inverse=True)
+        context, last, n = grams // words.n, grams % words.n, len(grams)
+        suffix = np.empty(n, np.int64)
+        suffix[inverse] = below.at[place]
+        home, over = (below.ids >> np.uint64(32)).astype(np.int64), chunk.spread(below.total)
+        part = home[context]
+        wide = over[context] > 1
+        part[wide] = (part[wide] + (mix(words.ids[last[wide]]) % over[context[wide]].astype(np.uint64)).astype(np.int64)) % chunk.parts
+        # n-grams are in order of (context, word), so a stable sort by partition keeps that order within each
+        order = np.argsort(part, kind="stable")
+        turned = np.empty(n, np.int64)
+        turned[order] = np.arange(n)
+        self.n, self.context, self.last, self.suffix, part = n, context[order], last[order], suffix[order], part[order]
+        self.at = np.full(len(chunk.tokens), -1, np.int64)
+        self.at[place] = turned[inverse]
+        # contexts by partition; a spread one is asked for in all its partitions, so that its numbers are whole
+        codes = part * below.n + self.context
+        rows = codes[np.concatenate([[True], np.diff(codes) != 0])] if n else codes
+        spread = np.flatnonzero((over > 1) & (np.bincount(self.context, minlength=below.n) > 0))
+        if len(spread):
+            more = [((home[c] + np.arange(over[c])) % chunk.parts) * below.n + c for c in spread.tolist()]
+            rows = np.union1d(rows, np.concatenate(more))
+        self.block_part, self.block_context = rows // below.n, rows % below.n
+        self.block_size = np.bincount(np.searchsorted(rows, codes), minlength=len(rows))
+        self.block_id, self.next, self.over = below.ids[self.block_context], words.ids[self.last], over
+
+    def answer(self, rows: list[dict]) -> None:
+        """Takes totals and, if there are any, ids."""
+        import numpy as np
+
+        self.total, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        if self.n:
+            self.total = np.concatenate([unpack(r["totals"]) for r in rows]).astype(np.int64)
+            self.ids = np.concatenate([unpack_sorted(r["ids"]) for r in rows if r["ids"] is not None] or [self.ids])
+
+    def weigh(self, rows: list[dict], below: "Level", d, d_below, words: Words) -> None:
+        """From the numbers of contexts what p() needs: whole (what a discounted count is divided by) and alpha."""
+        import numpy as np
+
+        r = np.arange(1, LARGEST + 1)
+        few = np.concatenate([unpack(x["few"]).reshape(2 * LARGEST, -1) for x in rows], axis=1).astype(float)
+        many = np.concatenate([unpack(x["many"]).reshape(2, -1) for x in rows], axis=1).astype(float)
+        parts = np.stack([r @ few[:LARGEST] + many[0], (d[1:] * r) @ few[:LARGEST] + many[0], (d_below[1:] * r) @ few[LARGEST:] + many[1], few[:LARGEST].sum(axis=0)])
+        of = np.zeros((4, below.n))
+        once = self.over[self.block_context] <= 1
+        of[:, self.block_context[once]] = parts[:, once]
+        for row, part in zip(of, parts):
+            np.add.at(row, self.block_context[~once], part[~once])
+        total, kept, lower, discounts_in = of
+        # a context without a discounted n-gram gets one more occurrence, so that something is left for the others
+        self.whole = total + ((discounts_in == 0) & (total > 0))
+        self.lower, self.kept, self.d, self.words = lower, kept, d, words
+
+    def p(self, below: "Level | None", p_below, words: Words):
+        """P(last word | context) of every n-gram, from those of the level below."""
+        import numpy as np
+
+        if below is None:
+            return words.p(self.total)
+        backed, c = p_below[self.suffix], self.context
+        under = words.whole if not hasattr(below, "whole") else below.whole[below.context[self.suffix]]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            alpha = (1 - self.kept[c] / self.whole[c]) / (1 - self.lower[c] / under)
+            seen = discounted(self.total, self.d) / self.whole[c]
+        return np.where(self.whole[c] == 0, backed, np.where(self.total > 0, seen, alpha * backed))
+
+
+class Chunk:
+    """A chunk, its n-grams up to a level, and what the partitions have answered on those below it."""
+
+    def __init__(self, folder: str, name: str, parts: int, tokens: int = 0):
+        import numpy as np
+        import pyarrow as pa
+
+        file, offset, size = name.split("-")
+        fs, path = filesystem(f"{folder}/{file}")
+        with fs.open_input_file(path) as source:
+            row = pa.ipc.open_stream(source.read_at(int(size), int(offset))).read_all().to_pylist()[0]
+        self.parts, self.mean = parts, max(tokens / parts, 1.0)
+        self.ids, self.lengths = row["ids"], unpack(row["lengths"]).astype(np.int64)
+        self.words, self.tokens = unpack_sorted(row["words"]), unpack(row["tokens"]).astype(np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.place = np.arange(len(self.tokens)) - np.repeat(self.starts, self.lengths)
+        self.end = int(self.tokens[-1])
+        self.train = np.repeat(~np.array([_is_held(i) for i in self.ids], bool), self.lengths)
+        self.levels: list[Level] = []
+
+    def spread(self, total):
+        """Partitions of each context by its total."""
+        import numpy as np
+
+        return np.clip(np.ceil(total / (SPREAD * self.mean)), 1, self.parts).astype(np.int64)
+
+    def climb(self, answers: dict[int, list[dict]]) -> None:
+        """Adds a level; all that are there must have been answered."""
+        if self.levels:
+            self.levels[-1].answer(answers.get(len(self.levels), []))
+        self.levels.append(Level(self, self.levels[-1] if self.levels else None))
+
+    def requests(self, name: str, width: int) -> list[tuple]:
+        """The blocks of the highest level, one for each `width` partitions."""
+        import numpy as np
+
+        top = self.levels[-1]
+        counts = np.bincount(top.at[self.train & (top.at >= 0)], minlength=top.n)
+        lower = self.levels[-2].total[top.suffix] * (counts > 0) if len(self.levels) > 1 else np.zeros(top.n, np.int64)
+        return blocks(name, width, top.block_part, top.block_id, top.block_size, top.next, counts, lower)
+
+    def probabilities(self, level: int, words: Words):
+        """P of every n-gram of a level, by recursion over the levels below."""
+        below = self.levels[level - 2] if level > 1 else None
+        return self.levels[level - 1].p(below, self.probabilities(level - 1, words) if below is not None else None, words)
+
+
+# ---------------------------------------------------------------- exchange
+
+
+BLOCK = "part int, origin string, parts binary, contexts binary, sizes binary, next binary, counts binary, lower binary"
+ANSWER = "origin string, first int, totals binary, ids binary, few binary, many binary, n array<long>"
 
 
 def _cuts(p):
@@ -226,244 +379,223 @@ def _cuts(p):
     return zip(np.concatenate([[0], at]).tolist(), np.concatenate([at, [len(p)]]).tolist()) if len(p) else ()
 
 
-def _word_blocks(parts: int):
-    def run(batches: Iterator):
-        import numpy as np
-        import pyarrow as pa
+def blocks(origin: str, width: int, part, context, size, following, count, lower) -> list[tuple]:
+    import numpy as np
 
-        for batch in batches:
-            for chunk, ids, lengths, words, tokens in zip(*[batch.column(n).to_pylist() for n in ("chunk", "ids", "lengths", "words", "tokens")]):
-                words, tokens = unpack_sorted(words), unpack(tokens).astype(np.int64)
-                counts = np.bincount(tokens[_train_mask(ids, unpack(lengths))], minlength=len(words))
-                rows = [(int(_part_of(words[a : a + 1], parts)[0]), chunk, pack_sorted(words[a:b]), pack(counts[a:b])) for a, b in _cuts(_part_of(words, parts))]
-                p, c, w, n = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array(c, pa.string()), pa.array(w, pa.binary()), pa.array(n, pa.binary())], ["part", "chunk", "words", "counts"])
+    ends = np.concatenate([[0], np.cumsum(size)])
+    out = []
+    for a, b in _cuts(part // width):
+        x, y = int(ends[a]), int(ends[b])
+        out.append((
+            int(part[a]) // width, origin, pack_sorted(part[a:b].astype(np.uint64)), pack_sorted(context[a:b]), pack(size[a:b]),
+            pack(following[x:y]), pack(count[x:y]), pack(lower[x:y]),
+        ))
+    return out
 
-    return run
 
+def _block_table(rows: list[tuple]):
+    import pyarrow as pa
 
-ANSWER = "chunk string, kind string, part int, counts binary, low binary, sums binary, large array<long>, n array<long>"
+    kinds = (pa.int32(), pa.string(), *[pa.binary()] * 6)
+    names = ["part", "origin", "parts", "contexts", "sizes", "next", "counts", "lower"]
+    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*rows)) or [()] * 8, kinds)], names=names)
 
 
-def _answers(rows: list[tuple]):
+def _answer_table(rows: list[tuple]):
     import pyarrow as pa
 
-    kinds = (pa.string(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-    names = ("chunk", "kind", "part", "counts", "low", "sums", "large", "n")
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 8, kinds)], names=list(names))
+    kinds = (pa.string(), pa.int32(), *[pa.binary()] * 4, pa.list_(pa.int64()))
+    names = ["origin", "first", "totals", "ids", "few", "many", "n"]
+    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*rows)) or [()] * 7, kinds)], names=names)
 
 
-def _counts_of_counts(totals) -> list[int]:
-    import numpy as np
+class Merged:
+    """Blocks added up: distinct (partition, context) rows and their distinct n-grams in order, and where each block's rows went."""
 
-    return np.bincount(np.minimum(totals, LARGEST + 2).astype(np.int64), minlength=LARGEST + 3)[: LARGEST + 2].tolist()
+    def __init__(self, group):
+        import numpy as np
 
+        rows = group.sort_by("origin")
+        self.origins = rows.column("origin").to_pylist()
+        read = lambda name, how: [how(x) for x in rows.column(name).to_pylist()]
+        part, context = (np.concatenate(read(n, unpack_sorted)) for n in ("parts", "contexts"))
+        sizes = read("sizes", unpack)
+        self.rows, self.grams = [len(x) for x in sizes], [int(x.sum()) for x in sizes]
+        order = np.lexsort((context, part)) if len(part) and part.min() != part.max() else np.argsort(context, kind="stable")
+        fresh = np.concatenate([[True], (np.diff(context[order]) != 0) | (np.diff(part[order]) != 0)])[: len(order)]
+        self.row = np.empty(len(order), np.int64)
+        self.row[order] = np.cumsum(fresh) - 1
+        self.part, self.context = part[order[fresh]].astype(np.int64), context[order[fresh]]
+        owner = np.repeat(self.row, np.concatenate(sizes).astype(np.int64))
+        following = np.concatenate(read("next", unpack))
+        order = np.lexsort((following, owner))
+        fresh = np.concatenate([[True], (np.diff(owner[order]) != 0) | (np.diff(following[order]) != 0)])[: len(order)]
+        self.gram = np.empty(len(order), np.int64)
+        self.gram[order] = np.cumsum(fresh) - 1
+        first = order[fresh]
+        self.owner, self.next = owner[first], following[first]
+        n = len(first)
+        self.count = np.bincount(self.gram, np.concatenate(read("counts", unpack)), minlength=n).astype(np.int64)
+        lower = np.concatenate(read("lower", unpack))
+        self.lower = np.maximum.reduceat(lower[order], np.flatnonzero(fresh)).astype(np.int64) if n else np.zeros(0, np.int64)
+        self.size = np.bincount(self.owner, minlength=len(self.part))
+
+    def back(self, first: int, totals, ids, few, many) -> list[tuple]:
+        """An answer for every block."""
+        out, a, x = [], 0, 0
+        for origin, rows, grams in zip(self.origins, self.rows, self.grams):
+            row, gram = self.row[a : a + rows], self.gram[x : x + grams]
+            out.append((
+                origin, first, pack(totals[gram]), None if ids is None else pack_sorted(ids[gram]),
+                None if few is None else pack(few[:, row].ravel()), None if many is None else pack(many[:, row].ravel()), None,
+            ))
+            a, x = a + rows, x + grams
+        return out
 
-def _add_words(spread_above: float):
-    """One partition of words: totals to every chunk, statistics, and the words that are large contexts."""
+
+def _add(with_ids: bool, with_contexts: bool):
+    """One partition: totals, ids and the numbers of contexts to every block, and the counts of counts."""
 
     def run(group):
         import numpy as np
 
         part = group.column("part")[0].as_py()
-        chunks = group.column("chunk").to_pylist()
-        blocks = [unpack_sorted(w) for w in group.column("words").to_pylist()]
-        words, place = np.unique(np.concatenate(blocks), return_inverse=True)
-        totals = np.zeros(len(words), np.int64)
-        np.add.at(totals, place, np.concatenate([unpack(n) for n in group.column("counts").to_pylist()]).astype(np.int64))
-        rows, at = [], 0
-        for chunk, block in zip(chunks, blocks):
-            rows.append((chunk, "words", part, pack(totals[place[at : at + len(block)]]), None, None, None, None))
-            at += len(block)
-        n = _counts_of_counts(totals)
-        large = words[totals > spread_above].view(np.int64).tolist()
-        rows.append((None, "statistics", part, None, None, None, large, [int(totals.sum()), int((totals > 0).sum()), *n]))
-        return _answers(rows)
+        m = Merged(group)
+        few = many = None
+        if with_contexts:
+            seen, rows = m.count > 0, len(m.part)
+            few = np.stack([np.bincount(m.owner[which == r], minlength=rows) for which in (m.count, np.where(seen, m.lower, 0)) for r in range(1, LARGEST + 1)])
+            many = np.stack([np.bincount(m.owner, np.where(seen & (x > LARGEST), x, 0), rows).astype(np.int64) for x in (m.count, m.lower)])
+        ids = (np.uint64(part) << np.uint64(32)) | np.arange(len(m.count), dtype=np.uint64) if with_ids else None
+        n = np.bincount(np.minimum(m.count, LARGEST + 2), minlength=LARGEST + 3)[: LARGEST + 2].tolist()
+        return _answer_table([*m.back(part, m.count, ids, few, many), (None, part, None, None, None, None, [int(m.count.sum()), int((m.count > 0).sum()), *n])])
 
     return run
 
 
-# ---------------------------------------------------------------- pairs
+def _onward(group):
+    """What a bundle of chunks has for a range of partitions, merged, a block for each partition."""
+    m = Merged(group)
+    name = f"{group.column('bundle')[0].as_py()}:{group.column('part')[0].as_py()}"
+    return _block_table(blocks(name, 1, m.part, m.context, m.size, m.next, m.count, m.lower))
 
 
-class Chunk:
-    """A chunk with its words' totals, its distinct pairs in the order in which they are sent, and the partition of each."""
+def _homeward(staged, replies):
+    """The partitions' answers to a bundle, taken apart for its chunks."""
+    import numpy as np
 
-    def __init__(self, row: dict, answers: dict, parts: int, large):
-        import numpy as np
+    if not staged.num_rows:
+        return _answer_table([])
+    m, rows = Merged(staged), replies.sort_by("first").to_pylist()
+    both = lambda name, how: None if rows[0][name] is None else how([r[name] for r in rows])
+    totals = np.concatenate([unpack(r["totals"]) for r in rows]).astype(np.int64)
+    ids = both("ids", lambda xs: np.concatenate([unpack_sorted(x) for x in xs]))
+    few = both("few", lambda xs: np.concatenate([unpack(x).reshape(2 * LARGEST, -1) for x in xs], axis=1))
+    many = both("many", lambda xs: np.concatenate([unpack(x).reshape(2, -1) for x in xs], axis=1))
+    return _answer_table(m.back(staged.column("part")[0].as_py(), totals, ids, few, many))
 
-        self.ids, self.lengths = row["ids"], unpack(row["lengths"]).astype(np.int64)
-        self.words, self.tokens = unpack_sorted(row["words"]), unpack(row["tokens"]).astype(np.int64)
-        self.counts = np.concatenate([unpack(a[3]) for a in sorted(answers["words"], key=lambda a: a[2])]).astype(np.int64)
-        before = np.empty(len(self.tokens), np.int64)
-        before[1:] = self.tokens[:-1]
-        starts = np.cumsum(self.lengths) - self.lengths
-        before[starts] = self.tokens[np.cumsum(self.lengths) - 1]  # the end token
-        pairs, self.place = np.unique(before * len(self.words) + self.tokens, return_inverse=True)
-        left, right = pairs // len(self.words), pairs % len(self.words)
-        self.is_large = np.isin(self.words, large)
-        part = _part_of(self.words, parts)[left].astype(np.int64)
-        spread = self.is_large[left]
-        part[spread] = (part[spread] + (mix(self.words[right[spread]]) % np.uint64(min(SPREAD, parts))).astype(np.int64)) % parts
-        # pairs are in order of (context, word) already, so a stable sort by partition keeps that order within each
-        order = np.argsort(part, kind="stable")
-        self.left, self.right, self.part = left[order], right[order], part[order]
-        turned = np.empty(len(order), np.int64)
-        turned[order] = np.arange(len(order))
-        self.place = turned[self.place]
 
+def _ask(folder: str, level: int, parts: int, width: int, tokens: int):
+    def words(batches: Iterator):
+        for batch in batches:
+            for name in batch.column("origin").to_pylist():
+                chunk = Chunk(folder, name, parts)
+                chunk.climb({})
+                yield from _block_table(chunk.requests(name, width)).to_batches()
 
-def _answers_by_kind(table) -> dict[str, list[tuple]]:
-    out: dict[str, list[tuple]] = {"words": [], "pairs": []}
-    for row in zip(*[table.column(n).to_pylist() for n in ("chunk", "kind", "part", "counts", "low", "sums")]):
-        out[row[1]].append(row)
-    return out
+    def grams(group):
+        name, answers = group.column("origin")[0].as_py(), _by_level(group)
+        chunk = Chunk(folder, name, parts, tokens)
+        for _ in range(level):
+            chunk.climb(answers)
+        return _block_table(chunk.requests(name, width))
 
+    return words if level == 1 else grams
 
-def _pair_blocks(parts: int, large):
-    def run(left, right):
-        import numpy as np
-        import pyarrow as pa
 
-        rows = []
-        for row in left.to_pylist():
-            c = Chunk(row, _answers_by_kind(right), parts, large)
-            n = np.bincount(c.place[_train_mask(c.ids, c.lengths)], minlength=len(c.left))
-            for a, b in _cuts(c.part):
-                starts = np.concatenate([[0], np.flatnonzero(np.diff(c.left[a:b])) + 1])
-                contexts = c.left[a + starts]
-                rows.append((
-                    int(c.part[a]), row["chunk"], pack_sorted(c.words[contexts]), pack(np.diff(starts, append=b - a)),
-                    pack(c.words[c.right[a:b]] >> np.uint64(16)), pack(n[a:b]), pack(c.counts[c.right[a:b]]),
-                ))
-        kinds = (pa.int32(), pa.string(), *[pa.binary()] * 5)
-        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*rows)) or [()] * 7, kinds)], names=["part", "chunk", "contexts", "sizes", "next", "counts", "totals"])
+def _by_level(group) -> dict[int, list[dict]]:
+    out: dict[int, list[dict]] = {}
+    for row in group.sort_by("first").to_pylist():
+        out.setdefault(row["level"], []).append(row)
+    return out
 
-    return run
 
+SCORE = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
-def _add_pairs(words: Words, large):
-    """One partition of pairs: totals to every chunk, and for each context what alpha needs."""
 
+def _scores(folder: str, order: int, parts: int, words: Words, d: list):
     def run(group):
         import numpy as np
-
-        part = group.column("part")[0].as_py()
-        chunks = group.column("chunk").to_pylist()
-        contexts = [unpack_sorted(x) for x in group.column("contexts").to_pylist()]
-        sizes = [unpack(x).astype(np.int64) for x in group.column("sizes").to_pylist()]
-        names, which = np.unique(np.concatenate(contexts), return_inverse=True)
-        context = np.repeat(which, np.concatenate(sizes))
-        nexts = np.concatenate([unpack(x) for x in group.column("next").to_pylist()])
-        order = np.lexsort((nexts, context))
-        fresh = np.concatenate([[True], (np.diff(context[order]) != 0) | (np.diff(nexts[order]) != 0)])
-        kind = np.empty(len(order), np.int64)
-        kind[order] = np.cumsum(fresh) - 1
-        totals = np.bincount(kind, np.concatenate([unpack(x) for x in group.column("counts").to_pylist()])).astype(np.int64)
-        first = order[fresh]
-        owner = context[first]
-        p = words.p(np.concatenate([unpack(x) for x in group.column("totals").to_pylist()]).astype(np.int64)[first])
-        seen = totals > 0
-        low = np.stack([np.bincount(owner[totals == r], minlength=len(names)) for r in range(1, LARGEST + 1)], axis=1)
-        sums = np.bincount(owner[seen], p[seen], minlength=len(names))
-        spread = np.isin(names, large)
-        rows, at, c_at = [], 0, 0
-        for chunk, own, size in zip(chunks, contexts, sizes):
-            n, mine = int(size.sum()), which[c_at : c_at + len(own)]
-            mine = mine[~spread[mine]]
-            rows.append((chunk, "pairs", part, pack(totals[kind[at : at + n]]), pack(low[mine].T.ravel()), sums[mine].tobytes(), None, None))
-            at, c_at = at + n, c_at + len(own)
-        rows.append((None, "statistics", part, None, None, None, None, _counts_of_counts(totals)))
-        for k in np.flatnonzero(spread):
-            rows.append((None, "large", part, None, None, sums[k : k + 1].tobytes(), [int(names[k : k + 1].view(np.int64)[0])], low[k].tolist()))
-        return _answers(rows)
-
-    return run
-
-
-def _scores(parts: int, words: Words, d, large, large_low, large_sums):
-    def run(left, right):
-        import numpy as np
         import pyarrow as pa
 
-        rows = []
-        for row in left.to_pylist():
-            answers = _answers_by_kind(right)
-            c = Chunk(row, answers, parts, large)
-            pairs = sorted(answers["pairs"], key=lambda a: a[2])
-            count = np.concatenate([unpack(a[3]) for a in pairs]).astype(np.int64)
-            low, sums = np.zeros((len(c.words), LARGEST)), np.zeros(len(c.words))
-            for (a, b), got in zip(_cuts(c.part), pairs):
-                mine = c.left[a:b][np.concatenate([[True], np.diff(c.left[a:b]) != 0])]
-                mine = mine[~c.is_large[mine]]
-                low[mine], sums[mine] = unpack(got[4]).reshape(LARGEST, -1).T, np.frombuffer(got[5])
-            if c.is_large.any():
-                k = np.searchsorted(large, c.words[c.is_large])
-                low[c.is_large], sums[c.is_large] = large_low[k], large_sums[k]
-            p = pair_p(count, c.counts[c.left], low[c.left], sums[c.left], words.p(c.counts)[c.right], d)
-            starts = np.cumsum(c.lengths) - c.lengths
-            score = np.add.reduceat(np.log10(p)[c.place], starts)
-            base = np.add.reduceat(np.log10(words.base(c.counts))[c.tokens], starts)
-            known = np.add.reduceat((c.counts > 0)[c.tokens].astype(np.int64), starts)
-            rows.append(pa.Table.from_arrays(
-                [pa.array(c.ids, pa.int64()), pa.array(c.lengths), pa.array(known), pa.array(np.full(len(c.ids), words.tokens)), pa.array(base), pa.array(score)],
-                names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-            ))
-        return pa.concat_tables(rows)
+        answers = _by_level(group)
+        chunk = Chunk(folder, group.column("origin")[0].as_py(), parts, words.tokens)
+        for _ in range(order):
+            chunk.climb(answers)
+        chunk.levels[-1].answer(answers.get(order, []))
+        for k in range(2, order + 1):
+            if chunk.levels[k - 1].n:
+                chunk.levels[k - 1].weigh(answers[k], chunk.levels[k - 2], d[k - 1], d[k - 2], words)
+        log_p = np.zeros(len(chunk.tokens))
+        for k in range(1, order + 1):  # a token is evaluated at the highest level that it has
+            level = chunk.levels[k - 1]
+            here = (level.at >= 0) & (chunk.place >= k - 2) & ((chunk.place == k - 2) | (k == order))
+            if here.any():
+                log_p[here] = np.log10(chunk.probabilities(k, words))[level.at[here]]
+        counts = chunk.levels[0].total
+        score, base = np.add.reduceat(log_p, chunk.starts), np.add.reduceat(np.log10(words.base(counts))[chunk.tokens], chunk.starts)
+        known = np.add.reduceat((counts > 0)[chunk.tokens].astype(np.int64), chunk.starts)
+        return pa.Table.from_arrays(
+            [pa.array(chunk.ids, pa.int64()), pa.array(chunk.lengths), pa.array(known), pa.array(np.full(len(chunk.ids), words.tokens)), pa.array(base), pa.array(score)],
+            names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+        )
 
     return run
 
 
-def katz_scores(df: DataFrame, text: str = "text", key: str = "doc_id", chunk_tokens: int = CHUNK_TOKENS, partition_text: int = PARTITION_TEXT, spread_share: float = SPREAD_SHARE) -> DataFrame:
+def katz_scores(
+    df: DataFrame, text: str = "text", key: str = "doc_id", order: int = ORDER, chunk_tokens: int = CHUNK_TOKENS, partition_text: int = PARTITION_TEXT, fan: int = FAN
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of df."""
-    import numpy as np
-
     spark = df.sparkSession
-    work = Scratch(spark, "katz")
+    work, folder = Scratch(spark, "katz"), scratch(spark, "katz-text")
     docs = df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = shuffle_partitions(spark, size, partition_text)
-    # in buckets by chunk, so that the two steps that bring answers to the chunks do not shuffle them
-    name = f"katz_chunks_{uuid.uuid4().hex[:12]}"
-    docs.mapInArrow(_chunks(chunk_tokens), CHUNK).write.bucketBy(parts, "chunk").option("compression", "none").saveAsTable(name)
-    chunks = spark.table(name)
-
-    # words; a word is a large context above this count, and fewer than spread_share * parts words can be
-    tokens_bound = chunks.agg(F.sum(F.size("ids"))).first()[0] or 0
-    above = max(size / 8, tokens_bound) / (spread_share * parts)
-    sent = chunks.mapInArrow(_word_blocks(parts), "part int, chunk string, words binary, counts binary")
-    answers = work.keep(sent.groupBy("part").applyInArrow(_add_words(above), ANSWER), "words")
-    own = answers.filter("kind = 'statistics'").select("large", "n").collect()  # a row a partition, short lists
-    totals = np.array([r["n"] for r in own], dtype=np.int64).sum(axis=0).tolist() if own else [0] * (LARGEST + 4)
-    words = Words(totals[0], totals[1], totals[2:])
-    large = np.sort(np.array([x for r in own for x in r["large"]], np.int64).view(np.uint64))
-    _let_go(spark)
-
-    # pairs
-    to_words = answers.filter("kind = 'words'")
-    sent = chunks.groupBy("chunk").cogroup(to_words.groupBy("chunk")).applyInArrow(_pair_blocks(parts, large), "part int, chunk string, contexts binary, sizes binary, next binary, counts binary, totals binary")
-    pairs = work.keep(sent.groupBy("part").applyInArrow(_add_pairs(words, large), ANSWER), "pairs")
-    n = pairs.filter("kind = 'statistics'").select(*[F.sum(F.col("n")[r]).alias(f"n{r}") for r in range(LARGEST + 2)]).first()
-    d = discounts([x or 0 for x in n])
-    low, sums = np.zeros((len(large), LARGEST)), np.zeros(len(large))
-    parted = pairs.filter("kind = 'large'").select("large", "n", "sums")
-    for r in parted.collect():  # at most SPREAD rows for each large context
-        k = np.searchsorted(large, np.array(r["large"], np.int64).view(np.uint64)[0])
-        low[k] += r["n"]
-        sums[k] += np.frombuffer(r["sums"])[0]
-    _let_go(spark)
-
-    # scores
-    to_chunks = to_words.unionByName(pairs.filter("kind = 'pairs'"))
-    schema = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    out = chunks.groupBy("chunk").cogroup(to_chunks.groupBy("chunk")).applyInArrow(_scores(parts, words, d, large, low, sums), schema)
+    width = 1 if parts <= fan else math.ceil(math.sqrt(parts))
+    chunks = work.keep(docs.mapInArrow(_chunks(folder, chunk_tokens), "origin string"), "chunks")
+    bundles = math.ceil(chunks.count() / math.ceil(parts / width))
+    bundle = F.pmod(F.xxhash64("origin"), F.lit(max(bundles, 1))).cast("int")
+
+    answers, d, words = [], [], Words(0, 0, [0] * (LARGEST + 2))
+    for level in range(1, order + 1):
+        ask = _ask(folder, level, parts, width, words.tokens)
+        sent = chunks.mapInArrow(ask, BLOCK) if level == 1 else _all(answers).groupBy("origin").applyInArrow(ask, BLOCK)
+        if width > 1:
+            staged = work.keep(sent.withColumn("bundle", bundle), f"staged-{level}")
+            sent = staged.groupBy("bundle", "part").applyInArrow(_onward, BLOCK)
+        got = work.keep(sent.groupBy("part").applyInArrow(_add(level < order, level > 1), ANSWER), f"answers-{level}")
+        n = got.filter("origin is null").select(*[F.sum(F.col("n")[k]).alias(f"n{k}") for k in range(LARGEST + 4)]).first()
+        n = [x or 0 for x in n]
+        if level == 1:
+            words = Words(n[0], n[1], n[2:])
+        d.append(discounts(n[2:]))
+        got = got.filter("origin is not null")
+        if width > 1:
+            address = F.split("origin", ":")
+            replies = got.withColumns({"bundle": address[0].cast("int"), "part": address[1].cast("int")})
+            got = work.keep(staged.groupBy("bundle", "part").cogroup(replies.groupBy("bundle", "part")).applyInArrow(_homeward, ANSWER), f"home-{level}")
+            work.drop(f"staged-{level}", f"answers-{level}")
+        answers.append(got.select(F.lit(level).alias("level"), "origin", "first", "totals", "ids", "few", "many"))
+    out = work.keep(_all(answers).groupBy("origin").applyInArrow(_scores(folder, order, parts, words, d), SCORE), "scores")
+    work.drop(*[name for name in work.paths if name != "scores"])
+    discard(spark, folder)
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % HELD_OUT[0] == HELD_OUT[1]
     return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-def _let_go(spark) -> None:
-    """Lets the driver's JVM notice that a step's shuffle files are no longer needed, so that executors delete them."""
-    import gc
-
-    gc.collect()
-    spark._jvm.System.gc()
+def _all(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
