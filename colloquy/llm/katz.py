@@ -47,7 +47,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, discard, filesystem, scratch, shuffle_partitions, text_or_empty, write_whole
+from .common import Scratch, WholeFile, discard, filesystem, scratch, shuffle_partitions, text_or_empty
 from .near_dedup import mix
 
 ORDER = 3
@@ -55,14 +55,16 @@ ORDER = 3
 HELD_OUT = (10, 0)
 #: Counts above this are not discounted.
 LARGEST = 5
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS = 600_000
 #: Bytes of text for each model partition.
-PARTITION_TEXT = 16 << 20
+PARTITION_TEXT = 8 << 20
 #: A context is spread over a partition more for every SPREAD times the mean of a partition that its total reaches.
 SPREAD = 4
 #: Blocks that a chunk sends at most; beyond so many partitions it sends to ranges of them.
 FAN = 2048
 END = b" "
+#: Added to the folder of the chunks: that of the hashes of their words, which go after level 1.
+WORDS = "-words"
 
 
 class Hashes(dict):
@@ -80,7 +82,11 @@ class Hashes(dict):
 _HASHES = Hashes()
 
 
-def pack(values) -> bytes:
+#: Marks packed differences.
+DIFFERENCES = 0x80
+
+
+def pack(values, mark: int = 0) -> bytes:
     """Unsigned integers as byte planes, compressed."""
     import numpy as np
     import zstandard
@@ -88,30 +94,25 @@ def pack(values) -> bytes:
     x = np.ascontiguousarray(values, "<u8")
     width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
     planes = np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T)
-    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unpack(data: bytes):
-    import numpy as np
-    import zstandard
-
-    width, planes = data[0], np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8)
-    out = np.zeros((len(planes) // width, 8), np.uint8)
-    out[:, :width] = planes.reshape(width, -1).T
-    return out.view("<u8").ravel()
+    return bytes([width | mark]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def pack_sorted(values) -> bytes:
     """As pack(), by differences; also right, if not small, where values fall."""
     import numpy as np
 
-    return pack(np.diff(values, prepend=np.uint64(0)))
+    return pack(np.diff(values, prepend=np.uint64(0)), DIFFERENCES)
 
 
-def unpack_sorted(data: bytes):
+def unpack(data: bytes):
     import numpy as np
+    import zstandard
 
-    return np.cumsum(unpack(data), dtype=np.uint64)
+    width, planes = data[0] & ~DIFFERENCES, np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8)
+    out = np.zeros((len(planes) // width, 8), np.uint8)
+    out[:, :width] = planes.reshape(width, -1).T
+    values = out.view("<u8").ravel()
+    return np.cumsum(values, dtype=np.uint64) if data[0] & DIFFERENCES else values
 
 
 def tokens_of(text: str) -> list[bytes]:
@@ -172,54 +173,53 @@ class Words:
 
 
 def _chunks(folder: str, limit: int):
-    """Writes chunks to a file of the task, and yields their names, which say where they are."""
+    """Writes chunks to a file of the task, the hashes of their words to another, and yields their names, which say where they are."""
 
     def run(batches: Iterator):
         import numpy as np
         import pyarrow as pa
 
-        end, name, names = np.array([_HASHES[END]], np.uint64), uuid.uuid4().hex[:12], []
+        end, name, names, files = np.array([_HASHES[END]], np.uint64), uuid.uuid4().hex[:12], [], []
 
         def chunk(ids, arrays):
+            if not files:
+                files.extend(WholeFile(f"{folder}{kind}/{name}") for kind in ("", WORDS))
             lengths = np.fromiter(map(len, arrays), np.uint64, len(arrays))
             words, tokens = np.unique(np.concatenate(arrays), return_inverse=True)
-            columns = [pa.array([ids], pa.list_(pa.int64())), *[pa.array([x], pa.binary()) for x in (pack(lengths), pack_sorted(words), pack(tokens))]]
-            batch = pa.RecordBatch.from_arrays(columns, ["ids", "lengths", "words", "tokens"])
+            columns = [pa.array([ids], pa.list_(pa.int64())), *[pa.array([x], pa.binary()) for x in (pack(lengths), pack(tokens))]]
+            batch = pa.RecordBatch.from_arrays(columns, ["ids", "lengths", "tokens"])
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, batch.schema) as out:
                 out.write_batch(batch)
-            return sink.getvalue().to_pybytes()
-
-        def packed():
-            ids, arrays, count, at = [], [], 0, 0
-            for batch in batches:
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                    runs = tokens_of(text)
-                    ids.append(doc_id)
-                    arrays.append(np.concatenate([np.fromiter(map(_HASHES.__getitem__, runs), np.uint64, len(runs)), end]))
-                    count += len(runs) + 1
-                    if count >= limit:
-                        data = chunk(ids, arrays)
-                        names.append(f"{name}-{at}-{len(data)}")
-                        ids, arrays, count, at = [], [], 0, at + len(data)
-                        yield data
-            if ids:
-                data = chunk(ids, arrays)
-                names.append(f"{name}-{at}-{len(data)}")
-                yield data
-
-        parts = packed()
-        first = next(parts, None)
-        if first is not None:
-            write_whole(f"{folder}/{name}", _chain(first, parts))
+            at = [f.size for f in files]
+            for file, data in zip(files, (sink.getvalue().to_pybytes(), pack_sorted(words))):
+                file.write(data)
+            names.append("-".join([name, *[f"{a}-{f.size - a}" for a, f in zip(at, files)]]))
+
+        ids, arrays, count = [], [], 0
+        for batch in batches:
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                runs = tokens_of(text)
+                ids.append(doc_id)
+                arrays.append(np.concatenate([np.fromiter(map(_HASHES.__getitem__, runs), np.uint64, len(runs)), end]))
+                count += len(runs) + 1
+                if count >= limit:
+                    chunk(ids, arrays)
+                    ids, arrays, count = [], [], 0
+        if ids:
+            chunk(ids, arrays)
+        for file in files:
+            file.close()
+        if names:
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["origin"])
 
     return run
 
 
-def _chain(first, rest):
-    yield first
-    yield from rest
+def _read(folder: str, file: str, offset: str, size: str) -> bytes:
+    fs, path = filesystem(f"{folder}/{file}")
+    with fs.open_input_file(path) as source:
+        return source.read_at(int(size), int(offset))
 
 
 def _part_of(hashes, parts: int):
@@ -241,9 +241,7 @@ class Level:
         import numpy as np
 
         if below is None:
-            self.at, self.n = chunk.tokens, len(chunk.words)
-            self.block_id, self.block_size, self.next = chunk.words, np.ones(self.n, np.int64), np.zeros(self.n, np.uint64)
-            self.block_part = _part_of(chunk.words, chunk.parts)
+            self.at, self.n = chunk.tokens, int(chunk.tokens.max()) + 1
             return
         words, k = chunk.levels[0], len(chunk.levels) + 1
         place = np.flatnonzero(chunk.place >= k - 2)
@@ -276,6 +274,22 @@ class Level:
         self.block_size = np.bincount(np.searchsorted(rows, codes), minlength=len(rows))
         self.block_id, self.next, self.over = below.ids[self.block_context], words.ids[self.last], over
 
+    def ask_for_words(self, hashes, parts: int) -> None:
+        """Level 1 is sent as contexts with an n-gram each."""
+        import numpy as np
+
+        self.block_id, self.block_size, self.next = hashes, np.ones(self.n, np.int64), np.zeros(self.n, np.uint64)
+        self.block_part = _part_of(hashes, parts)
+
+    def in_order_of_ids(self) -> None:
+        """Words are numbered by frequency, not by hash; the chunk follows."""
+        import numpy as np
+
+        order = np.argsort(self.ids)
+        turned = np.empty(self.n, np.int64)
+        turned[order] = np.arange(self.n)
+        self.ids, self.total, self.at = self.ids[order], self.total[order], turned[self.at]
+
     def answer(self, rows: list[dict]) -> None:
         """Takes totals and, if there are any, ids."""
         import numpy as np
@@ -283,7 +297,7 @@ class Level:
         self.total, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint64)
         if self.n:
             self.total = np.concatenate([unpack(r["totals"]) for r in rows]).astype(np.int64)
-            self.ids = np.concatenate([unpack_sorted(r["ids"]) for r in rows if r["ids"] is not None] or [self.ids])
+            self.ids = np.concatenate([unpack(r["ids"]) for r in rows if r["ids"] is not None] or [self.ids])
 
     def weigh(self, rows: list[dict], below: "Level", d, d_below, words: Words) -> None:
         """From the numbers of contexts what p() needs: whole (what a discounted count is divided by) and alpha."""
@@ -292,7 +306,8 @@ class Level:
         r = np.arange(1, LARGEST + 1)
         few = np.concatenate([unpack(x["few"]).reshape(2 * LARGEST, -1) for x in rows], axis=1).astype(float)
         many = np.concatenate([unpack(x["many"]).reshape(2, -1) for x in rows], axis=1).astype(float)
-        parts = np.stack([r @ few[:LARGEST] + many[0], (d[1:] * r) @ few[:LARGEST] + many[0], (d_below[1:] * r) @ few[LARGEST:] + many[1], few[:LARGEST].sum(axis=0)])
+        total_of = lambda factors, counts, rest: sum((f * c for f, c in zip(factors, counts)), rest)
+        parts = np.stack([total_of(r, few[:LARGEST], many[0]), total_of(d[1:] * r, few[:LARGEST], many[0]), total_of(d_below[1:] * r, few[LARGEST:], many[1]), few[:LARGEST].sum(axis=0)])
         of = np.zeros((4, below.n))
         once = self.over[self.block_context] <= 1
         of[:, self.block_context[once]] = parts[:, once]
@@ -324,13 +339,11 @@ class Chunk:
         import numpy as np
         import pyarrow as pa
 
-        file, offset, size = name.split("-")
-        fs, path = filesystem(f"{folder}/{file}")
-        with fs.open_input_file(path) as source:
-            row = pa.ipc.open_stream(source.read_at(int(size), int(offset))).read_all().to_pylist()[0]
+        file, *self.where = name.split("-")
+        row = pa.ipc.open_stream(_read(folder, file, *self.where[:2])).read_all().to_pylist()[0]
         self.parts, self.mean = parts, max(tokens / parts, 1.0)
         self.ids, self.lengths = row["ids"], unpack(row["lengths"]).astype(np.int64)
-        self.words, self.tokens = unpack_sorted(row["words"]), unpack(row["tokens"]).astype(np.int64)
+        self.tokens = unpack(row["tokens"]).astype(np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.place = np.arange(len(self.tokens)) - np.repeat(self.starts, self.lengths)
         self.end = int(self.tokens[-1])
@@ -346,9 +359,16 @@ class Chunk:
     def climb(self, answers: dict[int, list[dict]]) -> None:
         """Adds a level; all that are there must have been answered."""
         if self.levels:
-            self.levels[-1].answer(answers.get(len(self.levels), []))
+            self.answer(answers)
         self.levels.append(Level(self, self.levels[-1] if self.levels else None))
 
+    def answer(self, answers: dict[int, list[dict]]) -> None:
+        """Gives the highest level its answers."""
+        self.levels[-1].answer(answers.get(len(self.levels), []))
+        if len(self.levels) == 1 and len(self.levels[0].ids):
+            self.levels[0].in_order_of_ids()
+            self.tokens, self.end = self.levels[0].at, int(self.levels[0].at[-1])
+
     def requests(self, name: str, width: int) -> list[tuple]:
         """The blocks of the highest level, one for each `width` partitions."""
         import numpy as np
@@ -418,7 +438,7 @@ class Merged:
         rows = group.sort_by("origin")
         self.origins = rows.column("origin").to_pylist()
         read = lambda name, how: [how(x) for x in rows.column(name).to_pylist()]
-        part, context = (np.concatenate(read(n, unpack_sorted)) for n in ("parts", "contexts"))
+        part, context = (np.concatenate(read(n, unpack)) for n in ("parts", "contexts"))
         sizes = read("sizes", unpack)
         self.rows, self.grams = [len(x) for x in sizes], [int(x.sum()) for x in sizes]
         order = np.lexsort((context, part)) if len(part) and part.min() != part.max() else np.argsort(context, kind="stable")
@@ -428,8 +448,18 @@ class Merged:
         self.part, self.context = part[order[fresh]].astype(np.int64), context[order[fresh]]
         owner = np.repeat(self.row, np.concatenate(sizes).astype(np.int64))
         following = np.concatenate(read("next", unpack))
-        order = np.lexsort((following, owner))
-        fresh = np.concatenate([[True], (np.diff(owner[order]) != 0) | (np.diff(following[order]) != 0)])[: len(order)]
+        # an id is a partition and a number in it; with the owner's number it mostly fits 63 bits
+        high, low = (following >> np.uint64(32)).astype(np.int64), (following & np.uint64((1 << 32) - 1)).astype(np.int64)
+        wide = int(low.max(initial=0)) + 1
+        span = (int(high.max(initial=0)) + 1) * wide
+        if len(self.part) * span < 1 << 63:
+            codes = owner * span + high * wide + low
+            order = np.argsort(codes)
+            fresh = np.concatenate([[True], np.diff(codes[order]) != 0])[: len(order)]
+        else:
+            order = np.lexsort((following, owner))
+            fresh = np.concatenate([[True], (np.diff(owner[order]) != 0) | (np.diff(following[order]) != 0)])[: len(order)]
+        high = low = codes = None
         self.gram = np.empty(len(order), np.int64)
         self.gram[order] = np.cumsum(fresh) - 1
         first = order[fresh]
@@ -442,11 +472,14 @@ class Merged:
 
     def back(self, first: int, totals, ids, few, many) -> list[tuple]:
         """An answer for every block."""
+        import numpy as np
+
+        sorted_ids = ids is not None and bool((np.diff(ids.view(np.int64)) > 0).all())
         out, a, x = [], 0, 0
         for origin, rows, grams in zip(self.origins, self.rows, self.grams):
             row, gram = self.row[a : a + rows], self.gram[x : x + grams]
             out.append((
-                origin, first, pack(totals[gram]), None if ids is None else pack_sorted(ids[gram]),
+                origin, first, pack(totals[gram]), None if ids is None else pack_sorted(ids[gram]) if sorted_ids else pack(ids[gram]),
                 None if few is None else pack(few[:, row].ravel()), None if many is None else pack(many[:, row].ravel()), None,
             ))
             a, x = a + rows, x + grams
@@ -464,9 +497,14 @@ def _add(with_ids: bool, with_contexts: bool):
         few = many = None
         if with_contexts:
             seen, rows = m.count > 0, len(m.part)
-            few = np.stack([np.bincount(m.owner[which == r], minlength=rows) for which in (m.count, np.where(seen, m.lower, 0)) for r in range(1, LARGEST + 1)])
+            few = np.stack([np.bincount(m.owner[which == r], minlength=rows).astype(np.int32) for which in (m.count, np.where(seen, m.lower, 0)) for r in range(1, LARGEST + 1)])
             many = np.stack([np.bincount(m.owner, np.where(seen & (x > LARGEST), x, 0), rows).astype(np.int64) for x in (m.count, m.lower)])
-        ids = (np.uint64(part) << np.uint64(32)) | np.arange(len(m.count), dtype=np.uint64) if with_ids else None
+        ids = None
+        if with_ids:
+            number = np.arange(len(m.count), dtype=np.uint64)
+            if not with_contexts:  # words by frequency, which makes small numbers frequent
+                number[np.argsort(-m.count, kind="stable")] = np.arange(len(m.count), dtype=np.uint64)
+            ids = (np.uint64(part) << np.uint64(32)) | number
         n = np.bincount(np.minimum(m.count, LARGEST + 2), minlength=LARGEST + 3)[: LARGEST + 2].tolist()
         return _answer_table([*m.back(part, m.count, ids, few, many), (None, part, None, None, None, None, [int(m.count.sum()), int((m.count > 0).sum()), *n])])
 
@@ -489,7 +527,7 @@ def _homeward(staged, replies):
     m, rows = Merged(staged), replies.sort_by("first").to_pylist()
     both = lambda name, how: None if rows[0][name] is None else how([r[name] for r in rows])
     totals = np.concatenate([unpack(r["totals"]) for r in rows]).astype(np.int64)
-    ids = both("ids", lambda xs: np.concatenate([unpack_sorted(x) for x in xs]))
+    ids = both("ids", lambda xs: np.concatenate([unpack(x) for x in xs]))
     few = both("few", lambda xs: np.concatenate([unpack(x).reshape(2 * LARGEST, -1) for x in xs], axis=1))
     many = both("many", lambda xs: np.concatenate([unpack(x).reshape(2, -1) for x in xs], axis=1))
     return _answer_table(m.back(staged.column("part")[0].as_py(), totals, ids, few, many))
@@ -501,6 +539,8 @@ def _ask(folder: str, level: int, parts: int, width: int, tokens: int):
             for name in batch.column("origin").to_pylist():
                 chunk = Chunk(folder, name, parts)
                 chunk.climb({})
+                file, *_, offset, size = name.split("-")
+                chunk.levels[0].ask_for_words(unpack(_read(f"{folder}{WORDS}", file, offset, size)), parts)
                 yield from _block_table(chunk.requests(name, width)).to_batches()
 
     def grams(group):
@@ -532,7 +572,7 @@ def _scores(folder: str, order: int, parts: int, words: Words, d: list):
         chunk = Chunk(folder, group.column("origin")[0].as_py(), parts, words.tokens)
         for _ in range(order):
             chunk.climb(answers)
-        chunk.levels[-1].answer(answers.get(order, []))
+        chunk.answer(answers)
         for k in range(2, order + 1):
             if chunk.levels[k - 1].n:
                 chunk.levels[k - 1].weigh(answers[k], chunk.levels[k - 2], d[k - 1], d[k - 2], words)
@@ -570,7 +610,7 @@ def katz_scores(
     answers, d, words = [], [], Words(0, 0, [0] * (LARGEST + 2))
     for level in range(1, order + 1):
         ask = _ask(folder, level, parts, width, words.tokens)
-        sent = chunks.mapInArrow(ask, BLOCK) if level == 1 else _all(answers).groupBy("origin").applyInArrow(ask, BLOCK)
+        sent = chunks.mapInArrow(ask, BLOCK) if level == 1 else _all([a.drop("few", "many") for a in answers]).groupBy("origin").applyInArrow(ask, BLOCK)
         if width > 1:
             staged = work.keep(sent.withColumn("bundle", bundle), f"staged-{level}")
             sent = staged.groupBy("bundle", "part").applyInArrow(_onward, BLOCK)
@@ -579,6 +619,7 @@ def katz_scores(
         n = [x or 0 for x in n]
         if level == 1:
             words = Words(n[0], n[1], n[2:])
+            discard(spark, f"{folder}{WORDS}")
         d.append(discounts(n[2:]))
         got = got.filter("origin is not null")
         if width > 1:
