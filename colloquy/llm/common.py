@@ -69,17 +69,31 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+class WholeFile:
+    """A file that appears under its name only when it is closed without an error."""
+
+    def __init__(self, uri: str):
+        self.fs, self.path = filesystem(uri)
+        self.fs.create_dir(self.path.rsplit("/", 1)[0], recursive=True)
+        self.part, self.size = f"{self.path}.{uuid.uuid4().hex[:8]}.part", 0
+        self.out = self.fs.open_output_stream(self.part)
+
+    def write(self, data: bytes) -> None:
+        self.out.write(data)
+        self.size += len(data)
+
+    def close(self) -> None:
+        self.out.close()
+        self.fs.move(self.part, self.path)
+
+
 def write_whole(uri: str, parts) -> int:
     """Writes byte strings to a file that appears under its name only when complete, so that a retried task replaces it."""
-    fs, path = filesystem(uri)
-    fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    part, size = f"{path}.{uuid.uuid4().hex[:8]}.part", 0
-    with fs.open_output_stream(part) as out:
-        for p in parts:
-            out.write(p)
-            size += len(p)
-    fs.move(part, path)
-    return size
+    file = WholeFile(uri)
+    for p in parts:
+        file.write(p)
+    file.close()
+    return file.size
 
 
 def shuffle_partitions(spark: SparkSession, total_bytes: float = 0, each: int = 64 << 20) -> int:

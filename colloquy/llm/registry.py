@@ -51,8 +51,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = warc.archive_pages(table(spark, sf_dir, "pages"))
-    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,13 +68,19 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                    doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
-        "op9_warc": """
-            WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
-            d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS latest FROM p),
-            b AS (SELECT *, array_to_string(list_transform(string_split(x, ''), lambda c: lpad(bin(('0x' || c)::INT), 4, '0')), '') AS bits FROM d)
+        "op9_warc": r"""
+            WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
+            d AS (SELECT page_id, url, strlen(h) AS payload_bytes, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS latest FROM p),
+            b AS (SELECT *, array_to_string(list_transform(string_split(x, ''), lambda c: lpad(bin(('0x' || c)::INT), 4, '0')), '') AS bits,
+                         regexp_extract(trim(url), '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::([0-9]*))?([^?#]*)(?:[?]([^#]*))?', ['host', 'port', 'path', 'query']) AS u FROM d),
+            k AS (SELECT *, CASE WHEN url IS NULL THEN 'urn:null' WHEN u.host = '' THEN lower(trim(url)) ELSE
+                       array_to_string(list_reverse(string_split(regexp_replace(lower(u.host), '^www[.]', ''), '.')), ',') || CASE WHEN u.port IN ('', '80', '443') THEN '' ELSE ':' || u.port END || ')'
+                       || CASE WHEN u.path = '' THEN '/' ELSE lower(u.path) END || CASE WHEN u.query = '' THEN '' ELSE '?' || lower(u.query) END END AS url_key,
+                       strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id), '%Y%m%d%H%M%S') AS captured FROM b)
             SELECT page_id, payload_bytes,
                    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(list_sum(list_transform(range(5), lambda k:
                        substr(bits, CAST(5 * i + k + 1 AS INT), 1)::INT * [16, 8, 4, 2, 1][CAST(k + 1 AS INT)])) AS INT), 1)), '') AS payload_digest,
-                   CASE WHEN page_id = latest THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> latest THEN latest END AS refers_to
-            FROM b""",
+                   CASE WHEN page_id = latest THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> latest THEN latest END AS refers_to,
+                   url_key, captured, row_number() OVER (ORDER BY url_key, captured, page_id) - 1 AS position
+            FROM k""",
     }
