@@ -62,6 +62,8 @@ PARTITION_TEXT = 8 << 20
 SPREAD = 4
 #: Blocks that a chunk sends at most; beyond so many partitions it sends to ranges of them.
 FAN = 2048
+#: Chunks are scored in so many turns, so that only a part of all answers is in the shuffle at a time.
+TURNS = 4
 END = b" "
 #: Added to the folder of the chunks: that of the hashes of their words, which go after level 1.
 WORDS = "-words"
@@ -628,9 +630,11 @@ def katz_scores(
             got = work.keep(staged.groupBy("bundle", "part").cogroup(replies.groupBy("bundle", "part")).applyInArrow(_homeward, ANSWER), f"home-{level}")
             work.drop(f"staged-{level}", f"answers-{level}")
         answers.append(got.select(F.lit(level).alias("level"), "origin", "first", "totals", "ids", "few", "many"))
-    out = work.keep(_all(answers).groupBy("origin").applyInArrow(_scores(folder, order, parts, words, d), SCORE), "scores")
-    work.drop(*[name for name in work.paths if name != "scores"])
+    score, turn = _scores(folder, order, parts, words, d), F.pmod(F.xxhash64("origin", F.lit(order)), F.lit(TURNS))
+    scored = [work.keep(_all(answers).filter(turn == k).groupBy("origin").applyInArrow(score, SCORE), f"scores-{k}") for k in range(TURNS)]
+    work.drop(*[name for name in work.paths if not name.startswith("scores-")])
     discard(spark, folder)
+    out = _all(scored)
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % HELD_OUT[0] == HELD_OUT[1]
     return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
