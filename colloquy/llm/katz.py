@@ -55,7 +55,7 @@ ORDER = 3
 HELD_OUT = (10, 0)
 #: Counts above this are not discounted.
 LARGEST = 5
-CHUNK_TOKENS = 600_000
+CHUNK_TOKENS = 700_000
 #: Bytes of text for each model partition.
 PARTITION_TEXT = 8 << 20
 #: A context is spread over a partition more for every SPREAD times the mean of a partition that its total reaches.
@@ -75,7 +75,7 @@ class Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > 300_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -212,6 +212,7 @@ def _chunks(folder: str, limit: int):
             chunk(ids, arrays)
         for file in files:
             file.close()
+        _HASHES.clear()  # the worker has other things to hold
         if names:
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["origin"])
 
@@ -247,12 +248,12 @@ class Level:
             return
         words, k = chunk.levels[0], len(chunk.levels) + 1
         place = np.flatnonzero(chunk.place >= k - 2)
-        before = below.at[np.maximum(place - 1, 0)]
+        before = below.at[np.maximum(place - 1, 0)].astype(np.int64)
         if k == 2:
             before = np.where(chunk.place[place] == 0, chunk.end, before)
         grams, inverse = np.unique(before * words.n + chunk.tokens[place], return_inverse=True)
         context, last, n = grams // words.n, grams % words.n, len(grams)
-        suffix = np.empty(n, np.int64)
+        suffix = np.empty(n, np.int32)
         suffix[inverse] = below.at[place]
         home, over = (below.ids >> np.uint64(32)).astype(np.int64), chunk.spread(below.total)
         part = home[context]
@@ -260,10 +261,11 @@ class Level:
         part[wide] = (part[wide] + (mix(words.ids[last[wide]]) % over[context[wide]].astype(np.uint64)).astype(np.int64)) % chunk.parts
         # n-grams are in order of (context, word), so a stable sort by partition keeps that order within each
         order = np.argsort(part, kind="stable")
-        turned = np.empty(n, np.int64)
+        turned = np.empty(n, np.int32)
         turned[order] = np.arange(n)
-        self.n, self.context, self.last, self.suffix, part = n, context[order], last[order], suffix[order], part[order]
-        self.at = np.full(len(chunk.tokens), -1, np.int64)
+        self.n, part = n, part[order]
+        self.context, self.last, self.suffix = (x[order].astype(np.int32) for x in (context, last, suffix))
+        self.at = np.full(len(chunk.tokens), -1, np.int32)
         self.at[place] = turned[inverse]
         # contexts by partition; a spread one is asked for in all its partitions, so that its numbers are whole
         codes = part * below.n + self.context
@@ -288,7 +290,7 @@ class Level:
         import numpy as np
 
         order = np.argsort(self.ids)
-        turned = np.empty(self.n, np.int64)
+        turned = np.empty(self.n, np.int32)
         turned[order] = np.arange(self.n)
         self.ids, self.total, self.at = self.ids[order], self.total[order], turned[self.at]
 
@@ -306,8 +308,7 @@ class Level:
         import numpy as np
 
         r = np.arange(1, LARGEST + 1)
-        few = np.concatenate([unpack(x["few"]).reshape(2 * LARGEST, -1) for x in rows], axis=1).astype(float)
-        many = np.concatenate([unpack(x["many"]).reshape(2, -1) for x in rows], axis=1).astype(float)
+        few, many = (np.concatenate(x, axis=1).astype(float) for x in zip(*[unpack_contexts(x["kinds"], x["few"], x["many"]) for x in rows]))
         total_of = lambda factors, counts, rest: sum((f * c for f, c in zip(factors, counts)), rest)
         parts = np.stack([total_of(r, few[:LARGEST], many[0]), total_of(d[1:] * r, few[:LARGEST], many[0]), total_of(d_below[1:] * r, few[LARGEST:], many[1]), few[:LARGEST].sum(axis=0)])
         of = np.zeros((4, below.n))
@@ -345,7 +346,7 @@ class Chunk:
         row = pa.ipc.open_stream(_read(folder, file, *self.where[:2])).read_all().to_pylist()[0]
         self.parts, self.mean = parts, max(tokens / parts, 1.0)
         self.ids, self.lengths = row["ids"], unpack(row["lengths"]).astype(np.int64)
-        self.tokens = unpack(row["tokens"]).astype(np.int64)
+        self.tokens = unpack(row["tokens"]).astype(np.int32)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.place = np.arange(len(self.tokens)) - np.repeat(self.starts, self.lengths)
         self.end = int(self.tokens[-1])
@@ -390,7 +391,32 @@ class Chunk:
 
 
 BLOCK = "part int, origin string, parts binary, contexts binary, sizes binary, next binary, counts binary, lower binary"
-ANSWER = "origin string, first int, totals binary, ids binary, few binary, many binary, n array<long>"
+ANSWER = "origin string, first int, totals binary, ids binary, kinds binary, few binary, many binary, n array<long>"
+#: The kind of a context whose numbers are spelled out; others have no n-gram, or a single one with small counts.
+SPELLED = 255
+
+
+def pack_contexts(few, many) -> tuple[bytes, bytes, bytes]:
+    """The numbers of contexts: of most, a byte tells all."""
+    import numpy as np
+
+    r, lower = few[:LARGEST], few[LARGEST:]
+    single = (r.sum(axis=0) == 1) & (lower.sum(axis=0) == 1) & (many == 0).all(axis=0)
+    kinds = np.where(single, 1 + r.argmax(axis=0) * LARGEST + lower.argmax(axis=0), np.where((few == 0).all(axis=0) & (many == 0).all(axis=0), 0, SPELLED))
+    rest = kinds == SPELLED
+    return pack(kinds), pack(few[:, rest].ravel()), pack(many[:, rest].ravel())
+
+
+def unpack_contexts(kinds: bytes, few: bytes, many: bytes):
+    import numpy as np
+
+    kinds = unpack(kinds).astype(np.int64)
+    out = np.zeros((2 * LARGEST, len(kinds)), np.int32), np.zeros((2, len(kinds)), np.int64)
+    rest, single = kinds == SPELLED, np.flatnonzero((kinds > 0) & (kinds < SPELLED))
+    out[0][:, rest], out[1][:, rest] = unpack(few).reshape(2 * LARGEST, -1), unpack(many).reshape(2, -1)
+    out[0][(kinds[single] - 1) // LARGEST, single] = 1
+    out[0][LARGEST + (kinds[single] - 1) % LARGEST, single] = 1
+    return out
 
 
 def _cuts(p):
@@ -426,9 +452,9 @@ def _block_table(rows: list[tuple]):
 def _answer_table(rows: list[tuple]):
     import pyarrow as pa
 
-    kinds = (pa.string(), pa.int32(), *[pa.binary()] * 4, pa.list_(pa.int64()))
-    names = ["origin", "first", "totals", "ids", "few", "many", "n"]
-    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*rows)) or [()] * 7, kinds)], names=names)
+    kinds = (pa.string(), pa.int32(), *[pa.binary()] * 5, pa.list_(pa.int64()))
+    names = ["origin", "first", "totals", "ids", "kinds", "few", "many", "n"]
+    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*rows)) or [()] * 8, kinds)], names=names)
 
 
 class Merged:
@@ -445,7 +471,7 @@ class Merged:
         self.rows, self.grams = [len(x) for x in sizes], [int(x.sum()) for x in sizes]
         order = np.lexsort((context, part)) if len(part) and part.min() != part.max() else np.argsort(context, kind="stable")
         fresh = np.concatenate([[True], (np.diff(context[order]) != 0) | (np.diff(part[order]) != 0)])[: len(order)]
-        self.row = np.empty(len(order), np.int64)
+        self.row = np.empty(len(order), np.int32)
         self.row[order] = np.cumsum(fresh) - 1
         self.part, self.context = part[order[fresh]].astype(np.int64), context[order[fresh]]
         owner = np.repeat(self.row, np.concatenate(sizes).astype(np.int64))
@@ -455,14 +481,14 @@ class Merged:
         wide = int(low.max(initial=0)) + 1
         span = (int(high.max(initial=0)) + 1) * wide
         if len(self.part) * span < 1 << 63:
-            codes = owner * span + high * wide + low
+            codes = owner.astype(np.int64) * span + high * wide + low
             order = np.argsort(codes)
             fresh = np.concatenate([[True], np.diff(codes[order]) != 0])[: len(order)]
         else:
             order = np.lexsort((following, owner))
             fresh = np.concatenate([[True], (np.diff(owner[order]) != 0) | (np.diff(following[order]) != 0)])[: len(order)]
         high = low = codes = None
-        self.gram = np.empty(len(order), np.int64)
+        self.gram = np.empty(len(order), np.int32)
         self.gram[order] = np.cumsum(fresh) - 1
         first = order[fresh]
         self.owner, self.next = owner[first], following[first]
@@ -482,7 +508,7 @@ class Merged:
             row, gram = self.row[a : a + rows], self.gram[x : x + grams]
             out.append((
                 origin, first, pack(totals[gram]), None if ids is None else pack_sorted(ids[gram]) if sorted_ids else pack(ids[gram]),
-                None if few is None else pack(few[:, row].ravel()), None if many is None else pack(many[:, row].ravel()), None,
+                *((None, None, None) if few is None else pack_contexts(few[:, row], many[:, row])), None,
             ))
             a, x = a + rows, x + grams
         return out
@@ -508,7 +534,7 @@ def _add(with_ids: bool, with_contexts: bool):
                 number[np.argsort(-m.count, kind="stable")] = np.arange(len(m.count), dtype=np.uint64)
             ids = (np.uint64(part) << np.uint64(32)) | number
         n = np.bincount(np.minimum(m.count, LARGEST + 2), minlength=LARGEST + 3)[: LARGEST + 2].tolist()
-        return _answer_table([*m.back(part, m.count, ids, few, many), (None, part, None, None, None, None, [int(m.count.sum()), int((m.count > 0).sum()), *n])])
+        return _answer_table([*m.back(part, m.count, ids, few, many), (None, part, None, None, None, None, None, [int(m.count.sum()), int((m.count > 0).sum()), *n])])
 
     return run
 
@@ -530,8 +556,8 @@ def _homeward(staged, replies):
     both = lambda name, how: None if rows[0][name] is None else how([r[name] for r in rows])
     totals = np.concatenate([unpack(r["totals"]) for r in rows]).astype(np.int64)
     ids = both("ids", lambda xs: np.concatenate([unpack(x) for x in xs]))
-    few = both("few", lambda xs: np.concatenate([unpack(x).reshape(2 * LARGEST, -1) for x in xs], axis=1))
-    many = both("many", lambda xs: np.concatenate([unpack(x).reshape(2, -1) for x in xs], axis=1))
+    numbers = None if rows[0]["kinds"] is None else [unpack_contexts(r["kinds"], r["few"], r["many"]) for r in rows]
+    few, many = (None, None) if numbers is None else (np.concatenate(x, axis=1) for x in zip(*numbers))
     return _answer_table(m.back(staged.column("part")[0].as_py(), totals, ids, few, many))
 
 
@@ -612,7 +638,7 @@ def katz_scores(
     answers, d, words = [], [], Words(0, 0, [0] * (LARGEST + 2))
     for level in range(1, order + 1):
         ask = _ask(folder, level, parts, width, words.tokens)
-        sent = chunks.mapInArrow(ask, BLOCK) if level == 1 else _all([a.drop("few", "many") for a in answers]).groupBy("origin").applyInArrow(ask, BLOCK)
+        sent = chunks.mapInArrow(ask, BLOCK) if level == 1 else _all([a.drop("kinds", "few", "many") for a in answers]).groupBy("origin").applyInArrow(ask, BLOCK)
         if width > 1:
             staged = work.keep(sent.withColumn("bundle", bundle), f"staged-{level}")
             sent = staged.groupBy("bundle", "part").applyInArrow(_onward, BLOCK)
@@ -629,7 +655,7 @@ def katz_scores(
             replies = got.withColumns({"bundle": address[0].cast("int"), "part": address[1].cast("int")})
             got = work.keep(staged.groupBy("bundle", "part").cogroup(replies.groupBy("bundle", "part")).applyInArrow(_homeward, ANSWER), f"home-{level}")
             work.drop(f"staged-{level}", f"answers-{level}")
-        answers.append(got.select(F.lit(level).alias("level"), "origin", "first", "totals", "ids", "few", "many"))
+        answers.append(got.select(F.lit(level).alias("level"), "origin", "first", "totals", "ids", "kinds", "few", "many"))
     score, turn = _scores(folder, order, parts, words, d), F.pmod(F.xxhash64("origin", F.lit(order)), F.lit(TURNS))
     scored = [work.keep(_all(answers).filter(turn == k).groupBy("origin").applyInArrow(score, SCORE), f"scores-{k}") for k in range(TURNS)]
     work.drop(*[name for name in work.paths if not name.startswith("scores-")])
