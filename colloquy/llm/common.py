@@ -101,6 +101,22 @@ def shuffle_partitions(spark: SparkSession, total_bytes: float = 0, each: int =
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total_bytes / each), 1)
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """Names like these that none of the columns has; Spark does not tell cases apart."""
+    taken, out = {c.casefold() for c in columns}, []
+    for name in names:
+        while name.casefold() in taken:
+            name += "_"
+        taken.add(name.casefold())
+        out.append(name)
+    return out
+
+
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by their exact names, dots and all."""
+    return [F.col(f"`{n.replace('`', '``')}`") for n in names]
+
+
 def text_or_empty(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
@@ -119,14 +135,15 @@ def attach_groups(members: DataFrame, groups: DataFrame, key: str, size: str, to
     matches nothing in the shuffled join of the rest.
     """
     values = [c for c in groups.columns if c != key]
+    hots, colds = ([f"{kind}{n}" for n in unused(members.columns, *[f"__{kind}_{v}" for v in values])] for kind in ("h", "c"))
+    hot_key, cold_key, own = unused(members.columns, "__hot_key", "__cold_key", "__own_key")
     least = max(total // HOT_SHARE, 1)
-    hot = groups.filter(F.col(size) > least).select(F.col(key), *[F.col(v).alias(f"__hot_{v}") for v in values])
-    cold = groups.filter(F.col(size) <= least).select(F.col(key).alias("__cold_key"), *[F.col(v).alias(f"__cold_{v}") for v in values])
-    out = members.join(F.broadcast(hot), key, "left").withColumn(
-        "__key", F.when(F.col(f"__hot_{size}").isNull(), F.col(key)).otherwise(F.concat(F.lit("~"), F.xxhash64(salt).cast("string")))
-    )
-    out = out.join(cold, F.col("__key") == F.col("__cold_key"), "left")
-    return out.select(*members.columns, *[F.coalesce(f"__hot_{v}", f"__cold_{v}").alias(v) for v in values])
+    hot = groups.filter(F.col(size) > least).select(F.col(key).alias(hot_key), *[F.col(v).alias(n) for v, n in zip(values, hots)])
+    cold = groups.filter(F.col(size) <= least).select(F.col(key).alias(cold_key), *[F.col(v).alias(n) for v, n in zip(values, colds)])
+    out = members.join(F.broadcast(hot), F.col(key) == F.col(hot_key), "left")
+    out = out.withColumn(own, F.when(F.col(hot_key).isNull(), F.col(key)).otherwise(F.concat(F.lit("~"), F.xxhash64(salt).cast("string"))))
+    out = out.join(cold, F.col(own) == F.col(cold_key), "left")
+    return out.select(*quoted(members.columns), *[F.coalesce(h, c).alias(v) for h, c, v in zip(hots, colds, values)])
 
 
 @contextlib.contextmanager
