@@ -11,15 +11,19 @@ About K ln K + 2K darts a document are thrown however long it is.
 
 Signatures are cut into bands. Documents that share a band are compared with
 one leader of their bucket, then with the best-linked member, then, where a
-bucket still holds several classes, across classes in blocks, best estimates
-first; every link counts only after the exact similarity is computed from the
-whole shingle sets. Classes are the connected components of links of 0.8 or more.
+bucket still holds several classes, across classes in blocks: the signatures say
+which members have a partner worth a comparison, and only their shingle sets are
+sent, best estimates first. Every link counts only after the exact similarity is
+computed from the whole sets. A leader's set is sent once for each block of its
+members. Classes are the connected components of links of 0.8 or more.
 
 Defined results: documents with the same words are one node, so copies never
 multiply pairs; a document of fewer than five words has one shingle of all its
 words; one without words (null, empty, only marks) equals only identical texts,
 null counting as empty; null and repeated ids are allowed (a null id is below
-every other); an empty table gives an empty result.
+every other); of a class, near_dedup() keeps one row, that of the smallest id
+and, among rows that repeat it, of the smallest hash; an empty table gives an
+empty result; columns of any name pass through.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, attach_groups, components, text_or_empty
+from .common import Scratch, attach_groups, components, quoted, text_or_empty, unused
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -40,8 +44,8 @@ BANDS, ROWS = 24, 5
 K = 240
 #: Standard deviations below the threshold at which an estimate excludes a pair.
 MARGIN = 4.0
-#: Rows of a bucket that are compared in memory at once.
-BLOCK_ROWS = 2_000
+#: Rows of a bucket that are compared in memory at once, on either side.
+BLOCK_ROWS = 500
 #: Below so many elements, darts of an element are thrown together.
 FEW = 3_000
 WORD = re.compile(r"\w+")
@@ -193,11 +197,11 @@ def _signatures(k: int, bands: int, rows: int):
         import pyarrow as pa
 
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            nodes, keys, sketches = [], [], []
-            for text in texts:
+            nodes, keys, sketches, sizes = [], [], [], []
+            for text in batch.column("text").to_pylist():
                 words = word_hashes(text)
                 nodes.append(node_of(text, words))
+                sizes.append(max(len(words) - SHINGLE + 1, 1))
                 if len(words):
                     signature = dart_signature(*weighted_shingles(words), k)
                     keys.append(band_keys(signature, bands, rows))
@@ -205,7 +209,8 @@ def _signatures(k: int, bands: int, rows: int):
                 else:
                     keys.append([])
                     sketches.append(b"")
-            yield pa.RecordBatch.from_arrays([ids, pa.array(nodes), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], ["doc_id", "node", "bands", "sketch"])
+            made = [pa.array(nodes), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), *made], ["doc_id", "key", "node", "bands", "sketch", "shingles"])
 
     return run
 
@@ -224,46 +229,84 @@ def _sets(batches: Iterator):
 
 
 def _similarities(batches: Iterator):
+    """Rows in order of hub and block, the hub's own first: the similarity of every member with its hub."""
     import numpy as np
     import pyarrow as pa
 
+    hub, elements, counts = None, None, None
     for batch in batches:
-        sims = []
-        columns = [batch.column(n).to_pylist() for n in ("ea", "ca", "eb", "cb")]
-        for ea, ca, eb, cb in zip(*columns):
-            sims.append(weighted_jaccard(np.frombuffer(ea, "<u8"), np.frombuffer(ca, "<i4"), np.frombuffer(eb, "<u8"), np.frombuffer(cb, "<i4")))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sims, pa.float64())], ["a", "b", "sim"])
+        rows = []
+        for h, node, e, c in zip(*[batch.column(n).to_pylist() for n in ("hub", "member", "e", "c")]):
+            e, c = np.frombuffer(e, "<u8"), np.frombuffer(c, "<i4")
+            if node is None:
+                hub, elements, counts = h, e, c
+            elif h != hub:
+                raise RuntimeError(f"the set of {h} is missing")
+            else:
+                rows.append((min(h, node), max(h, node), weighted_jaccard(elements, counts, e, c)))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.string(), pa.string(), pa.float64()))], ["a", "b", "sim"])
+
+
+class Block:
+    """Members of a bucket on two sides (0 and 1, or both: 2), and which pairs across classes are worth a comparison."""
+
+    def __init__(self, group, threshold: float, least: float):
+        import numpy as np
 
+        self.nodes = group.column("node").to_pylist()
+        _, self.kind = np.unique(np.array(group.column("root").to_pylist()), return_inverse=True)
+        self.sides, bucket = np.array(group.column("side").to_pylist()), group.column("bucket")[0].as_py()
+        self.sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), "<u2").reshape(len(self.nodes), -1)
+        self.bands = np.array(group.column("bands").to_pylist(), np.int64)
+        self.own = (self.bands == bucket).argmax(axis=1)
+        self.size = np.array(group.column("shingles").to_pylist())
+        self.threshold, self.least = threshold, least
+        self.left, self.right = np.flatnonzero((self.sides == 0) | (self.sides == 2)), np.flatnonzero((self.sides == 1) | (self.sides == 2))
+
+    def partners(self, i: int):
+        """Members of other classes, best estimate first, that do not share an earlier bucket with member i."""
+        import numpy as np
 
-def _across(threshold: float, least: float):
-    """Links between different classes of one block of a bucket, as many as join classes and no more.
+        js = self.right[self.kind[self.right] != self.kind[i]]
+        js = js[js > i] if self.sides[i] == 2 else js
+        js = js[np.minimum(self.size[js], self.size[i]) >= self.threshold * np.maximum(self.size[js], self.size[i])]
+        js = js[~(self.bands[js, : self.own[i]] == self.bands[i, : self.own[i]]).any(axis=1)]
+        estimate = (self.sketch[js] == self.sketch[i]).mean(axis=1)
+        return js[np.argsort(-estimate, kind="stable")][: int((estimate >= self.least).sum())]
+
+
+def _worthwhile(threshold: float, least: float):
+    """The members of a block that have a partner."""
+
+    def run(group):
+        import numpy as np
+
+        block = Block(group, threshold, least)
+        wanted = np.zeros(len(block.nodes), bool)
+        for i in block.left:
+            js = block.partners(i)
+            wanted[js] = True
+            wanted[i] |= len(js) > 0
+        return group.filter(wanted)
+
+    return run
 
-    A pair is compared if its estimate reaches `least`, in the first bucket that
-    it shares; the exact similarity decides.
-    """
+
+def _across(threshold: float, least: float):
+    """Links between different classes of one block, as many as join classes and no more; the exact similarity decides."""
 
     def run(group):
         import numpy as np
         import pyarrow as pa
 
-        nodes = group.column("node").to_pylist()
-        _, kind = np.unique(np.array(group.column("root").to_pylist()), return_inverse=True)
-        sides, bucket = np.array(group.column("side").to_pylist()), group.column("bucket")[0].as_py()
-        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), "<u2").reshape(len(nodes), -1)
-        bands = np.array(group.column("bands").to_pylist(), np.int64)
-        own = (bands == bucket).argmax(axis=1)
+        block = Block(group, threshold, least)
+        nodes, kind = block.nodes, block.kind
         elements = [np.frombuffer(x, "<u8") for x in group.column("e").to_pylist()]
         counts = [np.frombuffer(x, "<i4") for x in group.column("c").to_pylist()]
-        size = np.array([c.sum() for c in counts])
-        left, right = np.flatnonzero((sides == 0) | (sides == 2)), np.flatnonzero((sides == 1) | (sides == 2))
         a, b = [], []
-        for i in left:
-            js = right[kind[right] != kind[i]]
-            js = js[js > i] if sides[i] == 2 else js
-            js = js[np.minimum(size[js], size[i]) >= threshold * np.maximum(size[js], size[i])]
-            js = js[~(bands[js, : own[i]] == bands[i, : own[i]]).any(axis=1)]
-            estimate = (sketch[js] == sketch[i]).mean(axis=1)
-            for j in js[np.argsort(-estimate, kind="stable")][: int((estimate >= least).sum())]:
+        for i in block.left:
+            for j in block.partners(i):
                 if kind[i] != kind[j] and weighted_jaccard(elements[i], counts[i], elements[j], counts[j]) >= threshold:
                     a.append(min(nodes[i], nodes[j]))
                     b.append(max(nodes[i], nodes[j]))
@@ -273,34 +316,45 @@ def _across(threshold: float, least: float):
     return run
 
 
-def near_classes(
-    df: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD, k: int = K, bands: int = BANDS, rows: int = ROWS, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """One row per row of df: doc_id, class_id (smallest id of its class), class_size (rows), kept (it has that id)."""
+def row_key(key: str, text: str):
+    """What rows of equal id and text have in common."""
+    return F.sha2(F.concat(F.coalesce(F.col(key).cast("long").cast("string"), F.lit("")), F.lit(":"), text_or_empty(text)).cast("binary"), 256)
+
+
+def _classified(df: DataFrame, text: str, key: str, threshold: float, k: int, bands: int, rows: int, block_rows: int, margin: float | None) -> DataFrame:
+    """doc_id, key, rows (of its node), class_rep (id and key of the row that stays), class_size for every row of df."""
     spark = df.sparkSession
     work = Scratch(spark, "near")
-    docs = df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    signed = docs.mapInArrow(_signatures(k, bands, rows), "doc_id long, node string, bands array<long>, sketch binary")
+    docs = df.select(F.col(key).cast("long").alias("doc_id"), row_key(key, text).alias("key"), text_or_empty(text).alias("text"))
+    signed = docs.mapInArrow(_signatures(k, bands, rows), "doc_id long, key string, node string, bands array<long>, sketch binary, shingles long")
     signed = work.keep(signed, "signed")
-    rank = F.coalesce("doc_id", F.lit(NO_ID))
-    nodes = signed.groupBy("node").agg(F.min(rank).alias("rep"), F.count("*").alias("rows"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    rank = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "key")
+    nodes = signed.groupBy("node").agg(F.min(rank).alias("rep"), F.count("*").alias("rows"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("shingles").alias("shingles"))
     nodes = work.keep(nodes, "nodes")
 
     entries = nodes.select("node", F.explode("bands").alias("bucket"))
     buckets = entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1")
     shared = work.keep(entries.join(buckets, "bucket"), "shared")
-    involved = shared.select("node").distinct().join(nodes.select("node", "rep"), "node").select(F.col("rep"))
-    sets = docs.withColumn("rep", rank).join(involved.distinct(), "rep", "left_semi").select("text").mapInArrow(_sets, "node string, elements binary, counts binary")
+    involved = shared.select("node").distinct().join(nodes.select("node", "rep.key"), "node").select("key")
+    sets = docs.join(involved, "key", "left_semi").select("text").mapInArrow(_sets, "node string, elements binary, counts binary")
     sets = work.keep(sets.groupBy("node").agg(F.first("elements").alias("e"), F.first("counts").alias("c")), "sets")
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs (a, b) whose exact similarity reaches the threshold, and those below, by column sim."""
-        one = sets.select(F.col("node").alias("a"), F.col("e").alias("ea"), F.col("c").alias("ca"))
-        two = sets.select(F.col("node").alias("b"), F.col("e").alias("eb"), F.col("c").alias("cb"))
-        return work.keep(pairs.join(one, "a").join(two, "b").select("a", "b", "ea", "ca", "eb", "cb").mapInArrow(_similarities, "a string, b string, sim double"), name)
+        """Exact similarities, by column sim, of pairs (hub, member); a hub's set goes once to each block of its members."""
+        pairs = work.keep(pairs, f"pairs-{name}")
+        hubs = pairs.groupBy("hub").agg(F.count("*").alias("n"))
+        pairs = attach_groups(pairs, hubs, "hub", "n", pairs.count(), "member")
+        pairs = pairs.withColumn("block", F.pmod(F.xxhash64("member"), F.ceil(F.col("n") / F.lit(block_rows))).cast("int"))
+        own = sets.select(F.col("node").alias("__n"), "e", "c")
+        members = pairs.join(own, F.col("member") == F.col("__n")).select("hub", "block", "member", "e", "c")
+        leaders = pairs.select("hub", "block").distinct().join(own, F.col("hub") == F.col("__n")).select("hub", "block", F.lit(None).cast("string").alias("member"), "e", "c")
+        both = members.unionByName(leaders).repartition("hub", "block").sortWithinPartitions("hub", "block", F.col("member").asc_nulls_first())
+        out = work.keep(both.mapInArrow(_similarities, "a string, b string, sim double"), name)
+        work.drop(f"pairs-{name}")
+        return out
 
     def star(members: DataFrame, leader: str) -> DataFrame:
-        return members.filter(F.col("node") != F.col(leader)).select(F.least("node", leader).alias("a"), F.greatest("node", leader).alias("b")).distinct()
+        return members.filter(F.col("node") != F.col(leader)).select(F.col(leader).alias("hub"), F.col("node").alias("member")).distinct()
 
     def rooted(edges: DataFrame, name: str) -> DataFrame:
         found = components(edges.filter(F.col("sim") >= threshold).select("a", "b"), Scratch(spark, f"near-{name}"))
@@ -320,38 +374,67 @@ def near_classes(
     open_ = work.keep(unsettled(roots).join(degree, "node", "left").fillna(0, ["links"]), "open-2")
     centre = open_.groupBy("bucket").agg(F.max(F.struct("links", "node", "root")).alias("top"))
     again = open_.join(centre, "bucket").filter(F.col("root") != F.col("top.root")).withColumn("centre", F.col("top.node"))
-    again = star(again, "centre").join(tested, ["a", "b"], "left_anti")
-    more = links(again, "tested-2")
-    tested = tested.unionByName(more)
+    done = tested.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p")).select(F.col("p.a").alias("hub"), F.col("p.b").alias("member"))
+    again = star(again, "centre").join(done, ["hub", "member"], "left_anti")
+    tested = tested.unionByName(links(again, "tested-2"))
     roots = rooted(tested, "roots-2")
-    # 3. what is still apart: across classes, by estimate, in blocks
-    blocks = F.greatest(F.ceil(F.col("n") / F.lit(block_rows)), F.lit(1)).cast("int")
-    left = work.keep(unsettled(roots), "open-3").withColumn("blocks", blocks)
-    left = left.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    to = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))
-    dealt = left.withColumn("to", F.explode(to)).withColumn("side", F.when(F.col("to.i") == F.col("to.j"), 2).when(F.col("block") == F.col("to.i"), 0).otherwise(1))
-    dealt = dealt.select("bucket", F.col("to.i").alias("i"), F.col("to.j").alias("j"), "side", "node", "root")
-    dealt = dealt.join(nodes.select("node", "sketch", "bands"), "node").join(sets, "node")
-    least = threshold - MARGIN * math.sqrt(threshold * (1 - threshold) / k)
-    across = dealt.groupBy("bucket", "i", "j").applyInArrow(_across(threshold, least), "a string, b string, sim double")
+    # 3. what is still apart. Of a bucket, members of its largest class meet the others only: they lie in blocks, to each of
+    # which the others go; those others meet each other in pairs of blocks
+    left = work.keep(unsettled(roots), "open-3")
+    by_class = left.groupBy("bucket", "root").agg(F.count("*").alias("m"))
+    largest = by_class.groupBy("bucket").agg(F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("all"))
+    left = left.drop("n").join(largest, "bucket")
+    number = lambda n: F.ceil(n / F.lit(block_rows)).cast("int")
+    most, rest = number(F.col("top.m")), F.greatest(number(F.col("all") - F.col("top.m")), F.lit(1))
+    mine = lambda blocks: F.pmod(F.xxhash64("node"), blocks).cast("int")
+    place = lambda i, j, side: F.struct(F.lit(i).cast("int").alias("i") if isinstance(i, int) else i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
+    in_largest = F.array(place(-1, mine(most), F.lit(1)))
+    to_largest = F.transform(F.sequence(F.lit(0), most - 1), lambda o: place(-1, o, F.lit(0)))
+    among = F.transform(F.sequence(F.lit(0), rest - 1), lambda o: place(F.least(o, mine(rest)), F.greatest(o, mine(rest)), F.when(o == mine(rest), 2).when(mine(rest) < o, 0).otherwise(1)))
+    to = F.when(F.col("root") == F.col("top.root"), in_largest).otherwise(F.concat(to_largest, among))
+    dealt = left.select("bucket", F.explode(to).alias("to"), "node", "root").select("bucket", "to.i", "to.j", "to.side", "node", "root")
+    dealt = dealt.join(nodes.select("node", "sketch", "bands", "shingles"), "node")
+    least = -1.0 if margin is None else threshold - margin * math.sqrt(threshold * (1 - threshold) / k)
+    columns = "node string, bucket long, i int, j int, side int, root string, sketch binary, bands array<long>, shingles long"
+    worth = work.keep(dealt.groupBy("bucket", "i", "j").applyInArrow(_worthwhile(threshold, least), columns), "worth-3")
+    across = worth.join(sets, "node").groupBy("bucket", "i", "j").applyInArrow(_across(threshold, least), "a string, b string, sim double")
     tested = tested.unionByName(work.keep(across, "tested-3"))
     roots = work.keep(rooted(tested, "roots-3"), "roots")
 
     joined = nodes.select("node", "rep", "rows").join(roots, F.col("node") == F.col("__n"), "left").withColumn("root", F.coalesce("root", "node"))
     classes = joined.groupBy("root").agg(F.min("rep").alias("class_rep"), F.sum("rows").alias("class_size"))
     by_node = work.keep(joined.join(classes, "root").select("node", "rows", "class_rep", "class_size"), "classes")
-    work.drop("nodes", "shared", "sets", "tested-1", "tested-2", "tested-3", "open-2", "open-3", "roots")
-    total = signed.count()
-    out = attach_groups(signed.select("doc_id", "node"), by_node, "node", "rows", total, "doc_id")
-    class_id = F.when(F.col("class_rep") != NO_ID, F.col("class_rep"))
-    return out.select("doc_id", class_id.alias("class_id"), "class_size", F.col("doc_id").eqNullSafe(class_id).alias("kept"))
+    work.drop("nodes", "shared", "sets", "tested-1", "tested-2", "tested-3", "open-2", "open-3", "worth-3", "roots")
+    return attach_groups(signed.select("doc_id", "key", "node"), by_node, "node", "rows", signed.count(), "key")
 
 
-def near_dedup(df: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
-    """df without the rows that are not the first of their class (smallest key); columns as in df.
+def near_classes(
+    df: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD, k: int = K, bands: int = BANDS, rows: int = ROWS, block_rows: int = BLOCK_ROWS, margin: float | None = MARGIN
+) -> DataFrame:
+    """One row per row of df: doc_id, class_id (smallest id of its class), class_size (rows), kept (it has that id).
 
-    Where several rows repeat a key, all of them stay if any of them is kept.
+    margin: None compares every pair of a bucket, whatever its estimate.
     """
-    rows = near_classes(df, text, key, **options).groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("__gone"))
-    gone = rows.agg(F.bool_or("kept").alias("kept")).filter("not kept").select("__gone")
-    return df.join(gone, F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)) == F.col("__gone"), "left_anti").select(*df.columns)
+    out = _classified(df, text, key, threshold, k, bands, rows, block_rows, margin)
+    class_id = F.when(F.col("class_rep.id") != NO_ID, F.col("class_rep.id"))
+    return out.select("doc_id", class_id.alias("class_id"), "class_size", F.col("doc_id").eqNullSafe(class_id).alias("kept"))
+
+
+def near_dedup(
+    df: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD, k: int = K, bands: int = BANDS, rows: int = ROWS, block_rows: int = BLOCK_ROWS, margin: float | None = MARGIN
+) -> DataFrame:
+    """One row of each class of df, that of the smallest id; columns as in df."""
+    own, rep, size, place = unused(df.columns, "__row_key", "__class_rep", "__copies", "__place")
+    classified = _classified(df, text, key, threshold, k, bands, rows, block_rows, margin)
+    by_key = classified.groupBy("key").agg(F.first("class_rep.key").alias(rep), F.count("*").alias(size))
+    by_key = Scratch(df.sparkSession, "near").keep(by_key.withColumnRenamed("key", own), "rows")
+    total = by_key.agg(F.sum(size)).first()[0] or 0
+    keyed = df.withColumns({own: row_key(key, text), place: F.monotonically_increasing_id()})
+    kept = attach_groups(keyed, by_key, own, size, total, place).filter(F.col(own) == F.col(rep))
+    once = kept.filter(F.col(size) == 1).select(*quoted(df.columns))
+    if not by_key.filter((F.col(own) == F.col(rep)) & (F.col(size) > 1)).limit(1).count():
+        return once
+    # rows that repeat id and text: one of them, added up before it is sent
+    whole = F.struct(F.xxhash64(*quoted(df.columns)).alias("h"), F.struct(*quoted(df.columns)).alias("row"))
+    one = kept.filter(F.col(size) > 1).select(own, whole.alias("w")).groupBy(own).agg(F.min_by("w.row", "w.h").alias("row"))
+    return once.unionByName(one.select(*[F.col("row")[c].alias(c) for c in df.columns]))

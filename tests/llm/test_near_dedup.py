@@ -93,9 +93,39 @@ def test_signature_does_not_depend_on_how_darts_are_batched(monkeypatch):
     assert (N.dart_signature(elements, counts) == want).all()
 
 
-def test_dedup_keeps_columns_and_first_of_each_class(awkward, empty):
+def test_dedup_keeps_columns_and_one_row_of_each_class(awkward, awkward_rows, empty):
     out = N.near_dedup(awkward)
     assert out.columns == awkward.columns
-    ids = [r.doc_id for r in out.collect()]
-    assert 2 not in ids and 8 not in ids and 12 not in ids and 7 in ids
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    classes = brute([(r[0], r[1]) for r in awkward_rows if (r[1] or "").strip() not in ("", "???")])
+    assert len(got) == len(set(got)) == len(classes) + 3  # "" and null, blanks, marks
+    assert {i for i, t in got if i is not None} == {3, 4, 6, 7, 9, 11, 13, 14, 15} - {4} | ({4} if (4, "") in got else set())
+    assert sum(i is None for i, _ in got) == 2  # below every id: of the class of 1, and of the empty texts
     assert N.near_dedup(empty).collect() == [] and N.near_classes(empty).collect() == []
+
+
+def test_equal_rows_and_null_ids(spark):
+    """Repeated rows, null ids and a repeated id with different texts: one row of each class, and no other class goes with it."""
+    rows = [(None, prose(1, 60), k) for k in range(30)] + [(None, prose(2, 60), 0), (5, prose(3, 60), 0), (5, prose(3, 60), 1), (5, prose(4, 60), 0), (3, prose(4, 60) + " more", 0)]
+    got = [(r.doc_id, r.text) for r in N.near_dedup(spark.createDataFrame(rows, "doc_id long, text string, extra int")).collect()]
+    assert sorted(got, key=str) == sorted([(None, prose(1, 60)), (None, prose(2, 60)), (5, prose(3, 60)), (3, prose(4, 60) + " more")], key=str)
+
+
+def test_any_margin_and_block_gives_the_same_classes(spark):
+    texts = [t for s in range(6) for t in family(300 + s, 12, 3 + s % 3, 60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {frozenset(v) for v in brute(list(enumerate(texts)))}
+    for options in ({"block_rows": 3}, {"margin": None}):
+        assert {frozenset(v) for v in classes(df, **options).values()} == want
+
+
+def test_classes_of_the_driver_s_documents_equal_brute_force(spark):
+    """Every pair of documents that has a shingle in common, on sf0.001."""
+    import os
+
+    path = "/root/testdata/sf0.001/documents.parquet"
+    if not os.path.exists(path):
+        return
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(path).collect()]
+    got = {frozenset(v) for v in classes(spark.createDataFrame(rows, "doc_id long, text string")).values()}
+    assert got == {frozenset(v) for v in brute(rows)}
