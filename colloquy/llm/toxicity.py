@@ -9,8 +9,10 @@ scoring trees had not seen, turns them into probabilities.
 
 Defined results: a null text counts as empty and gets the score of one without
 words; without two labelled classes every score is the share of label 1 (0 if
-there are no labels); null labels do not count; repeated ids are rows like
-others; an empty table gives an empty result.
+there are no labels); null labels do not count, and an id with several labels is
+toxic if one of them says so; repeated ids are rows like others, of which one,
+that of the smallest hash, is learned from; an empty table gives an empty result;
+columns of any name pass through.
 """
 
 from __future__ import annotations
@@ -23,8 +25,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import Scratch, crc_mod, text_or_empty
+from .common import Scratch, crc_mod, quoted, text_or_empty, unused
 
 #: At most so many labelled rows of each class are fitted on, those of the smallest id hash.
 FIT_TOXIC, FIT_OTHER = 3000, 6000
@@ -260,14 +263,15 @@ def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id
     import numpy as np
 
     spark, work = df.sparkSession, Scratch(df.sparkSession, "toxicity")
-    known = labels.select(F.col(key).alias("doc_id"), (F.col(label) > 0).alias("toxic")).dropna().dropDuplicates(["doc_id"]).filter(crc_mod("doc_id", HELD_OUT[0]) != HELD_OUT[1])
+    known = labels.select(F.col(key).alias("doc_id"), (F.col(label) > 0).alias("toxic")).dropna().filter(crc_mod("doc_id", HELD_OUT[0]) != HELD_OUT[1])
+    known = known.groupBy("doc_id").agg(F.bool_or("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows at most
     if len(sizes) < 2:
         return Model({}, {}, 20.0 if True in sizes else -20.0, [], [], [])
     first = [known.filter(F.col("toxic") == flag).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for flag, most in ((True, fit_toxic), (False, fit_other))]
     chosen = first[0].unionByName(first[1])  # fit_toxic + fit_other rows at most, so they may be broadcast
     rows = df.select(F.col(key).alias("doc_id"), text_or_empty(text).alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = work.keep(rows, "rows")
+    rows = work.keep(rows.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")), "rows")
     taken = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(taken) < 2:
         work.drop("rows")
@@ -298,25 +302,28 @@ def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id
     return model
 
 
-def _score(model: Model, more: list[str]):
+def _score(model: Model, more: list[str], text: str, name: str):
     def run(batches: Iterator):
         import numpy as np
         import pyarrow as pa
 
         words = _Words(model)
         for batch in batches:
-            texts = batch.column("__text").to_pylist()
+            texts = batch.column(text).to_pylist()
             x = np.array([features_of(t, words) for t in texts]).reshape(len(texts), len(FEATURES))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in more], pa.array(calibrated(raw_scores(x, model.base, model.trees), model), pa.float64())], [*more, "__score"])
+            # the score stands in the text's place
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(calibrated(raw_scores(x, model.base, model.trees), model), pa.float64())], [*more, name])
 
     return run
 
 
-def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """df with a column __score; df must not have columns __text or __score."""
-    held = df.select("*", text_or_empty(text).alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return held.mapInArrow(_score(model, df.columns), f"{schema}, __score double")
+def score(df: DataFrame, model: Model, text: str = "text", name: str = "__score") -> DataFrame:
+    """df with a column of that name."""
+    if name.casefold() in {c.casefold() for c in df.columns}:
+        raise ValueError(f"df has a column {name}")
+    held, = unused(df.columns, "__text")
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
+    return df.select(*quoted(df.columns), text_or_empty(text).alias(held)).mapInArrow(_score(model, df.columns, held, name), schema)
 
 
 def toxicity(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
@@ -329,4 +336,5 @@ def toxicity(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "d
 def drop_toxic(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """df without the rows whose score reaches REJECT."""
     model = fit(df, labels, text, key, **options)
-    return score(df, model, text).filter(F.col("__score") < REJECT).select(*df.columns)
+    name, = unused(df.columns, "__score")
+    return score(df, model, text, name).filter(F.col(name) < REJECT).select(*quoted(df.columns))

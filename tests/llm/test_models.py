@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from colloquy.llm import language_id as L
 from colloquy.llm import toxicity as T
@@ -44,8 +45,10 @@ def test_toxicity_of_awkward_rows(spark, awkward, empty):
     marks = spark.createDataFrame([*labels, (None, 1), (5, None), (5, 1)], "doc_id long, toxic int")
     taught = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = T.fit(taught, marks)
-    scored = T.score(awkward, model)
-    assert scored.columns == [*awkward.columns, "__score"] and scored.count() == awkward.count()
+    scored = T.score(awkward, model, name="__own")
+    assert scored.columns == [*awkward.columns, "__own"] and scored.count() == awkward.count()
+    with pytest.raises(ValueError):
+        T.score(awkward, model)
     assert T.drop_toxic(awkward, marks.limit(0)).columns == awkward.columns
     assert T.drop_toxic(awkward, marks.limit(0)).count() == awkward.count()
     assert T.toxicity(empty, marks).collect() == []
