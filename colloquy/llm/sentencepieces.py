@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty
+from .common import quoted, text_or_empty, unused
 
 DROPOUT, SEED = 0.1, 20240501
 #: None: every occurrence of a part is cut for itself. A number: documents are dealt to so many streams.
@@ -383,50 +383,57 @@ def _shared(*how) -> DropoutEncoder:
     return _ENCODERS[how]
 
 
-def _encode(how: tuple, more: list[str], with_ids: bool):
+#: What encode() adds: ids, their crc32, whether decoding gave the text, and the ids themselves.
+ADDED = ("__n", "__crc", "__same", "__ids")
+
+
+def _encode(how: tuple, more: list[str], text: str, key: str, added: list[str]):
     def run(batches: Iterator):
         import numpy as np
         import pyarrow as pa
 
         encoder = _shared(*how)
         for batch in batches:
-            texts, keys = batch.column("__text").to_pylist(), batch.column("__key").to_pylist()
+            texts, keys = batch.column(text).to_pylist(), batch.column(key).to_pylist()
             # the ids of a batch are emitted in slices, so that long texts do not meet in one array
             for a in range(0, len(texts), TEXTS):
                 n, crc, same, ids = [], [], [], []
-                for text, coded in zip(texts[a : a + TEXTS], encoder.encode(texts[a : a + TEXTS], keys[a : a + TEXTS])):
+                for one, coded in zip(texts[a : a + TEXTS], encoder.encode(texts[a : a + TEXTS], keys[a : a + TEXTS])):
                     row = np.frombuffer(coded, "<u4")
                     n.append(len(row))
                     crc.append(zlib.crc32(coded))
-                    same.append(encoder.decode(row.tolist()) == text)
-                    if with_ids:
+                    same.append(encoder.decode(row.tolist()) == one)
+                    if len(added) > 3:
                         ids.append(row.astype("<i4"))
                 part = batch.slice(a, TEXTS)
                 columns = [*[part.column(c) for c in more], pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
-                names = [*more, "__n", "__crc", "__same"]
-                if with_ids:
+                if len(added) > 3:
                     offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
                     columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, "<i4"))))
-                    names.append("__ids")
-                yield pa.RecordBatch.from_arrays(columns, names)
+                yield pa.RecordBatch.from_arrays(columns, [*more, *added])
 
     return run
 
 
-def encode(df: DataFrame, model: str, text: str = "text", key: str = "doc_id", rate: float = DROPOUT, seed: int = SEED, streams: int | None = STREAMS, with_ids: bool = True) -> DataFrame:
-    """df with __n (ids), __crc (crc32 of the ids as 32-bit integers), __same (decoding gave the text) and, if wanted, __ids.
+def encode(
+    df: DataFrame, model: str, text: str = "text", key: str = "doc_id", rate: float = DROPOUT, seed: int = SEED, streams: int | None = STREAMS, with_ids: bool = True, names: tuple[str, ...] = ADDED
+) -> DataFrame:
+    """df with the number of ids, the crc32 of the ids as 32-bit integers, whether decoding gave the text and, if wanted, the ids.
 
-    model: path of a model file that exists on every machine.
+    model: path of a model file that exists on every machine. names: of the new
+    columns; where df has one of them already, an underscore is added.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField("__n", T.LongType()), T.StructField("__crc", T.LongType()), T.StructField("__same", T.BooleanType())])
-    if with_ids:
-        schema = schema.add("__ids", T.ArrayType(T.IntegerType()))
-    rows = df.select("*", text_or_empty(text).alias("__text"), F.col(key).cast("string").alias("__key"))
-    return rows.mapInArrow(_encode((model, rate, seed, streams), df.columns, with_ids), schema)
+    added = unused(df.columns, *names)[: 4 if with_ids else 3]
+    kinds = (T.LongType(), T.LongType(), T.BooleanType(), T.ArrayType(T.IntegerType()))
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, t) for n, t in zip(added, kinds)]])
+    held, keyed = unused([*df.columns, *added], "__text", "__key")
+    rows = df.select(*quoted(df.columns), text_or_empty(text).alias(held), F.col(key).cast("string").alias(keyed))
+    return rows.mapInArrow(_encode((model, rate, seed, streams), df.columns, held, keyed, added), schema)
 
 
 def decode(df: DataFrame, model: str, ids: str = "ids") -> DataFrame:
-    """df with a column __decoded."""
+    """df with a column __decoded, or one underscore more."""
+    name, = unused(df.columns, "__decoded")
 
     def run(batches: Iterator):
         import pyarrow as pa
@@ -434,9 +441,9 @@ def decode(df: DataFrame, model: str, ids: str = "ids") -> DataFrame:
         encoder = _shared(model, 0.0, 0, 1)
         for batch in batches:
             texts = [encoder.decode(row or []) for row in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "__decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, name])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("__decoded", T.StringType())]))
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.StringType())]))
 
 
 def piece_digests(df: DataFrame, model: str, text: str = "text", key: str = "doc_id", **options) -> DataFrame:

@@ -1,7 +1,9 @@
 import pytest
 from llm_fixtures import prose
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, score string, group_size int"
+#: Names that operators use inside or return; the values are of no matter.
+CLASHING = ["__text", "__score", "__gone", "__items", "__longest", "__n", "__key", "__ids", "__node", "__row_key", "__size", "piece_ids", "n_pieces", "node", "hash"]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, score string, group_size int, " + ", ".join(f"`{c}` string" for c in CLASHING)
 
 
 @pytest.fixture(scope="session")
@@ -14,7 +16,7 @@ def awkward_rows():
     }
     rows = [(i, t, "en" if i % 2 else None, None if i % 3 else "s", i, True, "x", 7) for i, t in texts.items()]
     rows += [rows[0], rows[0], (None, prose(2, 60), None, None, None, None, None, None), (None, None, None, None, None, None, None, None), (3, prose(5, 40), "de", "s", 0, False, "y", 1)]
-    return rows
+    return [(*r, *([f"own {r[0]}"] * len(CLASHING))) for r in rows]
 
 
 @pytest.fixture(scope="session")

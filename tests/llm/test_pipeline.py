@@ -33,7 +33,7 @@ def planted(tmp_path, spark):
 def test_stages_take_what_they_should(spark, tmp_path):
     docs = planted(tmp_path, spark)
     out = corpus_pipeline.run(spark, str(tmp_path))
-    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "piece_ids", "n_pieces", "ids_crc32", "lossless"]
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_pieces", "ids_crc32", "lossless", "piece_ids"]
     kept = {r.doc_id for r in out.collect()}
     toxic = {i for i, *_ in docs if i < 300 and i % 4 == 0} | set(range(4000, 4005))
     copies = {4 * i + 1 for i in range(10)} | set(range(2000, 2010)) | {5000}
@@ -41,6 +41,20 @@ def test_stages_take_what_they_should(spark, tmp_path):
     assert all(r.lossless and r.n_pieces == len(r.piece_ids) for r in out.collect())
 
 
+def test_awkward_and_empty_tables_pass_every_stage(spark, tmp_path, awkward, awkward_rows, empty):
+    planted(tmp_path, spark)
+    for docs, n in ((awkward, None), (empty, 0)):
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            docs, before = stage(spark, docs, str(tmp_path)), docs.columns
+            assert docs.columns[: len(before)] == before and (k == 4 or docs.columns == before)
+            docs.write.parquet(f"{tmp_path}/{n}-{k}")
+            docs = spark.read.parquet(f"{tmp_path}/{n}-{k}")
+        rows = docs.collect()
+        assert all(r["__text"] == f"own {r.doc_id}" for r in rows)
+        # texts 1 = 2 = null id's, 3 and its capitals, 9 = 10, blanks and marks by text; the long one and its longer copy
+        assert len(rows) == (0 if n == 0 else len({(t or "").lower() for _, t, *_ in awkward_rows}) - 1)
+
+
 def test_there_are_five_stages_and_ten_queries():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "sentencepieces"]
     assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))

@@ -71,10 +71,11 @@ def test_dropout_varies_with_stream_and_seed_and_stays_with_the_key():
 
 def test_awkward_rows(awkward, awkward_rows, empty):
     out = P.encode(awkward, PATH)
-    assert out.columns == [*awkward.columns, "__n", "__crc", "__same", "__ids"]
-    back = P.decode(out, PATH, "__ids").collect()
+    n, crc, same, coded = out.columns[-4:]
+    assert out.columns[:-4] == awkward.columns and (n, crc, same, coded) == ("__n_", "__crc", "__same", "__ids_")
+    back = P.decode(out, PATH, coded).collect()
     assert sorted(r["__decoded"] for r in back) == sorted(r[1] or "" for r in awkward_rows)
-    assert all(r["__same"] and r["__n"] == len(r["__ids"]) for r in back)
+    assert all(r[same] and r[n] == len(r[coded]) and r["__n"] == f"own {r.doc_id}" for r in back)
     assert P.piece_digests(empty, PATH).collect() == []
 
 
