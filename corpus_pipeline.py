@@ -8,7 +8,6 @@ pass as the operators define them.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from colloquy.llm import decontaminate, exact_dedup, near_dedup, sentencepieces, toxicity
 from colloquy.llm.common import scratch, table
@@ -36,10 +35,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Columns of documents and piece_ids, n_pieces, ids_crc32, lossless."""
-    coded = sentencepieces.encode(docs, tokenizer_file("piece_bpe_32k.model"))
-    new = {"piece_ids": "__ids", "n_pieces": "__n", "ids_crc32": "__crc", "lossless": "__same"}
-    return coded.select(*[c for c in docs.columns if c not in new], *[F.col(c).alias(n) for n, c in new.items()])
+    """Columns of documents and n_pieces, ids_crc32, lossless, piece_ids; a column of documents that has such a name stays, the new one gets an underscore."""
+    return sentencepieces.encode(docs, tokenizer_file("piece_bpe_32k.model"), names=("n_pieces", "ids_crc32", "lossless", "piece_ids"))
 
 
 STAGES = [
