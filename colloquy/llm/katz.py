@@ -55,9 +55,9 @@ ORDER = 3
 HELD_OUT = (10, 0)
 #: Counts above this are not discounted.
 LARGEST = 5
-CHUNK_TOKENS = 700_000
+CHUNK_TOKENS = 800_000
 #: Bytes of text for each model partition.
-PARTITION_TEXT = 8 << 20
+PARTITION_TEXT = 16 << 20
 #: A context is spread over a partition more for every SPREAD times the mean of a partition that its total reaches.
 SPREAD = 4
 #: Blocks that a chunk sends at most; beyond so many partitions it sends to ranges of them.
@@ -307,10 +307,7 @@ class Level:
         """From the numbers of contexts what p() needs: whole (what a discounted count is divided by) and alpha."""
         import numpy as np
 
-        r = np.arange(1, LARGEST + 1)
-        few, many = (np.concatenate(x, axis=1).astype(float) for x in zip(*[unpack_contexts(x["kinds"], x["few"], x["many"]) for x in rows]))
-        total_of = lambda factors, counts, rest: sum((f * c for f, c in zip(factors, counts)), rest)
-        parts = np.stack([total_of(r, few[:LARGEST], many[0]), total_of(d[1:] * r, few[:LARGEST], many[0]), total_of(d_below[1:] * r, few[LARGEST:], many[1]), few[:LARGEST].sum(axis=0)])
+        parts = Numbers.read(rows).sums(d, d_below)
         of = np.zeros((4, below.n))
         once = self.over[self.block_context] <= 1
         of[:, self.block_context[once]] = parts[:, once]
@@ -378,8 +375,9 @@ class Chunk:
 
         top = self.levels[-1]
         counts = np.bincount(top.at[self.train & (top.at >= 0)], minlength=top.n)
-        lower = self.levels[-2].total[top.suffix] * (counts > 0) if len(self.levels) > 1 else np.zeros(top.n, np.int64)
-        return blocks(name, width, top.block_part, top.block_id, top.block_size, top.next, counts, lower)
+        lower = self.levels[-2].total[top.suffix] if len(self.levels) > 1 else np.zeros(top.n, np.int64)
+        lower = lower if len(self.levels) == 2 else lower * (counts > 0)
+        return blocks(name, width, top.block_part, top.block_id, top.block_size, top.next, counts, lower, len(self.levels) == 2)
 
     def probabilities(self, level: int, words: Words):
         """P of every n-gram of a level, by recursion over the levels below."""
@@ -396,27 +394,66 @@ ANSWER = "origin string, first int, totals binary, ids binary, kinds binary, few
 SPELLED = 255
 
 
-def pack_contexts(few, many) -> tuple[bytes, bytes, bytes]:
-    """The numbers of contexts: of most, a byte tells all."""
-    import numpy as np
+class Numbers:
+    """What alpha needs of contexts: how many of their n-grams occur 1 to LARGEST times and how often the others, and the same for the totals of (h', w).
 
-    r, lower = few[:LARGEST], few[LARGEST:]
-    single = (r.sum(axis=0) == 1) & (lower.sum(axis=0) == 1) & (many == 0).all(axis=0)
-    kinds = np.where(single, 1 + r.argmax(axis=0) * LARGEST + lower.argmax(axis=0), np.where((few == 0).all(axis=0) & (many == 0).all(axis=0), 0, SPELLED))
-    rest = kinds == SPELLED
-    return pack(kinds), pack(few[:, rest].ravel()), pack(many[:, rest].ravel())
+    kinds: 0 for a context without n-grams, 1 + LARGEST * (r - 1) + (l - 1) for one
+    with a single n-gram of count r whose (h', w) occurs l times, SPELLED for those
+    of which few and many hold a column each.
+    """
 
+    def __init__(self, kinds, few, many):
+        import numpy as np
 
-def unpack_contexts(kinds: bytes, few: bytes, many: bytes):
-    import numpy as np
+        self.kinds, self.few, self.many = kinds, few, many
+        self.column = np.cumsum(kinds == SPELLED, dtype=np.int32) - 1
 
-    kinds = unpack(kinds).astype(np.int64)
-    out = np.zeros((2 * LARGEST, len(kinds)), np.int32), np.zeros((2, len(kinds)), np.int64)
-    rest, single = kinds == SPELLED, np.flatnonzero((kinds > 0) & (kinds < SPELLED))
-    out[0][:, rest], out[1][:, rest] = unpack(few).reshape(2 * LARGEST, -1), unpack(many).reshape(2, -1)
-    out[0][(kinds[single] - 1) // LARGEST, single] = 1
-    out[0][LARGEST + (kinds[single] - 1) % LARGEST, single] = 1
-    return out
+    @classmethod
+    def of(cls, owner, count, lower, rows: int) -> "Numbers":
+        """owner: the context of each n-gram."""
+        import numpy as np
+
+        seen = count > 0
+        owner, count, lower = owner[seen], count[seen], lower[seen]
+        single = (np.bincount(owner, minlength=rows) == 1)[owner] & (count <= LARGEST) & (lower <= LARGEST)
+        kinds = np.zeros(rows, np.uint8)
+        kinds[owner] = SPELLED
+        kinds[owner[single]] = 1 + (count[single] - 1) * LARGEST + lower[single] - 1
+        out = cls(kinds, None, None)
+        owner, count, lower, n = out.column[owner[~single]], count[~single], lower[~single], int((kinds == SPELLED).sum())
+        # contexts with one n-gram that is not small are here, too
+        out.few = np.stack([np.bincount(owner[x == r], minlength=n).astype(np.int32) for x in (count, lower) for r in range(1, LARGEST + 1)])
+        out.many = np.stack([np.bincount(owner, np.where(x > LARGEST, x, 0), n).astype(np.int64) for x in (count, lower)])
+        return out
+
+    def packed(self, rows) -> tuple[bytes, bytes, bytes]:
+        kinds = self.kinds[rows]
+        columns = self.column[rows[kinds == SPELLED]]
+        return pack(kinds), pack(self.few[:, columns].ravel()), pack(self.many[:, columns].ravel())
+
+    @classmethod
+    def read(cls, rows: list[dict]) -> "Numbers | None":
+        import numpy as np
+
+        if rows[0]["kinds"] is None:
+            return None
+        columns = [[unpack(r["kinds"]).astype(np.uint8), unpack(r["few"]).reshape(2 * LARGEST, -1), unpack(r["many"]).reshape(2, -1)] for r in rows]
+        return cls(*[np.concatenate(x, axis=-1) for x in zip(*columns)])
+
+    def sums(self, d, d_below):
+        """For each context: n-grams' total, the same discounted, the discounted sum of the totals of (h', w), and n-grams with a discount."""
+        import numpy as np
+
+        r = np.arange(LARGEST + 1)
+        spelled, single = self.kinds == SPELLED, np.flatnonzero((self.kinds > 0) & (self.kinds < SPELLED))
+        out = np.zeros((4, len(self.kinds)))
+        code = self.kinds[single].astype(np.int64) - 1
+        count, lower = code // LARGEST + 1, code % LARGEST + 1
+        out[0, single], out[1, single], out[2, single], out[3, single] = count, (d * r)[count], (d_below * r)[lower], 1
+        few, many = self.few.astype(float), self.many.astype(float)
+        added = lambda factors, counts, rest: sum((f * c for f, c in zip(factors[1:], counts)), rest)
+        out[:, spelled] = added(r, few[:LARGEST], many[0]), added(d * r, few[:LARGEST], many[0]), added(d_below * r, few[LARGEST:], many[1]), few[:LARGEST].sum(axis=0)
+        return out
 
 
 def _cuts(p):
@@ -427,16 +464,20 @@ def _cuts(p):
     return zip(np.concatenate([[0], at]).tolist(), np.concatenate([at, [len(p)]]).tolist()) if len(p) else ()
 
 
-def blocks(origin: str, width: int, part, context, size, following, count, lower) -> list[tuple]:
+def blocks(origin: str, width: int, part, context, size, following, count, lower, of_word: bool) -> list[tuple]:
+    """of_word: lower belongs to the following word alone and is sent once for each."""
     import numpy as np
 
     ends = np.concatenate([[0], np.cumsum(size)])
     out = []
     for a, b in _cuts(part // width):
         x, y = int(ends[a]), int(ends[b])
+        low = lower[x:y]
+        if of_word:
+            low = low[np.unique(following[x:y], return_index=True)[1]]
         out.append((
             int(part[a]) // width, origin, pack_sorted(part[a:b].astype(np.uint64)), pack_sorted(context[a:b]), pack(size[a:b]),
-            pack(following[x:y]), pack(count[x:y]), pack(lower[x:y]),
+            pack(following[x:y]), pack(count[x:y]), pack(low),
         ))
     return out
 
@@ -460,7 +501,7 @@ def _answer_table(rows: list[tuple]):
 class Merged:
     """Blocks added up: distinct (partition, context) rows and their distinct n-grams in order, and where each block's rows went."""
 
-    def __init__(self, group):
+    def __init__(self, group, of_word: bool):
         import numpy as np
 
         rows = group.sort_by("origin")
@@ -475,7 +516,10 @@ class Merged:
         self.row[order] = np.cumsum(fresh) - 1
         self.part, self.context = part[order[fresh]].astype(np.int64), context[order[fresh]]
         owner = np.repeat(self.row, np.concatenate(sizes).astype(np.int64))
-        following = np.concatenate(read("next", unpack))
+        following, lower = read("next", unpack), read("lower", unpack)
+        if of_word:
+            lower = [low[np.unique(f, return_inverse=True)[1]] for f, low in zip(following, lower)]
+        following, lower = np.concatenate(following), np.concatenate(lower)
         # an id is a partition and a number in it; with the owner's number it mostly fits 63 bits
         high, low = (following >> np.uint64(32)).astype(np.int64), (following & np.uint64((1 << 32) - 1)).astype(np.int64)
         wide = int(low.max(initial=0)) + 1
@@ -494,11 +538,10 @@ class Merged:
         self.owner, self.next = owner[first], following[first]
         n = len(first)
         self.count = np.bincount(self.gram, np.concatenate(read("counts", unpack)), minlength=n).astype(np.int64)
-        lower = np.concatenate(read("lower", unpack))
         self.lower = np.maximum.reduceat(lower[order], np.flatnonzero(fresh)).astype(np.int64) if n else np.zeros(0, np.int64)
         self.size = np.bincount(self.owner, minlength=len(self.part))
 
-    def back(self, first: int, totals, ids, few, many) -> list[tuple]:
+    def back(self, first: int, totals, ids, numbers: Numbers | None) -> list[tuple]:
         """An answer for every block."""
         import numpy as np
 
@@ -508,42 +551,42 @@ class Merged:
             row, gram = self.row[a : a + rows], self.gram[x : x + grams]
             out.append((
                 origin, first, pack(totals[gram]), None if ids is None else pack_sorted(ids[gram]) if sorted_ids else pack(ids[gram]),
-                *((None, None, None) if few is None else pack_contexts(few[:, row], many[:, row])), None,
+                *((None, None, None) if numbers is None else numbers.packed(row)), None,
             ))
             a, x = a + rows, x + grams
         return out
 
 
-def _add(with_ids: bool, with_contexts: bool):
+def _add(level: int, order: int):
     """One partition: totals, ids and the numbers of contexts to every block, and the counts of counts."""
 
     def run(group):
         import numpy as np
 
         part = group.column("part")[0].as_py()
-        m = Merged(group)
-        few = many = None
-        if with_contexts:
-            seen, rows = m.count > 0, len(m.part)
-            few = np.stack([np.bincount(m.owner[which == r], minlength=rows).astype(np.int32) for which in (m.count, np.where(seen, m.lower, 0)) for r in range(1, LARGEST + 1)])
-            many = np.stack([np.bincount(m.owner, np.where(seen & (x > LARGEST), x, 0), rows).astype(np.int64) for x in (m.count, m.lower)])
+        m = Merged(group, level == 2)
+        numbers = Numbers.of(m.owner, m.count, m.lower, len(m.part)) if level > 1 else None
         ids = None
-        if with_ids:
+        if level < order:
             number = np.arange(len(m.count), dtype=np.uint64)
-            if not with_contexts:  # words by frequency, which makes small numbers frequent
+            if level == 1:  # words by frequency, which makes small numbers frequent
                 number[np.argsort(-m.count, kind="stable")] = np.arange(len(m.count), dtype=np.uint64)
             ids = (np.uint64(part) << np.uint64(32)) | number
         n = np.bincount(np.minimum(m.count, LARGEST + 2), minlength=LARGEST + 3)[: LARGEST + 2].tolist()
-        return _answer_table([*m.back(part, m.count, ids, few, many), (None, part, None, None, None, None, None, [int(m.count.sum()), int((m.count > 0).sum()), *n])])
+        return _answer_table([*m.back(part, m.count, ids, numbers), (None, part, None, None, None, None, None, [int(m.count.sum()), int((m.count > 0).sum()), *n])])
 
     return run
 
 
-def _onward(group):
+def _onward(of_word: bool):
     """What a bundle of chunks has for a range of partitions, merged, a block for each partition."""
-    m = Merged(group)
-    name = f"{group.column('bundle')[0].as_py()}:{group.column('part')[0].as_py()}"
-    return _block_table(blocks(name, 1, m.part, m.context, m.size, m.next, m.count, m.lower))
+
+    def run(group):
+        m = Merged(group, of_word)
+        name = f"{group.column('bundle')[0].as_py()}:{group.column('part')[0].as_py()}"
+        return _block_table(blocks(name, 1, m.part, m.context, m.size, m.next, m.count, m.lower, of_word))
+
+    return run
 
 
 def _homeward(staged, replies):
@@ -552,13 +595,11 @@ def _homeward(staged, replies):
 
     if not staged.num_rows:
         return _answer_table([])
-    m, rows = Merged(staged), replies.sort_by("first").to_pylist()
+    m, rows = Merged(staged.drop_columns("lower").append_column("lower", staged.column("counts")), False), replies.sort_by("first").to_pylist()
     both = lambda name, how: None if rows[0][name] is None else how([r[name] for r in rows])
     totals = np.concatenate([unpack(r["totals"]) for r in rows]).astype(np.int64)
     ids = both("ids", lambda xs: np.concatenate([unpack(x) for x in xs]))
-    numbers = None if rows[0]["kinds"] is None else [unpack_contexts(r["kinds"], r["few"], r["many"]) for r in rows]
-    few, many = (None, None) if numbers is None else (np.concatenate(x, axis=1) for x in zip(*numbers))
-    return _answer_table(m.back(staged.column("part")[0].as_py(), totals, ids, few, many))
+    return _answer_table(m.back(staged.column("part")[0].as_py(), totals, ids, Numbers.read(rows)))
 
 
 def _ask(folder: str, level: int, parts: int, width: int, tokens: int):
@@ -641,8 +682,8 @@ def katz_scores(
         sent = chunks.mapInArrow(ask, BLOCK) if level == 1 else _all([a.drop("kinds", "few", "many") for a in answers]).groupBy("origin").applyInArrow(ask, BLOCK)
         if width > 1:
             staged = work.keep(sent.withColumn("bundle", bundle), f"staged-{level}")
-            sent = staged.groupBy("bundle", "part").applyInArrow(_onward, BLOCK)
-        got = work.keep(sent.groupBy("part").applyInArrow(_add(level < order, level > 1), ANSWER), f"answers-{level}")
+            sent = staged.groupBy("bundle", "part").applyInArrow(_onward(level == 2), BLOCK)
+        got = work.keep(sent.groupBy("part").applyInArrow(_add(level, order), ANSWER), f"answers-{level}")
         n = got.filter("origin is null").select(*[F.sum(F.col("n")[k]).alias(f"n{k}") for k in range(LARGEST + 4)]).first()
         n = [x or 0 for x in n]
         if level == 1:
