@@ -55,7 +55,7 @@ ORDER = 3
 HELD_OUT = (10, 0)
 #: Counts above this are not discounted.
 LARGEST = 5
-CHUNK_TOKENS = 800_000
+CHUNK_TOKENS = 700_000
 #: Bytes of text for each model partition.
 PARTITION_TEXT = 16 << 20
 #: A context is spread over a partition more for every SPREAD times the mean of a partition that its total reaches.
@@ -63,7 +63,7 @@ SPREAD = 4
 #: Blocks that a chunk sends at most; beyond so many partitions it sends to ranges of them.
 FAN = 2048
 #: Chunks are scored in so many turns, so that only a part of all answers is in the shuffle at a time.
-TURNS = 4
+TURNS = 2
 END = b" "
 #: Added to the folder of the chunks: that of the hashes of their words, which go after level 1.
 WORDS = "-words"
@@ -255,7 +255,7 @@ class Level:
         context, last, n = grams // words.n, grams % words.n, len(grams)
         suffix = np.empty(n, np.int32)
         suffix[inverse] = below.at[place]
-        home, over = (below.ids >> np.uint64(32)).astype(np.int64), chunk.spread(below.total)
+        home, over = below.part.astype(np.int64), chunk.spread(below.total)
         part = home[context]
         wide = over[context] > 1
         part[wide] = (part[wide] + (mix(words.ids[last[wide]]) % over[context[wide]].astype(np.uint64)).astype(np.int64)) % chunk.parts
@@ -264,6 +264,7 @@ class Level:
         turned = np.empty(n, np.int32)
         turned[order] = np.arange(n)
         self.n, part = n, part[order]
+        self.part = part.astype(np.int32)
         self.context, self.last, self.suffix = (x[order].astype(np.int32) for x in (context, last, suffix))
         self.at = np.full(len(chunk.tokens), -1, np.int32)
         self.at[place] = turned[inverse]
@@ -276,14 +277,13 @@ class Level:
             rows = np.union1d(rows, np.concatenate(more))
         self.block_part, self.block_context = rows // below.n, rows % below.n
         self.block_size = np.bincount(np.searchsorted(rows, codes), minlength=len(rows))
-        self.block_id, self.next, self.over = below.ids[self.block_context], words.ids[self.last], over
+        self.over = over
 
     def ask_for_words(self, hashes, parts: int) -> None:
         """Level 1 is sent as contexts with an n-gram each."""
         import numpy as np
 
-        self.block_id, self.block_size, self.next = hashes, np.ones(self.n, np.int64), np.zeros(self.n, np.uint64)
-        self.block_part = _part_of(hashes, parts)
+        self.hashes, self.block_size, self.block_part = hashes, np.ones(self.n, np.int64), _part_of(hashes, parts)
 
     def in_order_of_ids(self) -> None:
         """Words are numbered by frequency, not by hash; the chunk follows."""
@@ -293,6 +293,7 @@ class Level:
         turned = np.empty(self.n, np.int32)
         turned[order] = np.arange(self.n)
         self.ids, self.total, self.at = self.ids[order], self.total[order], turned[self.at]
+        self.part = (self.ids >> np.uint64(32)).astype(np.int32)
 
     def answer(self, rows: list[dict]) -> None:
         """Takes totals and, if there are any, ids."""
@@ -304,19 +305,22 @@ class Level:
             self.ids = np.concatenate([unpack(r["ids"]) for r in rows if r["ids"] is not None] or [self.ids])
 
     def weigh(self, rows: list[dict], below: "Level", d, d_below, words: Words) -> None:
-        """From the numbers of contexts what p() needs: whole (what a discounted count is divided by) and alpha."""
+        """From the numbers of contexts what p() needs: whole (what a discounted count is divided by) and alpha's terms.
+
+        A context's n-grams occur as often as the context itself, as every one is followed by something.
+        """
         import numpy as np
 
         parts = Numbers.read(rows).sums(d, d_below)
-        of = np.zeros((4, below.n))
+        of = np.zeros((3, below.n))
         once = self.over[self.block_context] <= 1
         of[:, self.block_context[once]] = parts[:, once]
         for row, part in zip(of, parts):
             np.add.at(row, self.block_context[~once], part[~once])
-        total, kept, lower, discounts_in = of
+        self.kept, self.lower, discounted_ones = of
         # a context without a discounted n-gram gets one more occurrence, so that something is left for the others
-        self.whole = total + ((discounts_in == 0) & (total > 0))
-        self.lower, self.kept, self.d, self.words = lower, kept, d, words
+        self.whole = below.total + ((discounted_ones == 0) & (below.total > 0)).astype(float)
+        self.d, self.words = d, words
 
     def p(self, below: "Level | None", p_below, words: Words):
         """P(last word | context) of every n-gram, from those of the level below."""
@@ -375,9 +379,14 @@ class Chunk:
 
         top = self.levels[-1]
         counts = np.bincount(top.at[self.train & (top.at >= 0)], minlength=top.n)
-        lower = self.levels[-2].total[top.suffix] if len(self.levels) > 1 else np.zeros(top.n, np.int64)
+        if len(self.levels) == 1:
+            nothing = np.zeros(top.n, np.int64)
+            return blocks(name, width, top.block_part, top.hashes, top.block_size, nothing > 0, nothing.view(np.uint64), counts, nothing, False)
+        below, words = self.levels[-2], self.levels[0]
+        lower = below.total[top.suffix]
         lower = lower if len(self.levels) == 2 else lower * (counts > 0)
-        return blocks(name, width, top.block_part, top.block_id, top.block_size, top.next, counts, lower, len(self.levels) == 2)
+        wide = top.over[top.block_context] > 1
+        return blocks(name, width, top.block_part, below.ids[top.block_context], top.block_size, wide, words.ids[top.last], counts, lower, len(self.levels) == 2)
 
     def probabilities(self, level: int, words: Words):
         """P of every n-gram of a level, by recursion over the levels below."""
@@ -390,8 +399,8 @@ class Chunk:
 
 BLOCK = "part int, origin string, parts binary, contexts binary, sizes binary, next binary, counts binary, lower binary"
 ANSWER = "origin string, first int, totals binary, ids binary, kinds binary, few binary, many binary, n array<long>"
-#: The kind of a context whose numbers are spelled out; others have no n-gram, or a single one with small counts.
-SPELLED = 255
+#: Kinds of contexts: numbers spelled out; not asked for, with a discounted n-gram; not asked for, without one. Others have no n-gram, or a single one with small counts.
+SPELLED, HAS_FEW, ALL_MANY = 255, 254, 253
 
 
 class Numbers:
@@ -399,7 +408,8 @@ class Numbers:
 
     kinds: 0 for a context without n-grams, 1 + LARGEST * (r - 1) + (l - 1) for one
     with a single n-gram of count r whose (h', w) occurs l times, SPELLED for those
-    of which few and many hold a column each.
+    of which few and many hold a column each. A chunk that has no unseen n-gram of
+    a context needs no alpha, so it is told only whether any is discounted.
     """
 
     def __init__(self, kinds, few, many):
@@ -426,9 +436,15 @@ class Numbers:
         out.many = np.stack([np.bincount(owner, np.where(x > LARGEST, x, 0), n).astype(np.int64) for x in (count, lower)])
         return out
 
-    def packed(self, rows) -> tuple[bytes, bytes, bytes]:
+    def packed(self, rows, asked) -> tuple[bytes, bytes, bytes]:
+        import numpy as np
+
         kinds = self.kinds[rows]
-        columns = self.column[rows[kinds == SPELLED]]
+        spelled = kinds == SPELLED
+        columns = self.column[rows[spelled & asked]]
+        has_few = kinds != ALL_MANY
+        has_few[spelled] = (self.few[:LARGEST, self.column[rows[spelled]]] > 0).any(axis=0)
+        kinds = np.where(asked, kinds, np.where(has_few, HAS_FEW, ALL_MANY))
         return pack(kinds), pack(self.few[:, columns].ravel()), pack(self.many[:, columns].ravel())
 
     @classmethod
@@ -441,18 +457,19 @@ class Numbers:
         return cls(*[np.concatenate(x, axis=-1) for x in zip(*columns)])
 
     def sums(self, d, d_below):
-        """For each context: n-grams' total, the same discounted, the discounted sum of the totals of (h', w), and n-grams with a discount."""
+        """For each context: the discounted total of its n-grams, the discounted sum of the totals of (h', w), and how many are discounted."""
         import numpy as np
 
         r = np.arange(LARGEST + 1)
-        spelled, single = self.kinds == SPELLED, np.flatnonzero((self.kinds > 0) & (self.kinds < SPELLED))
-        out = np.zeros((4, len(self.kinds)))
+        spelled, single = self.kinds == SPELLED, np.flatnonzero((self.kinds > 0) & (self.kinds < ALL_MANY))
+        out = np.zeros((3, len(self.kinds)))
         code = self.kinds[single].astype(np.int64) - 1
         count, lower = code // LARGEST + 1, code % LARGEST + 1
-        out[0, single], out[1, single], out[2, single], out[3, single] = count, (d * r)[count], (d_below * r)[lower], 1
+        out[0, single], out[1, single], out[2, single] = (d * r)[count], (d_below * r)[lower], 1
         few, many = self.few.astype(float), self.many.astype(float)
         added = lambda factors, counts, rest: sum((f * c for f, c in zip(factors[1:], counts)), rest)
-        out[:, spelled] = added(r, few[:LARGEST], many[0]), added(d * r, few[:LARGEST], many[0]), added(d_below * r, few[LARGEST:], many[1]), few[:LARGEST].sum(axis=0)
+        out[:, spelled] = added(d * r, few[:LARGEST], many[0]), added(d_below * r, few[LARGEST:], many[1]), few[:LARGEST].sum(axis=0)
+        out[2, self.kinds == HAS_FEW] = 1
         return out
 
 
@@ -464,8 +481,8 @@ def _cuts(p):
     return zip(np.concatenate([[0], at]).tolist(), np.concatenate([at, [len(p)]]).tolist()) if len(p) else ()
 
 
-def blocks(origin: str, width: int, part, context, size, following, count, lower, of_word: bool) -> list[tuple]:
-    """of_word: lower belongs to the following word alone and is sent once for each."""
+def blocks(origin: str, width: int, part, context, size, wide, following, count, lower, of_word: bool) -> list[tuple]:
+    """wide: whether a context is spread; of_word: lower belongs to the following word alone and is sent once for each."""
     import numpy as np
 
     ends = np.concatenate([[0], np.cumsum(size)])
@@ -476,7 +493,7 @@ def blocks(origin: str, width: int, part, context, size, following, count, lower
         if of_word:
             low = low[np.unique(following[x:y], return_index=True)[1]]
         out.append((
-            int(part[a]) // width, origin, pack_sorted(part[a:b].astype(np.uint64)), pack_sorted(context[a:b]), pack(size[a:b]),
+            int(part[a]) // width, origin, pack_sorted(part[a:b].astype(np.uint64)), pack_sorted(context[a:b]), pack(2 * size[a:b] + wide[a:b]),
             pack(following[x:y]), pack(count[x:y]), pack(low),
         ))
     return out
@@ -508,7 +525,7 @@ class Merged:
         self.origins = rows.column("origin").to_pylist()
         read = lambda name, how: [how(x) for x in rows.column(name).to_pylist()]
         part, context = (np.concatenate(read(n, unpack)) for n in ("parts", "contexts"))
-        sizes = read("sizes", unpack)
+        sizes, self.wide = zip(*[(x >> np.uint64(1), (x & np.uint64(1)).astype(bool)) for x in read("sizes", unpack)])
         self.rows, self.grams = [len(x) for x in sizes], [int(x.sum()) for x in sizes]
         order = np.lexsort((context, part)) if len(part) and part.min() != part.max() else np.argsort(context, kind="stable")
         fresh = np.concatenate([[True], (np.diff(context[order]) != 0) | (np.diff(part[order]) != 0)])[: len(order)]
@@ -540,6 +557,12 @@ class Merged:
         self.count = np.bincount(self.gram, np.concatenate(read("counts", unpack)), minlength=n).astype(np.int64)
         self.lower = np.maximum.reduceat(lower[order], np.flatnonzero(fresh)).astype(np.int64) if n else np.zeros(0, np.int64)
         self.size = np.bincount(self.owner, minlength=len(self.part))
+        self.sizes = sizes
+
+    def is_wide(self):
+        import numpy as np
+
+        return np.bincount(self.row, np.concatenate(self.wide), len(self.part)) > 0
 
     def back(self, first: int, totals, ids, numbers: Numbers | None) -> list[tuple]:
         """An answer for every block."""
@@ -547,11 +570,13 @@ class Merged:
 
         sorted_ids = ids is not None and bool((np.diff(ids.view(np.int64)) > 0).all())
         out, a, x = [], 0, 0
-        for origin, rows, grams in zip(self.origins, self.rows, self.grams):
+        for origin, rows, grams, sizes, wide in zip(self.origins, self.rows, self.grams, self.sizes, self.wide):
             row, gram = self.row[a : a + rows], self.gram[x : x + grams]
+            # alpha is for contexts with an unseen n-gram here; of spread ones nobody sees all
+            unseen = np.bincount(np.repeat(np.arange(rows), sizes.astype(np.int64)), totals[gram] == 0, rows) > 0
             out.append((
                 origin, first, pack(totals[gram]), None if ids is None else pack_sorted(ids[gram]) if sorted_ids else pack(ids[gram]),
-                *((None, None, None) if numbers is None else numbers.packed(row)), None,
+                *((None, None, None) if numbers is None else numbers.packed(row, unseen | wide)), None,
             ))
             a, x = a + rows, x + grams
         return out
@@ -584,7 +609,7 @@ def _onward(of_word: bool):
     def run(group):
         m = Merged(group, of_word)
         name = f"{group.column('bundle')[0].as_py()}:{group.column('part')[0].as_py()}"
-        return _block_table(blocks(name, 1, m.part, m.context, m.size, m.next, m.count, m.lower, of_word))
+        return _block_table(blocks(name, 1, m.part, m.context, m.size, m.is_wide(), m.next, m.count, m.lower, of_word))
 
     return run
 
@@ -697,6 +722,8 @@ def katz_scores(
             got = work.keep(staged.groupBy("bundle", "part").cogroup(replies.groupBy("bundle", "part")).applyInArrow(_homeward, ANSWER), f"home-{level}")
             work.drop(f"staged-{level}", f"answers-{level}")
         answers.append(got.select(F.lit(level).alias("level"), "origin", "first", "totals", "ids", "kinds", "few", "many"))
+    # the ids of n-grams serve requests only
+    answers = [a.withColumn("ids", F.when(F.col("level") == 1, F.col("ids"))) for a in answers]
     score, turn = _scores(folder, order, parts, words, d), F.pmod(F.xxhash64("origin", F.lit(order)), F.lit(TURNS))
     scored = [work.keep(_all(answers).filter(turn == k).groupBy("origin").applyInArrow(score, SCORE), f"scores-{k}") for k in range(TURNS)]
     work.drop(*[name for name in work.paths if not name.startswith("scores-")])
