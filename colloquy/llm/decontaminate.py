@@ -14,9 +14,9 @@ first eight words the even or the odd ones are untouched, so these two masks hit
 Items of 5 to 7 words must occur unchanged. An item of 1 to 4 words is no evidence
 inside a longer text and counts only where it is the whole document.
 
-A bit for each hash prefix of the benchmark, a map of bounded size, is sent to
-all tasks, so that few of the documents' hashes enter the join; it only spares
-work. Hits of equal texts are one, a hash that has many hits is spread with salt.
+Two maps of bounded size, with a bit for each value that the first and the next
+bits of the benchmark's hashes take, are sent to all tasks, so that few of the
+documents' other hashes enter the join; they only spare work. Hits of equal texts are one, a hash that has many hits is spread with salt.
 
 Defined results: null texts have no words, in documents and in the benchmark;
 repeated ids are rows like others; an item without an id still taints but is not
@@ -43,7 +43,7 @@ SOME, FEW = 8, 5
 SHORT_MASKS = ((0, 2, 4, 6), (1, 3, 5, 7), (0, 1, 2, 3, 4), ())
 #: Words before and after a seed's first that travel with it.
 BEFORE, AFTER = WINDOW - 1 - min(m[-1] for m in MASKS), WINDOW
-#: Bits of the map of hash prefixes, at least and at most, and how many to one hash.
+#: Bits of a hash that a map tells apart, at least and at most, and how many to one hash.
 LEAST_BITS, MOST_BITS, SPARE_BITS = 16, 26, 6
 #: Parts of a hash with many hits.
 SALTS = 64
@@ -138,13 +138,13 @@ def _bits(bits: int):
     return run
 
 
-def prefix_map(seeds: DataFrame, bits: int):
-    """A bit for each hash prefix, packed; 8 MB at most."""
+def bit_map(seeds: DataFrame, bits: int, after: int):
+    """A bit for each value of the `bits` bits of a hash that follow the first `after`, packed; 8 MB at most."""
     import numpy as np
 
     inner = min(bits, 13)
-    prefix = F.shiftrightunsigned("hash", 64 - bits)
-    found = seeds.select(F.shiftright(prefix, inner).cast("int").alias("block"), F.pmod(prefix, F.lit(1 << inner)).cast("int").alias("bit")).distinct()
+    part = F.shiftrightunsigned(F.shiftleft("hash", after), 64 - bits)
+    found = seeds.select(F.shiftright(part, inner).cast("int").alias("block"), F.pmod(part, F.lit(1 << inner)).cast("int").alias("bit")).distinct()
     out = np.zeros((1 << bits) >> 3, np.uint8)
     size = max((1 << inner) >> 3, 1)
     for row in found.groupBy("block").applyInArrow(_bits(bits), "block int, map binary").collect():  # 8192 rows of 1 KB at most
@@ -153,25 +153,26 @@ def prefix_map(seeds: DataFrame, bits: int):
 
 
 def _hits(shared, bits: int, masks: list[int]):
-    """The hashes of documents whose prefix the benchmark has, with the words around them."""
+    """The hashes of documents that both maps know, with the words around them."""
 
     def run(batches: Iterator):
         import numpy as np
         import pyarrow as pa
 
-        table = np.unpackbits(shared.value).view(bool)
+        first, second = (np.unpackbits(m).view(bool) for m in shared.value)
         every = (*MASKS, *SHORT_MASKS)
         seeds = [m for m in masks if every[m]]
         whole = len(every) - 1 in masks
-        shift = np.uint64(64 - bits)
+        shift, left = np.uint64(64 - bits), np.uint64(bits)
         for batch in batches:
             rows = []
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = word_hashes(text)
                 n = len(words)
                 for m, h in zip(seeds, seed_hashes(words, [every[m] for m in seeds]) if seeds else ()):
-                    for p in np.flatnonzero(table[(h >> shift).astype(np.int64)]).tolist():
-                        rows.append((node, m, int(h[p : p + 1].view(np.int64)[0]), p, _around(words, p), n))
+                    at = np.flatnonzero(first[(h >> shift).astype(np.int64)])
+                    at = at[second[((h[at] << left) >> shift).astype(np.int64)]]
+                    rows += [(node, m, x, p, _around(words, p), n) for p, x in zip(at.tolist(), h[at].view(np.int64).tolist())]
                 if whole and 0 < n < FEW:
                     rows.append((node, len(every) - 1, int(whole_hash(words).view(np.int64)[0]), 0, _around(words, 0), n))
             for a in range(0, len(rows), 8192):
@@ -181,23 +182,6 @@ def _hits(shared, bits: int, masks: list[int]):
     return run
 
 
-def leaked_windows(own, item, length: int, n: int, place: int, whole: bool) -> list[int]:
-    """Starts, from the seed's place, of the leaked windows of a hit: words of document and item around it, the item's length."""
-    import numpy as np
-
-    if whole:
-        return [0] if n == length and (own[BEFORE : BEFORE + n] == item[BEFORE : BEFORE + n]).all() else []
-    if length < WINDOW:
-        same = own[BEFORE : BEFORE + length] == item[BEFORE : BEFORE + length]
-        return [0] if place + length <= n and same.sum() >= length - (length >= SOME) else []
-    same = (own == item) & (item != 0)
-    total = np.concatenate([[0], np.cumsum(same)])
-    there = np.concatenate([[0], np.cumsum((own != 0) & (item != 0))])
-    starts = np.arange(BEFORE + 1)
-    good = (total[starts + WINDOW] - total[starts] >= WINDOW - SUBSTITUTIONS) & (there[starts + WINDOW] - there[starts] == WINDOW)
-    return (starts[good] - BEFORE).tolist()
-
-
 def _verify(batches: Iterator):
     """node, item, start and words of every leaked window."""
     import numpy as np
@@ -227,7 +211,7 @@ def leaked_texts(texts: DataFrame, benchmark: DataFrame, item: str = "item_id",
     seeds = work.keep(seeds.groupBy("mask", "hash", "words", "length").agg(F.min("item").alias("item")), "seeds")
     found = {r["mask"]: r["n"] for r in seeds.groupBy("mask").agg(F.count("*").alias("n")).collect()}  # a row a mask
     bits = min(max(LEAST_BITS, math.ceil(math.log2(max(sum(found.values()), 1))) + SPARE_BITS), MOST_BITS)
-    shared = spark.sparkContext.broadcast(prefix_map(seeds, bits))
+    shared = spark.sparkContext.broadcast([bit_map(seeds, bits, after) for after in (0, bits)])  # 16 MB at most
     hits = work.keep(texts.select("node", "text").mapInArrow(_hits(shared, bits, sorted(found)), HIT).distinct(), "hits")
 
     # a hash with over 1 / HOT_SHARE of all hits is dealt out to SALTS parts; there are fewer than HOT_SHARE
