@@ -45,7 +45,7 @@ K = 240
 #: Standard deviations below the threshold at which an estimate excludes a pair.
 MARGIN = 4.0
 #: Rows of a bucket that are compared in memory at once, on either side.
-BLOCK_ROWS = 500
+BLOCK_ROWS = 1_000
 #: Below so many elements, darts of an element are thrown together.
 FEW = 3_000
 WORD = re.compile(r"\w+")
@@ -378,8 +378,8 @@ def _classified(df: DataFrame, text: str, key: str, threshold: float, k: int, ba
     again = star(again, "centre").join(done, ["hub", "member"], "left_anti")
     tested = tested.unionByName(links(again, "tested-2"))
     roots = rooted(tested, "roots-2")
-    # 3. what is still apart. Of a bucket, members of its largest class meet the others only: they lie in blocks, to each of
-    # which the others go; those others meet each other in pairs of blocks
+    # 3. what is still apart. Of a bucket, members of its largest class meet the others only, and those meet each other, too,
+    # all in pairs of blocks
     left = work.keep(unsettled(roots), "open-3")
     by_class = left.groupBy("bucket", "root").agg(F.count("*").alias("m"))
     largest = by_class.groupBy("bucket").agg(F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("all"))
@@ -387,9 +387,9 @@ def _classified(df: DataFrame, text: str, key: str, threshold: float, k: int, ba
     number = lambda n: F.ceil(n / F.lit(block_rows)).cast("int")
     most, rest = number(F.col("top.m")), F.greatest(number(F.col("all") - F.col("top.m")), F.lit(1))
     mine = lambda blocks: F.pmod(F.xxhash64("node"), blocks).cast("int")
-    place = lambda i, j, side: F.struct(F.lit(i).cast("int").alias("i") if isinstance(i, int) else i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
-    in_largest = F.array(place(-1, mine(most), F.lit(1)))
-    to_largest = F.transform(F.sequence(F.lit(0), most - 1), lambda o: place(-1, o, F.lit(0)))
+    place = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+    in_largest = F.transform(F.sequence(F.lit(0), rest - 1), lambda o: place(-1 - o, mine(most), F.lit(1)))
+    to_largest = F.transform(F.sequence(F.lit(0), most - 1), lambda o: place(-1 - mine(rest), o, F.lit(0)))
     among = F.transform(F.sequence(F.lit(0), rest - 1), lambda o: place(F.least(o, mine(rest)), F.greatest(o, mine(rest)), F.when(o == mine(rest), 2).when(mine(rest) < o, 0).otherwise(1)))
     to = F.when(F.col("root") == F.col("top.root"), in_largest).otherwise(F.concat(to_largest, among))
     dealt = left.select("bucket", F.explode(to).alias("to"), "node", "root").select("bucket", "to.i", "to.j", "to.side", "node", "root")
