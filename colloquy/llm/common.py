@@ -132,7 +132,8 @@ def attach_groups(members: DataFrame, groups: DataFrame, key: str, size: str, to
 
     Groups above total/HOT_SHARE rows number fewer than HOT_SHARE, whatever the
     input, so those rows are broadcast; their members get a salted key that
-    matches nothing in the shuffled join of the rest.
+    matches nothing in the shuffled join of the rest (or, where keys are numbers, a
+    value that is not read). The key is text or a long.
     """
     values = [c for c in groups.columns if c != key]
     hots, colds = ([f"{kind}{n}" for n in unused(members.columns, *[f"__{kind}_{v}" for v in values])] for kind in ("h", "c"))
@@ -141,7 +142,8 @@ def attach_groups(members: DataFrame, groups: DataFrame, key: str, size: str, to
     hot = groups.filter(F.col(size) > least).select(F.col(key).alias(hot_key), *[F.col(v).alias(n) for v, n in zip(values, hots)])
     cold = groups.filter(F.col(size) <= least).select(F.col(key).alias(cold_key), *[F.col(v).alias(n) for v, n in zip(values, colds)])
     out = members.join(F.broadcast(hot), F.col(key) == F.col(hot_key), "left")
-    out = out.withColumn(own, F.when(F.col(hot_key).isNull(), F.col(key)).otherwise(F.concat(F.lit("~"), F.xxhash64(salt).cast("string"))))
+    spread = F.xxhash64(salt) if dict(groups.dtypes)[key] == "bigint" else F.concat(F.lit("~"), F.xxhash64(salt).cast("string"))
+    out = out.withColumn(own, F.when(F.col(hot_key).isNull(), F.col(key)).otherwise(spread))
     out = out.join(cold, F.col(own) == F.col(cold_key), "left")
     return out.select(*quoted(members.columns), *[F.coalesce(h, c).alias(v) for h, c, v in zip(hots, colds, values)])
 

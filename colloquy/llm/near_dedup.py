@@ -334,7 +334,9 @@ def _classified(df: DataFrame, text: str, key: str, threshold: float, k: int, ba
 
     entries = nodes.select("node", F.explode("bands").alias("bucket"))
     buckets = entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1")
-    shared = work.keep(entries.join(buckets, "bucket"), "shared")
+    # buckets, classes and hubs may hold a large share of all rows, so nothing is joined by them without attach_groups()
+    shared = work.keep(attach_groups(entries, buckets, "bucket", "n", entries.count(), "node").filter("n is not null"), "shared")
+    total = shared.count()
     involved = shared.select("node").distinct().join(nodes.select("node", "rep.key"), "node").select("key")
     sets = docs.join(involved, "key", "left_semi").select("text").mapInArrow(_sets, "node string, elements binary, counts binary")
     sets = work.keep(sets.groupBy("node").agg(F.first("elements").alias("e"), F.first("counts").alias("c")), "sets")
@@ -364,7 +366,7 @@ def _classified(df: DataFrame, text: str, key: str, threshold: float, k: int, ba
         """Members, with their root, of the buckets that hold several classes."""
         labelled = shared.join(roots, F.col("node") == F.col("__n"), "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
         several = labelled.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")).filter("x <> y")
-        return labelled.join(several.select("bucket", "n"), "bucket")
+        return attach_groups(labelled, several.select("bucket", "n"), "bucket", "n", total, "node").filter("n is not null")
 
     # 1. every member of a bucket against the bucket's first node
     tested = links(star(shared, "leader"), "tested-1")
@@ -372,8 +374,8 @@ def _classified(df: DataFrame, text: str, key: str, threshold: float, k: int, ba
     # 2. against the member with the most links so far: the centre of a family of copies
     degree = tested.filter(F.col("sim") >= threshold).select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
     open_ = work.keep(unsettled(roots).join(degree, "node", "left").fillna(0, ["links"]), "open-2")
-    centre = open_.groupBy("bucket").agg(F.max(F.struct("links", "node", "root")).alias("top"))
-    again = open_.join(centre, "bucket").filter(F.col("root") != F.col("top.root")).withColumn("centre", F.col("top.node"))
+    centre = open_.groupBy("bucket").agg(F.max(F.struct("links", "node", "root")).alias("top"), F.count("*").alias("m"))
+    again = attach_groups(open_, centre, "bucket", "m", total, "node").filter(F.col("root") != F.col("top.root")).withColumn("centre", F.col("top.node"))
     done = tested.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p")).select(F.col("p.a").alias("hub"), F.col("p.b").alias("member"))
     again = star(again, "centre").join(done, ["hub", "member"], "left_anti")
     tested = tested.unionByName(links(again, "tested-2"))
@@ -383,7 +385,7 @@ def _classified(df: DataFrame, text: str, key: str, threshold: float, k: int, ba
     left = work.keep(unsettled(roots), "open-3")
     by_class = left.groupBy("bucket", "root").agg(F.count("*").alias("m"))
     largest = by_class.groupBy("bucket").agg(F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("all"))
-    left = left.drop("n").join(largest, "bucket")
+    left = attach_groups(left.drop("n"), largest, "bucket", "all", total, "node")
     number = lambda n: F.ceil(n / F.lit(block_rows)).cast("int")
     most, rest = number(F.col("top.m")), F.greatest(number(F.col("all") - F.col("top.m")), F.lit(1))
     mine = lambda blocks: F.pmod(F.xxhash64("node"), blocks).cast("int")
@@ -402,8 +404,8 @@ def _classified(df: DataFrame, text: str, key: str, threshold: float, k: int, ba
     roots = work.keep(rooted(tested, "roots-3"), "roots")
 
     joined = nodes.select("node", "rep", "rows").join(roots, F.col("node") == F.col("__n"), "left").withColumn("root", F.coalesce("root", "node"))
-    classes = joined.groupBy("root").agg(F.min("rep").alias("class_rep"), F.sum("rows").alias("class_size"))
-    by_node = work.keep(joined.join(classes, "root").select("node", "rows", "class_rep", "class_size"), "classes")
+    classes = joined.groupBy("root").agg(F.min("rep").alias("class_rep"), F.sum("rows").alias("class_size"), F.count("*").alias("m"))
+    by_node = work.keep(attach_groups(joined, classes, "root", "m", nodes.count(), "node").select("node", "rows", "class_rep", "class_size"), "classes")
     work.drop("nodes", "shared", "sets", "tested-1", "tested-2", "tested-3", "open-2", "open-3", "worth-3", "roots")
     return attach_groups(signed.select("doc_id", "key", "node"), by_node, "node", "rows", signed.count(), "key")
 
