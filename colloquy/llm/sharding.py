@@ -33,8 +33,8 @@ SHARDS = 40
 ROUNDS = None
 #: Rounds in a row without an admitted move, half of them of each kind, that end the propagation.
 IDLE = 4
-#: Parts in which the rows of a large group are numbered.
-PARTS = 64
+#: Bytes that a row counts for where rows are numbered in parts, and parts of a large group to one of all rows.
+ROW_BYTES, HOT_PARTS = 64, 4
 
 
 def numbered(df: DataFrame, by: list[str], name: str, parts: int) -> DataFrame:
@@ -178,7 +178,7 @@ def balanced_shards(df: DataFrame, text: str = "text", key: str = "doc_id", shar
     base = materialize(base, "shard-rows")
     total = base.count()
     capacity = [total // shards + (s < total % shards) for s in range(shards)]
-    parts = shuffle_partitions(spark)
+    parts = shuffle_partitions(spark, total * ROW_BYTES)
 
     sizes = base.filter("g is not null").groupBy("g").agg(F.count("*").alias("group_size")).filter("group_size > 1")
     base = materialize(attach_groups(base, sizes, "g", "group_size", total, "__uid"), "shard-linked")
@@ -206,7 +206,7 @@ def balanced_shards(df: DataFrame, text: str = "text", key: str = "doc_id", shar
     # where the rows of a group go: at most `shards` entries (end of the range of ranks, shard)
     upto = F.sum("n").over(Window.partitionBy("g").orderBy("shard"))
     places = state.withColumn("upto", upto).groupBy("g").agg(F.array_sort(F.collect_list(F.struct("upto", "shard"))).alias("places"), F.sum("n").alias("group_size"))
-    hot = F.when(F.col("group_size") > max(total // 1000, 1), F.pmod(F.xxhash64("__uid"), F.lit(PARTS)).cast("int")).otherwise(0)
+    hot = F.when(F.col("group_size") > max(total // 1000, 1), F.pmod(F.xxhash64("__uid"), F.lit(HOT_PARTS * parts)).cast("int")).otherwise(0)
     linked = linked.withColumn("__part", hot)
     counts = linked.groupBy("g", "__part").agg(F.count("*").alias("__count"))
     before = F.coalesce(F.sum("__count").over(Window.partitionBy("g").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -78,3 +78,63 @@ def test_a_hot_group_among_linked_rows_only_touches_no_more_shards_than_it_needs
     got = S.balanced_shards(spark.createDataFrame(rows, "doc_id long, text string"), shards=8).collect()
     check(rows, got, 8)
     assert len({r.shard for r in got if rows[r.doc_id][1] == "hot"}) == 3  # 800 rows, 300 a shard
+
+
+def cut(groups, shards):
+    """Pairs of equal texts that lie in different shards."""
+    where = defaultdict(Counter)
+    for g, s in zip(groups, shards):
+        where[g][s] += 1
+    return sum(sum(c.values()) ** 2 - sum(n * n for n in c.values()) for c in where.values()) // 2
+
+
+def plain_propagation(groups, k):
+    """Label propagation row by row: a linked row changes places with one that gains by it or loses nothing, until none does."""
+    n = len(groups)
+    shard, count = [i % k for i in range(n)], defaultdict(Counter)
+    for g, s in zip(groups, shard):
+        count[g][s] += 1
+    linked = {g for g, c in Counter(groups).items() if c > 1}
+    rows = defaultdict(list)
+    for i, s in enumerate(shard):
+        rows[s].append(i)
+    for _ in range(30):
+        moved = False
+        for i in range(n):
+            g, s = groups[i], shard[i]
+            if g not in linked:
+                continue
+            to = max(range(k), key=lambda x: (count[g][x], -x))
+            if to == s or count[g][to] <= count[g][s] - 1:
+                continue
+            gain = count[g][to] - count[g][s] + 1
+            for j in rows[to]:
+                o = groups[j]
+                if o != g and gain + count[o][s] - count[o][to] + 1 > 0:
+                    for a, b, x, y in ((i, g, s, to), (j, o, to, s)):
+                        count[b][x] -= 1
+                        count[b][y] += 1
+                        shard[a] = y
+                        rows[x].remove(a)
+                        rows[y].append(a)
+                    moved = True
+                    break
+        if not moved:
+            break
+    return shard
+
+
+def test_cut_edges_against_plain_propagation(spark):
+    """Small groups meet as in row-by-row propagation; groups of a third of a shard leave a few hundredths of the first cut."""
+    import random
+
+    for seed, sizes, left in ((1, [2, 2, 3, 5, 9], 0.01), (2, [2, 2, 3, 5, 9, 30], 0.1)):
+        rnd, groups = random.Random(seed), []
+        for g in range(60):
+            groups += [f"g{g}"] * rnd.choice(sizes)
+        groups += [f"single{i}" for i in range(150)]
+        rnd.shuffle(groups)
+        got = S.balanced_shards(spark.createDataFrame(list(enumerate(groups)), "doc_id long, text string"), shards=7).collect()
+        ours = cut(groups, [r.shard for r in sorted(got, key=lambda r: r.doc_id)])
+        start, plain = cut(groups, [i % 7 for i in range(len(groups))]), cut(groups, plain_propagation(groups, 7))
+        assert ours <= plain * 1.1 + left * start
