@@ -11,7 +11,7 @@ For prediction the table is multiplied by the softmax once, which gives the same
 scores with one gather a subword.
 
 Defined results: a null text or one without a letter is `und` with score 0 and
-rejected; null labels are not learned from; without any labelled row every
+rejected; null labels are not learned from, nor are languages beyond the most frequent 250; without any labelled row every
 prediction is `und`; repeated ids are rows like others; an empty table gives an
 empty result.
 """
@@ -22,13 +22,16 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import crc_mod, text_or_empty
 
-#: At most so many labelled rows are fitted on, shared evenly between the languages, those of the smallest id hash.
-FIT_ROWS = 3000
+#: At most so many labelled rows are fitted on, shared evenly between the languages, those of the smallest id hash; and, of
+#: a longer text's, so many subwords, the most frequent ones. A prediction reads all.
+FIT_ROWS, FIT_BUCKETS = 3000, 8192
+#: Languages that are learned, those with the most rows.
+MOST_LANGUAGES = 250
 #: Rows whose crc32(id) modulo HELD_OUT[0] is HELD_OUT[1] are never learned from.
 HELD_OUT = (5, 0)
 ORDERS, BUCKETS, WIDTH = (2, 3, 4), 1 << 16, 8
@@ -82,7 +85,7 @@ def pieces(text: str):
 
 
 def _bags(batches: Iterator):
-    """Distinct buckets of whole texts and their counts."""
+    """Distinct buckets of whole texts and their counts, 48 KB a text at most."""
     import numpy as np
     import pyarrow as pa
 
@@ -91,8 +94,11 @@ def _bags(batches: Iterator):
         for text in batch.column("text").to_pylist():
             octets = np.frombuffer(f" {text.lower()} ".encode("utf-8", "surrogatepass"), np.uint8)
             i, c = np.unique(np.concatenate(subwords(octets)), return_counts=True)
-            ids.append(i.astype("<i4").tobytes())
-            counts.append(c.astype("<i4").tobytes())
+            if len(i) > FIT_BUCKETS:
+                most = np.sort(np.argsort(-c, kind="stable")[:FIT_BUCKETS])
+                i, c = i[most], c[most]
+            ids.append(i.astype("<u2").tobytes())
+            counts.append(c.astype("<u4").tobytes())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], ["doc_id", "lang", "ids", "counts"])
 
 
@@ -135,24 +141,21 @@ def fit(df: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lan
     import numpy as np
 
     rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & (crc_mod(key, HELD_OUT[0]) != HELD_OUT[1]))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
-    if not sizes:
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    known = sizes.collect()
+    if not known:
         return None
-    names, each = sorted(sizes), max(fit_rows // len(sizes), 1)
-    # rows of the smallest hashes: a share that gives each language its part, then the bound itself
-    share = F.lit(0.0)
-    for name in names:
-        share = F.when(F.col("lang") == name, min(1.0, 1.5 * each / sizes[name])).otherwise(share)
+    names, each = sorted(r["lang"] for r in known), max(fit_rows // len(known), 1)
+    # rows of the smallest hashes: a share that gives each language its part and some more, then the bound itself
+    shares = F.broadcast(df.sparkSession.createDataFrame([(r["lang"], min(1.0, 1.5 * each / r["n"] + 20 / r["n"])) for r in known], "lang string, share double"))
     unit = (F.xxhash64("doc_id").cast("double") / 2.0**64) + 0.5
-    near = rows.filter(unit <= share)
-    chosen = None
-    for name in names:
-        part = near.filter(F.col("lang") == name).orderBy(F.xxhash64("doc_id"), "text").limit(each)
-        chosen = part if chosen is None else chosen.unionByName(part)
+    near = rows.join(shares, "lang").filter(unit <= F.col("share"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")))
+    chosen = near.withColumn("place", place).filter(F.col("place") <= each).select("doc_id", "lang", "text")
     bags, labels = [], []
-    got = chosen.mapInArrow(_bags, "doc_id long, lang string, ids binary, counts binary").toPandas()
+    got = chosen.mapInArrow(_bags, "doc_id long, lang string, ids binary, counts binary").orderBy("lang", F.xxhash64("doc_id"), "ids").toPandas()
     for name, ids, counts in zip(got["lang"], got["ids"], got["counts"]):
-        i, c = np.frombuffer(ids, "<i4"), np.frombuffer(counts, "<i4")
+        i, c = np.frombuffer(ids, "<u2").astype(np.int32), np.frombuffer(counts, "<u4")
         bags.append((i, (c / max(c.sum(), 1)).astype(np.float32)))
         labels.append(names.index(name))
     labels = np.array(labels)

@@ -24,6 +24,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import repeat
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -183,15 +184,13 @@ class DropoutEncoder:
             self._forget()
         split = [self.pieces.parts.findall(" " + t) if t else [] for t in texts]
         parts = [p for row in split for p in row]
-        new = list(set(parts) - self.roots.keys())
-        short = [p for p in new if len(p) <= SHORT]
-        self.roots.update((p, -1) for p in new if len(p) > SHORT)
+        short = [p for p in set(parts) - self.roots.keys() if len(p) <= SHORT]
         known = self.pieces.known
         for a in range(0, len(short), 8192):
             for p, ids in zip(short[a : a + 8192], self.whole.merge_all(short[a : a + 8192], 0)):
                 bytewise = sum(len(c.encode()) - 1 for c in p if c not in known)
                 self.roots[p] = self._node(p, (), ids, len(p) - (len(ids) // 4 - bytewise))
-        node = np.fromiter(map(self.roots.__getitem__, parts), np.int64, len(parts))
+        node = np.fromiter(map(self.roots.get, parts, repeat(-1)), np.int64, len(parts))
         ends = np.cumsum([0, *map(len, split)])
         place = np.arange(len(parts)) - np.repeat(ends[:-1], np.diff(ends))
         document = np.array([xxhash.xxh3_64_intdigest(str(k), seed=self.seed) for k in keys], np.uint64)
@@ -360,13 +359,14 @@ class DropoutEncoder:
             for parts, of in zip(split, streams):
                 if of == s:
                     used.update(parts)
-            new = list(used - cache.keys())
+            new = [p for p in used - cache.keys() if len(p) <= SHORT]
             if len(cache) + len(new) > self.limit:
                 cache.clear()
-                new = list(used)
+                new = [p for p in used if len(p) <= SHORT]
             for a in range(0, len(new), 8192):
                 cache.update(zip(new[a : a + 8192], self.merge_all(new[a : a + 8192], s)))
-        return [b"".join(map(self.caches[s].__getitem__, parts)) for parts, s in zip(split, streams)]
+        # long parts are merged where they occur and not kept
+        return [b"".join(self.caches[s].get(p) or array("I", self.merge(p, s)).tobytes() for p in parts) for parts, s in zip(split, streams)]
 
     def decode(self, ids) -> str:
         return b"".join(map(self.pieces.spelled.__getitem__, ids)).decode("utf-8")[1:]

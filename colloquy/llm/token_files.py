@@ -29,8 +29,8 @@ MAGIC = b"IDPLANE1"
 BLOCK_IDS = 1 << 16
 #: Bytes of text that one file takes.
 FILE_TEXT_BYTES = 64 << 20
-#: Entries of a worker's table of encoded words; it starts anew when full.
-CACHE_WORDS = 700_000
+#: Entries and characters of a worker's table of encoded words; it starts anew when full. Longer runs are not kept.
+CACHE_WORDS, CACHE_CHARACTERS, LONGEST_RUN = 700_000, 32 << 20, 256
 #: Texts encoded together.
 TEXTS = 256
 
@@ -191,6 +191,7 @@ class WordEncoder:
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.words: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
+        self.characters = 0
         described = json.loads(self.tokenizer.to_str())
         suffix = described["model"].get("end_of_word_suffix")
         if not suffix:
@@ -214,9 +215,11 @@ class WordEncoder:
     def _library(self, run: str) -> bytes:
         """Ids of a run that the plain rule does not cover."""
         if (got := self.runs.get(run)) is None:
-            if len(self.runs) > self.limit // 8:
-                self.runs.clear()
-            got = self.runs[run] = array("I", self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
+            got = array("I", self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
+            if len(run) <= LONGEST_RUN:
+                if len(self.runs) > self.limit // 8:
+                    self.runs.clear()
+                self.runs[run] = got
         return got
 
     def _learn(self, words: list[str]) -> None:
@@ -251,8 +254,11 @@ class WordEncoder:
                 if words:
                     used.update(words)
         new = used - self.words.keys()
-        if len(self.words) + len(new) > self.limit:
-            self.words, new = {}, used
+        more = sum(map(len, new))
+        if len(self.words) + len(new) > self.limit or self.characters + more > CACHE_CHARACTERS:
+            self.words, new, self.characters = {}, used, 0
+            more = sum(map(len, new))
+        self.characters += more
         self._learn(list(new))
         get = self.words.__getitem__
         return [b"".join([b"".join(map(get, words)) if words is not None else self._library(run) for run, words in pieces]) for pieces in split]
