@@ -5,7 +5,9 @@ each other linked row in an even spread over the rest; in every round the rows o
 holds most of their neighbours (those of a group larger than a shard to several),
 in turn among all shards and among those with room, and a driver-side quota for
 each pair of shards (a matrix of shards x shards) admits exchanges, free capacity
-and cycles through full shards, largest gain first, until no move is admitted. Rows without links have no preference and fill
+and cycles through full shards, largest gain first, until no move is admitted. Then groups that still
+lie apart gather in shards with room for all of their rows, and rounds go on, until neither moves a row.
+Rows without links have no preference and fill
 what is left, so the counts of any two shards differ by one row at most.
 
 Within a group and shard rows are alike, so the state of a round is one row for
@@ -132,6 +134,30 @@ def wished(state: DataFrame, spare: list[int], capacity: list[int], salt: int) -
     return small.unionByName(large.select("g", "n", "i", "j", (F.col("__to") - F.col("__n")).alias("gain")))
 
 
+def gathered(state: DataFrame, spare: list[int], salt: int) -> DataFrame:
+    """g, i, j, n: the rows of groups that lie apart and as a whole fit the spare places of one shard, which they all move to.
+
+    The groups are laid, in an order that the salt decides, along the spare places
+    of all shards; those that lie within one shard's places take them.
+    """
+    room = max(max(spare), 0)
+    ends = list(itertools.accumulate(max(x, 0) for x in spare))
+    apart = state.groupBy("g").agg(F.sum("n").alias("size"), F.count("*").alias("shards")).filter((F.col("shards") > 1) & (F.col("size") <= room))
+    laid = apart.withColumn("__part", F.pmod(F.xxhash64("g", F.lit(salt)), F.lit(shuffle_partitions(state.sparkSession))).cast("int"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row a part
+    starts = laid.groupBy("__part").agg(F.sum("size").alias("s")).select("__part", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("__start"))
+    inner = Window.partitionBy("__part").orderBy(F.xxhash64("g", F.lit(salt)), "g").rowsBetween(Window.unboundedPreceding, -1)
+    laid = laid.withColumn("__at", F.coalesce(F.sum("size").over(inner), F.lit(0))).join(F.broadcast(starts), "__part")
+    laid = laid.withColumn("first", F.col("__at") + F.col("__start")).withColumn("last", F.col("first") + F.col("size") - 1)
+    laid = laid.withColumn("j", shard_of("first", ends)).filter((F.col("j") == shard_of("last", ends)) & (F.col("j") < len(spare)))
+    return state.join(laid.select("g", "j"), "g").filter(F.col("shard") != F.col("j")).select("g", F.col("shard").alias("i"), "j", "n")
+
+
+def moves(change: DataFrame) -> DataFrame:
+    """g, shard, n: what rows g, i, j, m take from shards and add to them."""
+    return change.select("g", F.inline(F.array(F.struct(F.col("i").alias("shard"), (-F.col("m")).alias("n")), F.struct(F.col("j").alias("shard"), F.col("m").alias("n")))))
+
+
 def propagate(state: DataFrame, capacity: list[int], rounds: int | None = ROUNDS) -> DataFrame:
     """state: g, shard, n (rows of group g in shard). Returns it when no move is admitted, or after the rounds; no shard exceeds its capacity."""
     spark, shards, idle = state.sparkSession, len(capacity), 0
@@ -150,15 +176,21 @@ def propagate(state: DataFrame, capacity: list[int], rounds: int | None = ROUNDS
         allowed = quotas(want, spare)
         idle = 0 if allowed else idle + 1
         if idle == IDLE:
-            break
+            # rows that wish in vain: groups that lie apart may still meet where there is room for all of them
+            change = materialize(gathered(state, spare, k), f"shard-gathered-{k}")
+            if change.isEmpty():
+                break
+            state = state.unionByName(moves(change.withColumnRenamed("n", "m"))).groupBy("g", "shard").agg(F.sum("n").alias("n")).filter("n > 0")
+            state, idle = materialize(state, f"shard-state-{k}"), 0
+            log.debug("round %d: groups gathered", k)
+            continue
         if not allowed:
             continue
         quota = spark.createDataFrame([(i, j, n) for (i, j), n in allowed.items()], "i int, j int, quota long")
         order = Window.partitionBy("i", "j").orderBy(F.desc("gain"), F.xxhash64("g"), "g").rowsBetween(Window.unboundedPreceding, -1)
         moved = wishes.withColumn("__before", F.coalesce(F.sum("n").over(order), F.lit(0))).join(F.broadcast(quota), ["i", "j"])
         moved = moved.withColumn("m", F.least("n", F.greatest(F.col("quota") - F.col("__before"), F.lit(0)))).filter("m > 0")
-        change = moved.select("g", F.inline(F.array(F.struct(F.col("i").alias("shard"), (-F.col("m")).alias("n")), F.struct(F.col("j").alias("shard"), F.col("m").alias("n")))))
-        state = state.unionByName(change).groupBy("g", "shard").agg(F.sum("n").alias("n")).filter("n > 0")
+        state = state.unionByName(moves(moved)).groupBy("g", "shard").agg(F.sum("n").alias("n")).filter("n > 0")
         state = materialize(state, f"shard-state-{k}")
         log.debug("round %d: %d rows wish to move, %d may", k, sum(want.values()), sum(allowed.values()))
     return state
