@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -9,6 +11,9 @@ from pyspark.sql import types as T
 
 # Bodies that mean that a comment is gone.
 GONE = ("", "[deleted]", "[removed]")
+# Texts of links to a post that are counters or controls, not titles.
+COUNTER = "(?i)^(?:[0-9]+[.,]?[0-9]*\\s*)?(?:comments?|replies|votes?|shares?)$"
+CONTROLS = ("open post", "view post", "share", "save", "more options")
 # White space as Python's str methods see it.
 BLANK = "[\\s\\x1c-\\x1f\\x85\\p{Z}]"
 
@@ -38,6 +43,16 @@ def normalize_for_match(texts: pd.Series) -> pd.Series:
     return texts.map(fold)
 
 
+def is_title(c: str | Column) -> Column:
+    """Whether a cleaned text is neither blank, a counter nor a control."""
+    return (column(c) != "") & ~column(c).rlike(COUNTER) & ~F.lower(column(c)).isin(*CONTROLS)
+
+
+def is_title_text(text: str) -> bool:
+    """is_title() for one text."""
+    return bool(text) and not re.match(COUNTER, text) and text.casefold() not in CONTROLS
+
+
 def parse_int(c: str | Column, default: int | Column = 0) -> Column:
     """The first run of digits and commas as a number; anything else is the default."""
     found = F.replace(F.regexp_extract(F.coalesce(column(c).cast("string"), F.lit("")), "-?[0-9,]+", 0), F.lit(","), F.lit(""))

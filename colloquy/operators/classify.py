@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import truncate
+from ..session import cut
 
 # The labels that a classification may carry besides the rubric's tags, and prices in dollars for a million tokens (in, out).
 LIKELIHOODS, CONFIDENCES = ("1", "2A", "2B", "3", "4", "none"), ("high", "medium", "low")
@@ -24,14 +25,12 @@ def chunk_by_thread(comments: DataFrame, most: int, thread: str = "thread_id", s
     within = Window.partitionBy(thread).orderBy(seq)
     rows = comments.withColumn("__n", F.row_number().over(within) - 1)
     threads = comments.groupBy(thread).agg(F.min(seq).alias("__first"), F.ceil(F.count("*") / F.lit(most)).alias("__chunks"))
-    # requests before a thread: summed over buckets of threads first, so that no task sorts all of them
-    bounds = threads.agg(F.min("__first").alias("lo"), F.max("__first").alias("hi")).first()
-    lo, width = bounds["lo"] or 0, max(((bounds["hi"] or 0) - (bounds["lo"] or 0)) // 256 + 1, 1)
-    threads = threads.withColumn("__bucket", F.floor((F.col("__first") - lo) / F.lit(width)))
-    sums = threads.groupBy("__bucket").agg(F.sum("__chunks").alias("s"))  # 256 rows at most
-    before = sums.select("__bucket", F.coalesce(F.sum("s").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
-    inner = Window.partitionBy("__bucket").orderBy("__first").rowsBetween(Window.unboundedPreceding, -1)
-    threads = threads.withColumn("__within", F.coalesce(F.sum("__chunks").over(inner), F.lit(0))).join(F.broadcast(before), "__bucket")
+    # requests before a thread: summed range by range of the threads' first rows, so that no task sorts all of them
+    threads = cut(threads.repartitionByRange("__first").withColumn("__part", F.spark_partition_id()))
+    sums = threads.groupBy("__part").agg(F.sum("__chunks").alias("s"))  # a row a partition
+    before = sums.select("__part", F.coalesce(F.sum("s").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
+    inner = Window.partitionBy("__part").orderBy("__first", thread).rowsBetween(Window.unboundedPreceding, -1)
+    threads = threads.withColumn("__within", F.coalesce(F.sum("__chunks").over(inner), F.lit(0))).join(F.broadcast(before), "__part")
     starts = threads.select(thread, (F.col("__base") + F.col("__within")).alias("__start"))
     out = rows.join(starts, thread)
     return out.withColumn("chunk", F.col("__start") + F.floor(F.col("__n") / F.lit(most))).withColumn("place", F.col("__n") % most).drop("__n", "__start")
@@ -101,17 +100,44 @@ def classify(requests: DataFrame, fn: Callable[[str, list[str]], tuple[list[dict
 
 
 def stub_model(content: str, ids: list[str]) -> tuple[list[dict], int, int]:
-    """A deterministic stand-in for a model."""
-    import zlib
+    """A deterministic stand-in for a model: labels by the md5 of the id."""
+    import hashlib
 
-    answers = [{"comment_id": i, "relevance_tag": "none", "icp_likelihood": LIKELIHOODS[zlib.crc32(i.encode()) % 6], "confidence": CONFIDENCES[zlib.crc32(i.encode()) % 3], "rationale": "stub"} for i in ids]
+    pick = lambda i, n: int(hashlib.md5(i.encode()).hexdigest()[:8], 16) % n
+    answers = [{"comment_id": i, "relevance_tag": "none", "icp_likelihood": LIKELIHOODS[pick(i, 6)], "confidence": CONFIDENCES[pick(i, 3)], "rationale": "stub"} for i in ids]
     return answers, len(content) // 4, 20 * len(ids)
 
 
+#: A landed result of a batch.
+RESULT = (
+    "custom_id string, result struct<type:string,message:struct<usage:struct<input_tokens:bigint,output_tokens:bigint>,"
+    "content:array<struct<type:string,input:struct<classifications:array<struct<comment_id:string,relevance_tag:string,icp_likelihood:string,confidence:string,rationale:string>>>>>>>"
+)
+NO_ANSWER = "no_tool_use_block"
+
+
+def read_results(landed: DataFrame, payload: str = "payload") -> DataFrame:
+    """Landed results (one JSON text each) as rows of classify(): the first answer block counts; a success without one is an error of its own, whose tokens were spent."""
+    r = F.from_json(payload, RESULT)
+    rows = landed.select(r.alias("r")).select("r.custom_id", "r.result.type", "r.result.message.usage", F.filter("r.result.message.content", lambda x: x["type"] == "tool_use").alias("blocks"))
+    good = F.col("type") == "succeeded"
+    answered = good & (F.coalesce(F.size("blocks"), F.lit(0)) > 0)
+    status = F.when(answered, "succeeded").when(good, NO_ANSWER).otherwise(F.coalesce("type", F.lit("unreadable")))
+    tokens = lambda c: F.coalesce(F.when(good, F.col(f"usage.{c}")), F.lit(0))
+    answers = F.coalesce(F.when(answered, F.col("blocks")[0]["input"]["classifications"]), F.array())
+    return rows.select("custom_id", status.alias("status"), tokens("input_tokens").alias("input_tokens"), tokens("output_tokens").alias("output_tokens"), answers.alias("classifications"))
+
+
+def errors(results: DataFrame) -> DataFrame:
+    """custom_id and error of every request that brought no answer."""
+    return results.filter(F.col("status") != "succeeded").select("custom_id", F.col("status").alias("error"))
+
+
 def usage(results: DataFrame) -> DataFrame:
-    """One row: tokens of succeeded requests and the number of failed ones."""
-    good = F.col("status") == "succeeded"
-    return results.agg(F.sum(F.when(good, F.col("input_tokens")).otherwise(0)).alias("input_tokens"), F.sum(F.when(good, F.col("output_tokens")).otherwise(0)).alias("output_tokens"), F.count_if(~good).alias("failed"))
+    """One row: tokens of requests that were answered, with or without classifications, and the number of those that failed."""
+    paid = F.col("status").isin("succeeded", NO_ANSWER)
+    total = lambda c: F.coalesce(F.sum(F.when(paid, F.col(c))), F.lit(0))
+    return results.agg(total("input_tokens").alias("input_tokens"), total("output_tokens").alias("output_tokens"), F.count_if(F.col("status") != "succeeded").alias("failed"))
 
 
 def cost(tokens_in: str | Column, tokens_out: str | Column, model: str) -> Column:

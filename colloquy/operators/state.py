@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,14 +64,73 @@ def lookup_posts(state: DataFrame, wanted: DataFrame, key: str = "post_id") -> D
     return found.withColumn("__n", F.row_number().over(Window.partitionBy("wanted").orderBy("rank"))).filter("__n = 1").drop("__n", "form", "rank")
 
 
+def import_ids(state: DataFrame, ids: DataFrame, now: str, key: str = "comment_id", first: str = "first_seen_at") -> DataFrame:
+    """state with the ids of an older ledger that it does not have yet, seen `now`; other columns are null."""
+    old = ids.select(F.trim(key).alias(key)).filter(F.col(key) != "").distinct().join(state.select(key), key, "left_anti")
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in state.schema.fields if f.name not in (key, first)]
+    return state.unionByName(old.select(key, F.lit(now).cast(state.schema[first].dataType).alias(first), *blank))
+
+
+def start_run(events: DataFrame, run_id: str, seq: int, at: str) -> DataFrame:
+    """events with the start of a run; run_view() takes it that a run still open is interrupted by that."""
+    return _event(events, run_id, seq, "running", 0, 0, at)
+
+
+def progress(events: DataFrame, run_id: str, seq: int, posts: int, comments: int, at: str) -> DataFrame:
+    return _event(events, run_id, seq, "running", posts, comments, at)
+
+
+def finish_run(events: DataFrame, run_id: str, seq: int, posts: int, comments: int, at: str, failures: int = 0, error: str | None = None) -> DataFrame:
+    """The end of a run: failed with an error, else completed, with or without failures."""
+    return _event(events, run_id, seq, "failed" if error else "completed_with_errors" if failures else "completed", posts, comments, at)
+
+
+def _event(events: DataFrame, *values) -> DataFrame:
+    return events.unionByName(events.sparkSession.createDataFrame([values], "run_id string, seq long, status string, post_count int, new_comment_count int, at string"), allowMissingColumns=True)
+
+
+def _pointers(spark, folder: str):
+    """The file system, the folder and the numbers of its pointer files."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [str(f.getPath().getName()) for f in fs.listStatus(at)] if fs.exists(at) else []
+    return fs, at, sorted(int(n[8:]) for n in names if n.startswith("pointer-") and n[8:].isdigit())
+
+
 def write_version(df: DataFrame, folder: str, version: str) -> str:
-    """Writes a whole new version of a table, then moves the pointer to it; readers never see half a table."""
+    """Writes a whole new version of a table, then a new pointer file to it.
+
+    Pointers are numbered and never replaced: a reader takes the highest one, so it
+    finds the old version or the new one at any time, and a crash between leaves the
+    old one. Two writers at once: the second to rename fails.
+    """
     path = f"{folder}/v={version}"
     df.write.mode("overwrite").parquet(path)
-    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{folder}/_current")
+    point_to(df.sparkSession, folder, version)
     return path
 
 
+def point_to(spark, folder: str, version: str) -> None:
+    """The pointer file of a version that is there."""
+    fs, at, numbers = _pointers(spark, folder)
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    target = new(at, f"pointer-{(numbers[-1] if numbers else 0) + 1:012d}")
+    part = new(at, f".part-{uuid.uuid4().hex}")
+    out = fs.create(part, False)
+    out.write(bytearray(version.encode()))
+    out.close()
+    if fs.exists(target) or not fs.rename(part, target):
+        fs.delete(part, False)
+        raise RuntimeError(f"another writer has moved the pointer of {folder}")
+
+
+def current_version(spark, folder: str) -> str | None:
+    """The version that the highest pointer names, or None."""
+    _, _, numbers = _pointers(spark, folder)
+    return spark.read.text(f"{folder}/pointer-{numbers[-1]:012d}", wholetext=True).first()[0] if numbers else None
+
+
 def read_version(spark, folder: str) -> DataFrame:
-    version = spark.read.schema("version string").json(f"{folder}/_current").first()[0]
+    if (version := current_version(spark, folder)) is None:
+        raise FileNotFoundError(f"{folder} has no version")
     return spark.read.parquet(f"{folder}/v={version}")

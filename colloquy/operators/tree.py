@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -18,8 +18,9 @@ def ancestors(comments: DataFrame, thread: str = "thread_id", node: str = "comme
 
     The walk goes up until the parent is blank, the post, missing, or met before;
     the start itself may be met once. Paths are doubled, so a thread of n
-    comments takes log2(n) joins on (thread, node), and a large thread is spread
-    over all tasks. A path that meets a node twice is in a cycle and ends.
+    comments takes at most log2(n) joins on (thread, node), and no more than a few
+    beyond the log of its depth; a large thread is spread over all tasks. A path
+    that meets a node twice is in a cycle and ends.
     longest: comments of the largest thread; counted if not given.
     """
     rows = comments.select(F.col(thread).alias("t"), F.col(node).alias("n"), F.col(parent).alias("p"), F.col(post).alias("post"))
@@ -36,6 +37,8 @@ def ancestors(comments: DataFrame, thread: str = "thread_id", node: str = "comme
         step = joined.select("t", "n", F.when(F.size("path") == F.size("whole"), F.col("jump")).alias("jump"), "path")
         if k % ROUNDS_IN_PLAN == 0:
             step = cut(step)
+            if step.filter("jump is not null").isEmpty():  # no walk goes on: the depth of the trees counts, not their size
+                break
     return step.select(F.col("t").alias(thread), F.col("n").alias(node), F.reverse("path").alias("ancestors"))
 
 
@@ -66,28 +69,45 @@ def enrich_context(comments: DataFrame, limit: int = 8, thread: str = "thread_id
     }).drop("ancestors", "declared", "parent_text")
 
 
+#: Levels whose latest rows a window can hold at once; deeper trees pass in order through a worker.
+LEVELS_IN_WINDOW = 64
+
+
 def depth_stack_parents(rows: DataFrame, thread: str = "thread_id", seq: str = "seq", node: str = "comment_id", depth: str = "depth", post: str = "post_id") -> DataFrame:
     """thread, node and parent_id inferred from document order and depth alone.
 
     The parent is the latest row one level up that no shallower row has closed;
-    depth 0 hangs on the post; a skipped level gives an empty parent. Rows pass
-    in order, with no more state than the open branch.
+    depth 0 hangs on the post; a skipped level gives an empty parent. So of the
+    latest rows on each shallower level the last must be on the level above.
     """
     held = rows.select(F.col(thread).alias("t"), F.col(seq).cast("long").alias("s"), F.col(node).alias("n"), F.greatest(F.col(depth).cast("int"), F.lit(0)).alias("d"), F.col(post).alias("post"))
+    deepest = held.agg(F.max("d")).first()[0] or 0
+    if deepest >= LEVELS_IN_WINDOW:
+        return _stack_in_order(held, thread, node)
+    before = Window.partitionBy("t").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    latest = F.array(*[F.max(F.when(F.col("d") == k, F.struct("s", "n"))).over(before) for k in range(deepest)]) if deepest else F.lit(None).cast("array<struct<s:bigint,n:string>>")
+    told = held.withColumn("latest", latest).withColumn("above", F.try_element_at("latest", F.greatest(F.col("d"), F.lit(1))))
+    last = F.array_max(F.slice("latest", 1, F.greatest(F.col("d"), F.lit(1))))
+    parent = F.when(F.col("d") == 0, F.col("post")).when(F.col("above") == last, F.col("above.n")).otherwise("")
+    return told.select(F.col("t").alias(thread), F.col("n").alias(node), parent.alias("parent_id"))
+
+
+def _stack_in_order(held: DataFrame, thread: str, node: str) -> DataFrame:
+    """Rows pass in order, with no more state than the open branch."""
 
     def run(batches: Iterator):
         import pyarrow as pa
 
-        thread_now, stack = None, {}
+        thread_now, branch = None, []  # (depth, node), ever deeper
         for batch in batches:
             parents = []
             for t, n, d, p in zip(*[batch.column(c).to_pylist() for c in ("t", "n", "d", "post")]):
                 if t != thread_now:
-                    thread_now, stack = t, {}
-                parents.append(p if d <= 0 else stack.get(d - 1, ""))
-                for known in [k for k in stack if k >= d]:
-                    del stack[known]
-                stack[d] = n
+                    thread_now, branch = t, []
+                while branch and branch[-1][0] >= d:
+                    branch.pop()
+                parents.append(p if d == 0 else branch[-1][1] if branch and branch[-1][0] == d - 1 else "")
+                branch.append((d, n))
             yield pa.RecordBatch.from_arrays([batch.column("t"), batch.column("n"), pa.array(parents, pa.string())], [thread, node, "parent_id"])
 
     return held.repartition("t").sortWithinPartitions("t", "s").mapInArrow(run, f"{thread} string, {node} string, parent_id string")

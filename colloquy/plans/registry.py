@@ -370,12 +370,16 @@ def output_order_rank(spark, sf_dir):
     return c.select("thread_id", "comment_id", place.cast("bigint").alias("place"))
 
 
-@query()
+@query("SELECT doc_id, lang, source FROM documents ORDER BY md5('7:' || doc_id), doc_id LIMIT 100")
 def seeded_sample(spark, sf_dir):
     return discover.seeded_sample(table(spark, sf_dir, "documents").select("doc_id", "lang", "source"), "doc_id", 100, 7)
 
 
-@query()
+_PLAIN = "trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace({}, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '[\\s\\x{{85}}\\p{{Z}}]+', ' ', 'g'))"
+
+
+@query(f"""SELECT page_id, {_PLAIN.format("regexp_extract(html, '<title>(.*?)</title>', 1, 's')")} AS title, {_PLAIN.format("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")} AS h1,
+    len(regexp_extract_all(html, '<a [^>]*href="[^"]')) AS links FROM pages""")
 def parse_pages(spark, sf_dir):
     return html.page_facts(table(spark, sf_dir, "pages").select("page_id", "html"), ["page_id"])
 
@@ -466,10 +470,16 @@ def fetch_route(spark, sf_dir):
     return rows.select("doc_id", discover.route(1000).alias("route"))
 
 
-@query()
+@query("""
+    SELECT 't' || conv_id AS thread_id, 'c' || conv_id || '_' || turn AS comment_id, 'none' AS relevance_tag, ['1', '2A', '2B', '3', '4', 'none'][1 + m % 6] AS icp_likelihood,
+           ['high', 'medium', 'low'][1 + m % 3] AS confidence, 'stub' AS rationale
+    FROM (SELECT *, ('0x' || substr(md5('c' || conv_id || '_' || turn), 1, 8))::BIGINT AS m FROM conversations)""")
 def classify_roundtrip(spark, sf_dir):
     """Requests rendered, answered by the deterministic stand-in, and joined back to every comment."""
     requests = classify.render_requests(_chunked(spark, sf_dir), 60)
     results = classify.classify(requests, classify.stub_model)
     answers = results.select("custom_id", F.explode("classifications").alias("a")).select("custom_id", "a.*")
     return classify.attach(comments(spark, sf_dir).select("thread_id", "comment_id"), answers, seq="custom_id")
+
+
+from . import registry_flows  # noqa: E402,F401  its queries join those above

@@ -22,7 +22,8 @@ POST = _schema(
     created_iso=TEXT, permalink=TEXT, fetched_at=TEXT,
 )
 CANDIDATE = T.StructType([*[f for f in POST.fields if f.name not in {"fetched_comment_count", "fetched_at"}], T.StructField("is_stickied", FLAG)])
-FAILED_POST = _schema(post_id=TEXT, permalink=TEXT, title=TEXT, subreddit=TEXT, error=TEXT, failed_at=TEXT)
+FAILED_POST = _schema(post_id=TEXT, title=TEXT, permalink=TEXT, attempt=COUNT, error=TEXT, failed_at=TEXT)
+DISCOVERED = _schema(post_id=TEXT, subreddit=TEXT, source_type=TEXT, matched_keyword=TEXT, title=TEXT, score=TEXT, num_comments=TEXT, created_utc=TEXT, created_iso=TEXT, permalink=TEXT)
 STATE_COMMENT = _schema(comment_id=TEXT, thread_id=TEXT, subreddit=TEXT, parent_id=TEXT, root_comment_id=TEXT, depth=COUNT, first_seen_at=TEXT, last_seen_at=TEXT)
 STATE_POST = _schema(
     post_id=TEXT, subreddit=TEXT, source_type=TEXT, matched_keyword=TEXT, title=TEXT, permalink=TEXT, reported_comment_count=COUNT, fetched_comment_count=COUNT, was_truncated=FLAG,

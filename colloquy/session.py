@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -9,6 +11,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under spark.checkpoint.dir, or under the warehouse where the session names none, as in local tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df from files in the shared folder of spark.checkpoint.dir, so that its lineage ends there.
 

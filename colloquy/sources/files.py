@@ -13,31 +13,73 @@ from pyspark.sql import types as T
 POST_ID = re.compile(r"^[a-z0-9]+$", re.I)
 
 
-def sniff_encoding(spark: SparkSession, path: str, sample: int = 1 << 20) -> str:
-    """UTF-8 if the first bytes are, else the single-byte one; read through Spark, so any store will do."""
-    head = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, sample).alias("head")).first()
-    if head is None:
-        return "UTF-8"
+#: Single-byte encodings that exports come in, the likelier first.
+SINGLE_BYTE = ("cp1252", "mac_roman")
+
+
+def _likeness(text: str) -> int:
+    """How much a decoded text looks like prose: accents and quotes where they belong, no capitals or signs inside words."""
+    score = 0
+    for before, c in zip(" " + text, text):
+        if c > "\x7f":
+            if c.isalpha():
+                score += 1 if c.islower() or not before.islower() else -2
+            else:
+                score += 1 if c in "‘’“”„–—…«»¿¡€°§·" and not (before.islower() and c in "¿¡°§·") else -2 if before.isalpha() else 0
+    return score
+
+
+def detect_encoding(data: bytes) -> str:
+    """The encoding of a whole file: UTF-8 if it decodes, else the single-byte one in which it reads most like prose."""
     try:
-        bytes(head["head"]).decode("utf-8")
-    except UnicodeDecodeError as error:
-        # a character cut off by the sample is no proof
-        return "UTF-8" if error.start >= sample - 4 else "ISO-8859-1"
-    return "UTF-8"
+        data.decode("utf-8")
+        return "utf-8"
+    except UnicodeDecodeError:
+        pass
+    if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        return "utf-16"
+    # only bytes beyond ASCII, each with the one before it, tell encodings apart
+    telling = re.findall(rb"[\x00-\x7f]?[\x80-\xff]+", data)
+    return max(SINGLE_BYTE, key=lambda e: (_likeness(" ".join(t.decode(e, "replace") for t in telling)), -SINGLE_BYTE.index(e)))
+
+
+def encodings(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files of a path by encoding; every file is read whole where it lies, and one row for each comes back."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array([detect_encoding(c or b"") for c in batch.column("content").to_pylist()], pa.string())], ["path", "encoding"])
+
+    out: dict[str, list[str]] = {}
+    for row in spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "path string, encoding string").collect():
+        out.setdefault(row["encoding"], []).append(row["path"])
+    return out
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """All columns as text; empty cells are empty, not null; quoted line ends and doubled quotes stay."""
-    encoding = sniff_encoding(spark, path)
-    options = {"header": True, "encoding": encoding, "multiLine": True, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0000"}
-    reader = spark.read.options(**options)
-    df = (reader.schema(schema) if schema else reader).csv(path).na.fill("")
-    if encoding != "UTF-8":
-        # windows-1252, which readers do not take by name, differs from the other in these characters only
-        pairs = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(128, 160)]
-        old, new = ("".join(x) for x in zip(*[p for p in pairs if p[1]]))
-        df = df.select(*[F.translate(c, old, new).alias(c) for c in df.columns])
-    return df
+    """All columns as text; empty cells are empty, not null; quoted line ends and doubled quotes stay.
+
+    Files of a folder may differ in encoding (UTF-8, UTF-16, windows-1252, Mac Roman).
+    """
+    found = encodings(spark, path) or {"utf-8": [path]}
+    parts = []
+    for encoding, files in sorted(found.items()):
+        # readers do not take single-byte encodings by name, but one that keeps every byte, which is then translated
+        name = {"utf-8": "UTF-8", "utf-16": "UTF-16"}.get(encoding, "ISO-8859-1")
+        options = {"header": True, "encoding": name, "multiLine": True, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0000"}
+        reader = spark.read.options(**options)
+        df = (reader.schema(schema) if schema else reader).csv(files if len(found) > 1 else path).na.fill("")
+        if name == "ISO-8859-1":
+            pairs = [(chr(b), c) for b in range(128, 256) if (c := bytes([b]).decode(encoding, "ignore")) and c != chr(b)]
+            old, new = ("".join(x) for x in zip(*pairs))
+            df = df.select(*[F.translate(F.col(f"`{c}`"), old, new).alias(c.translate(dict(zip(map(ord, old), new)))) for c in df.columns])
+        parts.append(df)
+    out = parts[0]
+    for df in parts[1:]:
+        out = out.unionByName(df, allowMissingColumns=True).na.fill("")
+    return out
 
 
 def write_csv(df: DataFrame, path: str, columns: list[str], exact: bool = True) -> bool:
@@ -58,23 +100,24 @@ def key_set(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 
 def parse_repair_list(lines: list[str], keep_case: bool = False) -> list[dict]:
-    """Targets of a repair list: comments and blanks skipped, ids and URLs resolved, duplicates at the first place with the last payload.
+    """Targets of a repair list: comments and blanks skipped, ids and whole URLs resolved, duplicates at the first place with the last payload.
 
     All bad lines are reported at once, with their numbers; an empty list is an error.
     """
     found: dict[str, dict] = {}
     errors = []
     for n, line in enumerate(lines, 1):
-        text = line.strip()
+        text = line.lstrip("\ufeff").strip()
         if not text or text.startswith("#"):
             continue
-        url = re.search(r"/comments/([^/?#]+)", text)
-        bare = url[1] if url else re.sub(r"^t3_" if keep_case else r"^t[13]_", "", text)
-        bare = bare if keep_case else bare.casefold()
-        if "://" in text and not url or not POST_ID.match(bare):
+        whole = text.startswith(("http://", "https://"))
+        after = re.search(r"(?i)^[^?#]*?/comments/+([^/?#]+)", text) if whole else None
+        bare = (after[1] if after else "") if whole else re.sub(r"^t3_" if keep_case else r"^t[13]_", "", text)
+        bare = bare if keep_case else re.sub(r"^t[13]_", "", bare).casefold()
+        if not bare or not whole and not POST_ID.match(bare):
             errors.append(f"line {n}: no post id in {text!r}")
             continue
-        found[bare] = {"post_id": bare, "permalink": text if "://" in text else None, "intake_mode": "repair"}
+        found[bare] = {"post_id": bare, "permalink": text if whole else None, "intake_mode": "repair"}
     if errors:
         raise ValueError("; ".join(errors))
     if not found:
@@ -83,12 +126,15 @@ def parse_repair_list(lines: list[str], keep_case: bool = False) -> list[dict]:
 
 
 def resolve_repairs(spark: SparkSession, targets: list[dict], state: DataFrame) -> DataFrame:
-    """Targets with what the state knows of them: permalink, community, title, source and keyword."""
-    wanted = spark.createDataFrame([(n, t["post_id"], t["permalink"]) for n, t in enumerate(targets)], "seq long, post_id string, given string")
-    known = state.select(F.regexp_replace(F.lower("post_id"), "^t3_", "").alias("k"), "permalink", "subreddit", "title", "source_type", "matched_keyword").dropDuplicates(["k"])
-    joined = wanted.join(known, F.lower("post_id") == F.col("k"), "left")
-    link = F.coalesce(F.when(F.col("permalink") != "", F.col("permalink")), F.col("given"), F.concat(F.lit("/comments/"), "post_id", F.lit("/")))
-    return joined.select("seq", "post_id", link.alias("permalink"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("subreddit", "title", "source_type", "matched_keyword")], F.lit("repair").alias("intake_mode"))
+    """Targets of a list with what the state knows of them; see operators.repair.resolve."""
+    from ..operators.repair import resolve
+
+    return resolve(spark.createDataFrame([(n, t["post_id"], t["permalink"]) for n, t in enumerate(targets)], "seq long, post_id string, given string"), state)
+
+
+def label_from_path(path: str) -> str:
+    """The last part of a file's stem, which names the run that wrote it."""
+    return Path(path).stem.split("_")[-1]
 
 
 def load_config(path: str, defaults: dict) -> dict:

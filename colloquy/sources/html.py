@@ -12,9 +12,10 @@ from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
 
-from ..functions.text import GONE
-from ..functions.urls import MODERN_HOST, OLD_HOST, POST_PATH, SITE
+from ..functions.text import GONE, is_title_text
+from ..functions.urls import MODERN_HOST, OLD_HOST, POST_PATH, SITE, thread_url
 from ..schemas import CANDIDATE
+from .tables import exploded
 
 # Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -26,7 +27,8 @@ COMMENTS = ("comment-count", "comment-count-number", "comments-count", "data-com
 CREATED, NAME = ("created-timestamp", "created_timestamp", "timestamp", "datetime"), ("subreddit-prefixed-name", "subreddit-name", "subreddit")
 PROMOTED, STICKIED = ("promoted", "is-promoted", "is_ad"), ("is-stickied", "stickied", "is_stickied")
 FALSE = frozenset(("", "0", "false", "no", "none"))
-COUNTER = re.compile(r"^[0-9][0-9.,km]*\s+(comments?|votes?|upvotes?|points?)$|^(comments?|share|save|reply|more|hide|report|permalink)$", re.I)
+#: Stands for a count that a page does not say.
+MISSING = -(1 << 62)
 COMMENT_ROW = "comment_id string, parent_id string, author string, body string, score long, depth int, created_utc double, permalink string"
 
 
@@ -109,8 +111,11 @@ class _Builder(HTMLParser):
 
 def parse(html: str | None) -> Node:
     builder = _Builder()
-    builder.feed(html or "")
-    builder.close()
+    try:
+        builder.feed(html or "")
+        builder.close()
+    except (AssertionError, ValueError):  # declarations that the parser gives up on: what came before counts
+        pass
     return builder.root
 
 
@@ -239,7 +244,7 @@ def _linked_candidates(root: Node, community: str) -> list[dict]:
         if not found or (community and found[1].casefold() != community.casefold()):
             continue
         titles = [" ".join((t or "").split()) for t in (link.get("aria-label"), link.get("title"), link.text())]
-        title = next((t for t in titles if t and not COUNTER.match(t)), "")
+        title = next(filter(is_title_text, titles), "")
         row = _candidate(found[2], title, found[1], "", 0, 0, None, href, False)
         if (kept := out.setdefault(found[2], row)) is not row and len(title) > len(kept["title"]):
             kept["title"] = title
@@ -334,41 +339,60 @@ def _old_comment(node: Node) -> dict | None:
 # ---------------------------------------------------------------- table functions
 
 
-def _rows_of(pages: DataFrame, keep: list[str], fn, fields: str) -> DataFrame:
+def _rows_of(pages: DataFrame, keep: list[str], needs: list[str], fn, fields: str) -> DataFrame:
     """keep columns and the fields of every row that fn makes of a page, with seq, its place on the page."""
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields if f.name in keep)
+    names = [f.split()[0] for f in fields.split(", ")]
+
+    def tuples(*values):
+        return [(n, *[r[c] for c in names]) for n, r in enumerate(fn(*values))]
+
+    return exploded(pages, keep, needs, tuples, f"seq long, {fields}")
+
+
+CANDIDATE_ROW = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CANDIDATE.fields if f.name != "created_iso")
+
+
+def listing_rows(pages: DataFrame, keep: list[str], html: str = "html", community: str = "", mode: str = "full_scrape", community_column: str | None = None) -> DataFrame:
+    """Candidates of landed listing pages; the community may be a column of the pages."""
+    if community_column:
+        return _rows_of(pages, keep, [html, community_column], lambda page, name: parse_listing(page, name or "", mode)[0], CANDIDATE_ROW)
+    return _rows_of(pages, keep, [html], lambda page: parse_listing(page, community, mode)[0], CANDIDATE_ROW)
+
+
+def next_pages(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
+    """keep columns and url, the next page that a listing names."""
+    return exploded(pages, keep, [html], lambda page: [(u,)] if (u := parse_listing(page)[1]) else [], "url string")
+
 
-    def run(batches):
-        import pandas as pd
+PAGE_POST = "page_post_id string, page_title string, page_subreddit string, page_author string, page_body string, page_score long, page_num_comments long, page_created_utc double, page_permalink string"
 
-        for batch in batches:
-            out = []
-            for row in batch.to_dict("records"):
-                out += [{k: row[k] for k in keep} | {"seq": n} | r for n, r in enumerate(fn(row))]
-            yield pd.DataFrame(out, columns=[*keep, "seq", *[f.split()[0] for f in fields.split(", ")]])
 
-    return pages.mapInPandas(run, f"{kept}, seq long, {fields}")
+def post_rows(pages: DataFrame, keep: list[str], html: str = "html", post: str = "post_id") -> DataFrame:
+    """keep columns and what every thread page says of its post; null where it says nothing."""
+    names = [f.split()[0][5:] for f in PAGE_POST.split(", ")]
 
+    def of(page, wanted):
+        got = parse_post(page, {"post_id": wanted or "", "score": MISSING, "num_comments": MISSING})
+        return [tuple(None if (v := got.get(n)) == MISSING or v == "" else v for n in names)]
 
-def listing_rows(pages: DataFrame, keep: list[str], html: str = "html", community: str = "", mode: str = "full_scrape") -> DataFrame:
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CANDIDATE.fields if f.name != "created_iso")
-    return _rows_of(pages, keep, lambda row: parse_listing(row[html], community, mode)[0], fields)
+    return exploded(pages, keep, [html, post], of, PAGE_POST)
 
 
 def thread_rows(pages: DataFrame, keep: list[str], html: str = "html", post: str = "post_id", include_deleted: bool = False) -> DataFrame:
-    return _rows_of(pages, keep, lambda row: parse_thread(row[html], row[post], include_deleted)[0], COMMENT_ROW)
+    return _rows_of(pages, keep, [html, post], lambda page, post_id: parse_thread(page, post_id or "", include_deleted)[0], COMMENT_ROW)
 
 
 def continuations(pages: DataFrame, keep: list[str], html: str = "html", post: str = "post_id") -> DataFrame:
-    return _rows_of(pages, keep, lambda row: [{"url": u} for u in parse_thread(row[html], row[post])[1]], "url string")
+    """The links that continue a thread, in the form in which their pages are landed."""
+    return _rows_of(pages, keep, [html, post], lambda page, post_id: [{"url": thread_url(u)} for u in parse_thread(page, post_id or "")[1]], "url string")
 
 
 def page_facts(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
     """title, h1 and links of any page."""
 
-    def facts(row):
-        root = parse(row[html])
+    def facts(page):
+        root = parse(page)
         title, head = root.find(tag("title")), root.find(tag("h1"))
-        return [{"title": title.text() if title else "", "h1": head.text() if head else "", "links": sum(n.name == "a" and bool(n.attributes.get("href")) for n in root.walk())}]
+        return [(title.text() if title else "", head.text() if head else "", sum(n.name == "a" and bool(n.attributes.get("href")) for n in root.walk()))]
 
-    return _rows_of(pages, keep, facts, "title string, h1 string, links long")
+    return exploded(pages, keep, [html], facts, "title string, h1 string, links long")

@@ -34,10 +34,12 @@ def test_keywords(spark):
     reversed_ = hits.withColumn("kw_seq", -F.col("kw_seq"))
     assert rows(D.keywords_in_order(reversed_, "post_id"))[0] == (1, "tarjeta; crédito") and rows(D.keywords_sorted(reversed_, "post_id"))[0] == (1, "crédito; tarjeta")
     assert D.match_keywords(posts, [""]).count() == 3
+    many = [*words, *(f"none{k}" for k in range(300)), "", "TARJETA"]
+    assert rows(D.match_keywords(posts, many).select("post_id", "kw_seq", "keyword")) == sorted([(1, 0, "crédito"), (1, 1, "tarjeta"), (1, 304, "TARJETA"), (2, 0, "crédito"), (1, 303, ""), (2, 303, ""), (3, 303, "")], key=str)
 
 
 def test_titles(spark):
-    df = spark.createDataFrame([("12 comments", "share", "A  title"), ("1.2k votes", "", None), (None, "Real", "x")], "a string, b string, c string")
+    df = spark.createDataFrame([("12 comments", "share", "A  title"), ("1.2 votes", "", None), (None, "Real", "x")], "a string, b string, c string")
     assert [r[0] for r in df.select(D.title_of("a", "b", "c")).collect()] == ["A title", "", "Real"]
 
 
@@ -111,6 +113,72 @@ def test_versions(spark, tmp_path):
     S.write_version(spark.range(2), str(tmp_path), "1")
     S.write_version(spark.range(5), str(tmp_path), "2")
     assert S.read_version(spark, str(tmp_path)).count() == 5
+    # a crash before the pointer leaves the version before; pointers are never replaced
+    spark.range(9).write.parquet(f"{tmp_path}/v=3")
+    assert S.read_version(spark, str(tmp_path)).count() == 5 and len(list(tmp_path.glob("pointer-*"))) == 2
+    with pytest.raises(FileNotFoundError):
+        S.read_version(spark, str(tmp_path / "none"))
+
+
+def test_older_ids_come_in_once(spark):
+    state = spark.createDataFrame([("a", "2024", 3)], "comment_id string, first_seen_at string, depth int")
+    ids = spark.createDataFrame([(" a ",), ("b",), ("b",), ("",)], "comment_id string")
+    once = S.import_ids(state, ids, "2025")
+    assert rows(once) == rows(S.import_ids(once, ids, "2026")) == [("a", "2024", 3), ("b", "2025", None)]
+
+
+def test_a_run_ledger(spark):
+    events = spark.createDataFrame([], "run_id string, seq long, status string, post_count int, new_comment_count int, at string")
+    events = S.finish_run(S.progress(S.start_run(events, "r1", 1, "t"), "r1", 2, 1, 5, "t"), "r1", 3, 2, 9, "t", failures=1)
+    events = S.start_run(S.start_run(events, "r2", 4, "t"), "r3", 5, "t")
+    assert rows(S.run_view(events).select("run_id", "status", "post_count")) == [("r1", "completed_with_errors", 2), ("r2", "interrupted", 0), ("r3", "running", 0)]
+    assert S.run_view(S.finish_run(events, "r3", 6, 0, 0, "t", error="x")).filter("status = 'failed'").count() == 1
+
+
+def listing(spark, rows):
+    return spark.createDataFrame([("s", 0, *r) for r in rows], "source string, source_no int, page_no int, seq long, post_id string, created_utc double, is_stickied boolean")
+
+
+def test_walks_over_listings(spark):
+    df = listing(spark, [(1, 0, "pin", 1.0, True), (1, 1, "a", 9.0, False), (1, 2, "old", 1.0, False), (2, 0, "a", 9.0, False), (2, 1, "b", None, False), (3, 0, "old2", 2.0, True), (4, 0, "c", 9.0, False), (6, 0, "d", 9.0, False)])
+    ids = lambda out: sorted(r.post_id for r in out.collect())
+    assert ids(D.walk_listing(df, 5.0)) == ["a", "b"]  # page 3 has nothing recent
+    assert ids(D.walk_listing(df, 5.0, stop_when_old=False)) == ["a", "b", "c"]  # page 5 has not landed
+    assert ids(D.walk_listing(df, None, max_pages=3, skip_stickied=False)) == ["a", "b", "old", "old2", "pin"]
+    assert ids(D.walk_listing(df, 5.0, stop_when_old=False, max_posts=2)) == ["a", "b"]
+    assert ids(D.walk_feed(df, 5.0)) == ["a"]  # page 1 has an old row
+    assert ids(D.walk_feed(df.filter("created_utc is null or created_utc = 9"), None)) == ["a", "b", "c", "d"]
+    again = listing(spark, [(1, 0, "a", 9.0, False), (2, 0, "a", 9.0, False), (3, 0, "b", 9.0, False)])
+    assert ids(D.walk_feed(again, None)) == ["a"]  # page 2 brings nothing new
+    assert ids(D.walk_feed(again, None, max_pages=1)) == ["a"]
+
+
+def test_searches_and_sources_merge_their_keywords(spark):
+    df = spark.createDataFrame([("s", k, w, 1, n, p, None, False) for k, w, n, p in ((0, "z", 0, "a"), (0, "z", 1, "b"), (1, "y", 0, "a"), (1, "y", 1, "c"))], "source string, kw_seq int, keyword string, page_no int, seq long, post_id string, created_utc double, is_stickied boolean")
+    assert {r.post_id: r.matched_keyword for r in D.walk_searches(df, None).collect()} == {"a": "z; y", "b": "z", "c": "y"}
+    assert D.walk_searches(df, None, max_posts=2).count() == 2
+    both = spark.createDataFrame([("a", "z; y", 0), ("a", "x", 1), ("b", "z; y", 0), ("c", "", 0), ("c", "q", 1)], "post_id string, matched_keyword string, source_no int")
+    assert {r.post_id: r.matched_keyword for r in D.merge_sources(both).collect()} == {"a": "x; y; z", "b": "z; y", "c": "q"}
+
+
+def test_links_of_live_listings(spark):
+    schema = "href string, post_id string, card_title string, aria_label string, title_attr string, text string, author string, created string, comment_count string, stickied string, card_text string, community string, seq long"
+    link = lambda seq, text, **more: (more.get("href", "/r/Test/comments/abc/x/"), "t3_abc", "", "", "", text, more.get("author", ""), more.get("created", ""), more.get("n", ""), "false", more.get("card", ""), "test", seq)
+    df = spark.createDataFrame([link(0, "12 comments", n="12"), link(1, "Short"), link(2, "The longer title", author="u/ann", created="2026-07-31T12:00:00Z", n="9", card="Pinned by moderators"), link(3, "x", href="/r/other/comments/abc/"), link(4, "x", href="/about")], schema)
+    (r,) = D.link_candidates(df).collect()
+    assert (r.post_id, r.title, r.author, r.num_comments, r.is_stickied, r.subreddit) == ("abc", "The longer title", "ann", 12, True, "Test")
+    parsed = spark.createDataFrame([("abc", "The", "", None, 20, "p"), ("q", "Q", "q", 1.0, 1, "p")], "post_id string, title string, author string, created_utc double, num_comments int, subreddit string")
+    live = spark.createDataFrame([("abc", "The longer", "ann", 5.0, 12, "l"), ("n", "N", "n", 2.0, 3, "l")], parsed.schema)
+    assert rows(D.merge_live(parsed, live)) == [("abc", "The longer", "ann", 5.0, 20, "p"), ("n", "N", "n", 2.0, 3, "l"), ("q", "Q", "q", 1.0, 1, "p")]
+
+
+def test_manual_candidates_and_order(spark):
+    df = spark.createDataFrame([("https://www.reddit.com/r/x/comments/AbC/slug/",), ("https://www.reddit.com/r/x/",)], "url string")
+    got = {r.url: r for r in D.manual_candidates(df).collect()}
+    assert [(r.post_id, r.subreddit, r.error) for r in got.values()][0] == ("AbC", "x", None) and got["https://www.reddit.com/r/x/"].error
+    rows_ = spark.createDataFrame([(0, 5.0), (1, None), (2, 9.0), (3, 5.0), (4, 0.0)], "seq long, created_utc double")
+    assert [r.seq for r in D.newest_first(rows_).orderBy("ordinal").collect()] == [2, 0, 3, 1, 4]
+    assert [r[0] for r in df.limit(1).select(D.by_type(F.lit("odd"), True), D.by_type(F.lit("odd"), False)).first().asDict().items()] and df.limit(1).select(D.by_type(F.lit("odd"), True).alias("a"), D.by_type(F.lit("odd"), False).alias("b")).first() == (None, "full_scrape")
 
 
 @pytest.mark.parametrize(("wanted", "n"), [("Test", 1), ("", 2)])

@@ -2,11 +2,12 @@ import json
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 from test_sources import PAGES, landed, old_comment
 
 import __spark_entry__
-from colloquy.operators import classify, compare
+from colloquy.operators import classify, compare, exports, fetch
 from colloquy.plans import pipelines, registry
 from colloquy.streaming.ingest import ingest
 
@@ -45,6 +46,17 @@ def test_answers_come_back_to_their_comments(spark):
     assert "tag" in classify.system_prompt("a tag")
 
 
+def test_results_of_a_batch_as_rows(spark):
+    def landed_result(i, kind, content):
+        return (json.dumps({"custom_id": i, "result": {"type": kind, "message": {"usage": {"input_tokens": 10, "output_tokens": 2}, "content": content}}}),)
+
+    answer = {"type": "tool_use", "input": {"classifications": [{"comment_id": "c", "relevance_tag": "x"}]}}
+    rows = [landed_result("a", "succeeded", [{"type": "text"}, answer]), landed_result("b", "succeeded", [{"type": "text"}]), landed_result("c", "expired", []), ("{broken",)]
+    results = classify.read_results(spark.createDataFrame(rows, "payload string"))
+    assert {(r.custom_id, r.error) for r in classify.errors(results).collect()} == {("b", "no_tool_use_block"), ("c", "expired"), (None, "unreadable")}
+    assert tuple(classify.usage(results).first()) == (20, 4, 3)  # tokens of an answer without a block were spent
+
+
 def test_missing_labels_never_agree(spark):
     schema = "comment_id string, icp_likelihood string, relevance_tag string"
     a = spark.createDataFrame([("1", "1", "x"), ("2", "", "x"), ("3", "none", "y")], schema)
@@ -80,6 +92,72 @@ def test_pages_of_a_thread_become_enriched_comments(spark):
     assert (got["c3"].depth, got["c3"].ancestor_ids, got["c3"].context_text, got["c3"].thread_title) == (2, "c1>c2", "uc1: one\nuc2: two again", "T")
 
 
+def test_a_repair_run_bypasses_discovery_and_refreshes(spark):
+    """Failures of a run are the targets of the next; its comments come back whether they are known or not."""
+    failed = exports.failures(spark.createDataFrame([("T", "x", "https://www.reddit.com/r/x/comments/T/s/", 2, "timeout"), ("ok", "y", "", 1, None), ("u", "z", None, 1, "blocked")], "post_id string, title string, permalink string, attempt int, error string"), "now")
+    assert failed.columns == ["post_id", "title", "permalink", "attempt", "error", "failed_at"] and failed.count() == 2
+    lines = [r.line for r in exports.failed_targets(failed).orderBy("line").collect()]
+    assert lines == ["https://www.reddit.com/r/x/comments/T/s/", "u"]
+    targets = spark.createDataFrame(list(enumerate(["# again", *lines, "bad line!"], 1)), "seq long, line string")
+    state_posts = spark.createDataFrame([("t3_t", "/kept/", "x", "Stored", "full_scrape", "", 9, "2024")], "post_id string, permalink string, subreddit string, title string, source_type string, matched_keyword string, reported_comment_count int, last_scraped_at string")
+    known = spark.createDataFrame([("a",), ("b",)], "comment_id string")
+    out = pipelines.repair_run(targets, state_posts, landed(spark, PAGES), known, pipelines.Options())
+    posts = {r.post_id: r for r in out["posts"].collect()}
+    assert posts["t3_t"].title == "Stored" and posts["t3_t"].permalink.endswith("/T/s/") and posts["u"].intake_mode == "repair"
+    assert {(r.comment_id, r.is_new) for r in out["comments"].collect()} == {(c, c not in "ab") for c in "abcdefg"}
+    assert [(r.seq, r.error) for r in out["errors"].collect()] == [(4, "line 4: no post id in bad line!")] and tuple(out["counts"].first()) == (5, 2)
+
+
+def test_pages_that_continue_a_thread(spark):
+    link = lambda n: f'<a href="/r/x/comments/p1/t/{n}/?context=3">continue this thread</a>'
+    url = lambda n: f"https://old.reddit.com/r/x/comments/p1/t/{n}/?context=3&limit=500&sort=confidence&show=all"
+    rows = [("p1", None, old_comment("c1", "one", 0) + link("a") + link("b")), ("p1", url("a"), old_comment("c2", "two", 0) + link("c")), ("p1", url("b"), old_comment("c1", "one again", 0) + link("a")), ("p1", url("c"), old_comment("c3", "three", 0)), ("p2", None, old_comment("c9", "x", 0))]
+    pages, posts = spark.createDataFrame(rows, "post_id string, url string, html string"), spark.createDataFrame([("p1", "T", "", "x", "m", "", "/l/"), ("p3", "", "", "", "", "", "")], "post_id string, title string, body string, subreddit string, intake_mode string, matched_keyword string, permalink string")
+    walked = pipelines.thread_pages(posts, pages)
+    assert [(r.page_no, "c3" in r.html) for r in walked.orderBy("page_no").collect()] == [(0, False), (1, False), (2, False), (3, True)]
+    assert pipelines.thread_pages(posts, pages, max_continue=2).count() == 3
+    found = pipelines.thread_run(posts, walked, "now", pipelines.Options())
+    assert {r.comment_id: r.body for r in found.collect()} == {"c1": "one again", "c2": "two", "c3": "three"}
+    assert {r.post_id: r.fetched_comment_count for r in pipelines.fetched_counts(posts, found).collect()} == {"p1": 3, "p3": 0}
+    capped = pipelines.thread_run(posts, walked, "now", pipelines.Options(max_comments=2))
+    assert {r.comment_id: r.body for r in capped.collect()} == {"c1": "one", "c2": "two"}  # the walk ends at the second comment
+
+
+def test_masters_snapshots_and_checkpoints(spark, tmp_path):
+    folder = f"file://{tmp_path}/m"
+    posts = lambda *rows: spark.createDataFrame(rows, "post_id string, title string, author string, odd int")
+    none = spark.createDataFrame([], "comment_id string, body string")
+    assert exports.write_master(folder, "1", none, posts(("a", "A", "x", 1), ("b", "B", "x", 1))) == (False, True)
+    assert exports.write_master(folder, "2", spark.createDataFrame([("c1", "one")], "comment_id string, body string"), posts(("b", "B2", None, 1), (" ", "no", "x", 1), ("c", "C", "y", 1))) == (True, True)
+    got = [(r.post_id, r.title, r.author) for r in exports.read_export(spark, f"{folder}/posts").orderBy("place").collect()]
+    assert got == [("a", "A", "x"), ("b", "B2", ""), ("c", "C", "y")]
+    master = posts(("a", "A", "x", 1))
+    incoming = spark.createDataFrame([("a", 0), ("b", 1), ("b", 2), ("", 3), (None, 4)], "post_id string, seq long")
+    assert [exports.checkpoint(master, incoming, "post_id", "seq", u)[1].first()[0] for u in (False, True)] == [1, 5]
+    exports.write_snapshot(f"{folder}/s", "r1", none, posts(("a", "A", "x", 1)))
+    assert (tmp_path / "m/s/run_id=r1/posts").exists() and not (tmp_path / "m/s/run_id=r1/comments").exists()
+
+
+def test_union_over_sort_passes(spark):
+    passes = spark.createDataFrame([("p", 1, True, None, 9), ("p", 2, False, None, 9), ("p", 3, True, None, 9), ("p", 4, True, None, 9), ("p", 5, True, None, 9), ("q", 1, True, False, 9), ("q", 2, True, None, 9)], "post_id string, pass_no int, has_data boolean, meta_truncated boolean, expected int")
+    rows = spark.createDataFrame([("p", 1, 0, "a"), ("p", 1, 1, "b"), ("p", 3, 0, "b"), ("p", 3, 1, "c"), ("p", 4, 0, "a"), ("p", 5, 0, "z"), ("q", 1, 0, "a"), ("q", 2, 0, "b")], "post_id string, pass_no int, seq int, comment_id string")
+    kept, facts = fetch.union_passes(passes, rows)
+    assert sorted((r.post_id, r.comment_id) for r in kept.collect()) == [("p", "a"), ("p", "b"), ("p", "c"), ("q", "a")]  # pass 4 adds nothing
+    assert {r.post_id: (r.calls, r.collected, r.truncated) for r in facts.collect()} == {"p": (4, 3, True), "q": (1, 1, False)}
+    kept, facts = fetch.union_passes(passes, rows, max_comments=2)
+    assert kept.count() == 3 and {r.post_id: r.calls for r in facts.collect()} == {"p": 1, "q": 1}
+
+
+def test_a_new_checkpoint_on_an_old_table_loses_nothing(spark, tmp_path):
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+    landing.mkdir()
+    schema = spark.createDataFrame([], "post_id string, created_utc double").schema
+    for n, ids in enumerate((["a", "b"], ["b", "c"])):
+        (landing / f"{n}.json").write_text("\n".join(json.dumps({"post_id": i, "created_utc": 1.0}) for i in ids))
+        ingest(spark, str(landing), schema, out, str(tmp_path / f"mark{n}")).awaitTermination()
+    assert sorted(r.post_id for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+
+
 def test_streaming_ingest_is_idempotent(spark, tmp_path):
     landing, out, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
     landing.mkdir()
@@ -104,7 +182,9 @@ def db():
 
 def _rows(frame):
     def cell(v):
-        return None if v is None or v != v else round(v, 6) if isinstance(v, float) else str(v)
+        if v is None or v is pd.NA or v != v:
+            return None
+        return str(int(v)) if isinstance(v, float) and v.is_integer() else round(v, 6) if isinstance(v, float) else str(v)
 
     return sorted(([cell(v) for v in r] for r in frame[sorted(frame.columns)].astype(object).itertuples(index=False)), key=str)
 

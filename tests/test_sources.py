@@ -70,6 +70,34 @@ def test_modern_thread():
     assert html.parse_post("<p>nothing</p>", {"post_id": "q"}) == {"post_id": "q"}
 
 
+def test_links_that_are_controls_are_no_titles():
+    page = "".join(f'<a href="/r/test/comments/abc/s/">{t}</a>' for t in ("Open post", "12 replies", "Real title", "more options and so on", "3 shares"))
+    assert [r["title"] for r in html.parse_listing(page.replace("more options and so on", "more options"), "test")[0]] == ["Real title"]
+    assert html.parse_listing('<a href="/r/test/comments/abc/s/">report</a>', "test")[0][0]["title"] == "report"
+
+
+BIG = (1 << 60) + 1
+
+
+def test_ids_and_other_columns_pass_untouched(spark):
+    """Large ids beside a null, timestamps and arrays: none is read as a float or changed."""
+    pages = spark.sql(f"SELECT * FROM VALUES (CAST({BIG} AS BIGINT), '<title>a</title>', array(1L, NULL)), (NULL, '<title>b</title>', NULL) AS t(page_id, html, more)")
+    assert {(r.page_id, r.title, tuple(r.more or ())) for r in html.page_facts(pages, ["page_id", "more"]).collect()} == {(BIG, "a", (1, None)), (None, "b", ())}
+    landed_ = spark.sql(f"""SELECT * FROM VALUES (CAST({BIG} AS BIGINT), '{{"comments": [{{"id": {BIG}}}], "page": {{"hasMore": true, "nextCursor": 7}}}}'), (NULL, NULL) AS t(k, payload)""")
+    assert [(r.k, r.comment_id) for r in jsontree.flatten(landed_, ["k"]).collect()] == [(BIG, str(BIG))]
+    assert [(r.k, r.next_cursor) for r in jsontree.cursors(landed_, ["k"]).collect()] == [(BIG, "7")]
+
+
+def test_pages_that_are_no_objects_give_no_rows_and_are_named(spark):
+    payloads = ["[]", '"x"', "{broken", "", None, "3", '{"comments": 5, "page": []}', '{"comments": [7, null, {"id": "a"}]}']
+    pages = spark.createDataFrame([(f"t{n}", None, p) for n, p in enumerate(payloads)], "thread_id string, cursor string, payload string")
+    assert [r.comment_id for r in jsontree.flatten(pages, ["thread_id"]).collect() if r.comment_id] == ["a"]
+    assert jsontree.cursors(pages, ["thread_id"]).collect() == []
+    assert {r.thread_id: r.error for r in jsontree.faults(pages).collect()} == {"t0": "not an object", "t1": "not an object", "t2": "invalid JSON", "t5": "not an object"}
+    mixed = spark.createDataFrame([("t", None, json.dumps({"comments": [item("a", [], "bad")]})), ("t", "bad", "[1"), ("u", None, json.dumps({"comments": [item("b")]}))], "thread_id string, cursor string, payload string")
+    assert {(r.thread_id, r.comment_id, r.truncated) for r in jsontree.assemble(mixed).collect()} == {("t", "a", True), ("u", "b", False)}
+
+
 def test_malformed_pages(spark):
     pages = spark.createDataFrame([(1, "<p>a<p>b</i><script>x='</p>'</script><title>T</title><h1>H"), (2, None), (3, "")], "page_id long, html string")
     got = {r.page_id: (r.title, r.h1, r.links) for r in html.page_facts(pages, ["page_id"]).collect()}
@@ -152,6 +180,25 @@ def test_csv(spark, tmp_path):
         files.write_csv(df, str(tmp_path / "z"), ["id", "body"])
 
 
+def test_encodings_are_found_in_whole_files(spark, tmp_path):
+    text = "El niño comió crème brûlée – “así” – en Málaga, ¿verdad? Übergröße für Señor Núñez."
+    for encoding in ("utf-8", "cp1252", "mac_roman", "utf-16"):
+        assert files.detect_encoding(text.encode(encoding)) == encoding
+    assert files.detect_encoding("café".encode("cp1252")) == "cp1252" and files.detect_encoding("café".encode("mac_roman")) == "mac_roman" and files.detect_encoding(b"") == "utf-8"
+    folder = tmp_path / "many"
+    folder.mkdir()
+    plain = "plain words " * 110_000  # the first byte that tells is beyond a megabyte
+    (folder / "a.csv").write_bytes(f"id,body\n1,{plain}\n2,café\n".encode("cp1252"))
+    (folder / "b.csv").write_bytes("id,body\n3,niño\n".encode())
+    (folder / "c.csv").write_bytes("id,body\n4,crème “x”\n".encode("mac_roman"))
+    got = {r.id: r.body for r in files.read_csv(spark, str(folder)).collect()}
+    assert got == {"1": plain, "2": "café", "3": "niño", "4": "crème “x”"}
+
+
+def test_labels_of_paths():
+    assert files.label_from_path("/x/comments_classified_larger.csv") == "larger" and files.label_from_path("plain.csv") == "plain"
+
+
 def test_repair_lists(spark):
     lines = ["# a note", "", "abc", "https://x.example/r/t/comments/Def/slug/", " t3_abc ", "t1_zz"]
     got = files.parse_repair_list(lines)
@@ -159,11 +206,15 @@ def test_repair_lists(spark):
     assert [t["post_id"] for t in files.parse_repair_list(["t3_AbC"], keep_case=True)] == ["AbC"]
     with pytest.raises(ValueError, match="line 1.*line 3"):
         files.parse_repair_list(["no id!", "ok", "https://x.example/none"])
+    with pytest.raises(ValueError, match="line 1"):
+        files.parse_repair_list(["/r/t/comments/def/"])
     with pytest.raises(ValueError):
         files.parse_repair_list(["#"])
     known = spark.createDataFrame([("t3_abc", "/kept/", "c", "t", "full_scrape", "k")], "post_id string, permalink string, subreddit string, title string, source_type string, matched_keyword string")
     rows = files.resolve_repairs(spark, got, known).orderBy("seq").collect()
-    assert [(r.permalink, r.title) for r in rows] == [("/kept/", "t"), ("https://x.example/r/t/comments/Def/slug/", ""), ("/comments/zz/", "")]
+    assert [(r.permalink, r.title) for r in rows] == [("/kept/", "t"), ("https://x.example/r/t/comments/Def/slug/", ""), ("https://www.reddit.com/comments/zz/", "")]
+    twice = spark.createDataFrame([("abc", "/old/", "2024"), ("abc", "/new/", "2025")], "post_id string, permalink string, last_scraped_at string")
+    assert files.resolve_repairs(spark, got[:1], twice).first()["permalink"] == "/new/"
 
 
 def test_driver_side_helpers(tmp_path):

@@ -78,5 +78,19 @@ def test_urls(spark):
 
 def test_url_building():
     assert U.with_query("https://a.example/x?a=1&b=2&a=3", b=None, c="d e") == "https://a.example/x?a=3&c=d+e"
-    assert U.listing_url("https://a.example/r/x/", "odd") == "https://a.example/r/x/new/"
-    assert U.search_url("https://a.example/r/x", "ä b").startswith("https://a.example/r/x/search/?q=%C3%A4+b&restrict_sr=on&sort=new")
+    assert U.listing_url("x", "odd") == "https://old.reddit.com/r/x/new/?limit=100" and U.listing_url("x y", "top", "week") == "https://old.reddit.com/r/x+y/top/?limit=100&t=week"
+    assert U.search_url("x", "ä b", "odd") == "https://old.reddit.com/r/x/search?q=%C3%A4+b&restrict_sr=on&sort=new&t=all&limit=100"
+    assert U.thread_url("https://a.example/t/?context=3") == "https://a.example/t/?context=3&limit=500&sort=confidence&show=all"
+
+
+def test_post_paths_and_repair_targets(spark):
+    for path, want in (("/r/a/comments/x1/", True), ("/r/a/comments/-x", False), ("/R/a/Comments/x", True)):
+        assert one(spark, U.is_post_path("x"), path) is want
+    for line, want in ((" t3_AbC ", "abc"), ("t1_x", "x"), ("https://x.example/r/t/Comments/Def/slug/", "def"), ("/r/t/comments/def/", None), ("no id!", None), ("https://x.example/none", None), ("", None), (None, None)):
+        assert one(spark, U.repair_target("x"), line) == want
+    assert one(spark, U.repair_target("x", True), "t3_AbC") == "AbC" and one(spark, U.repair_target("x", True), "t1_x") is None
+
+
+def test_titles_are_no_counters_or_controls(spark):
+    for text, want in (("12 replies", False), ("3 shares", False), ("votes", False), ("1.2 comments", False), ("Open Post", False), ("more options", False), ("report", True), ("12 points", True), ("1.2k votes", True), ("A title", True)):
+        assert one(spark, X.is_title("x"), text) is want and X.is_title_text(text) is want

@@ -73,9 +73,11 @@ def stack_model(rows):
     return out
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(0, 2), st.integers(-1, 4)), max_size=40))
 def test_depth_stack(spark, pairs):
     rows = [(f"t{t}", f"p{t}", k, f"c{k}", "", "", "", d) for k, (t, d) in enumerate(pairs)]
-    got = tree.depth_stack_parents(spark.createDataFrame(rows, SCHEMA)).collect()
-    assert {(r.thread_id, r.comment_id): r.parent_id for r in got} == stack_model(rows)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert {(r.thread_id, r.comment_id): r.parent_id for r in tree.depth_stack_parents(df).collect()} == stack_model(rows)
+    deep = [(*r[:-1], r[-1] * 40) for r in rows]
+    assert {(r.thread_id, r.comment_id): r.parent_id for r in tree.depth_stack_parents(spark.createDataFrame(deep, SCHEMA)).collect()} == stack_model(deep)
