@@ -4,7 +4,7 @@ Records are dealt by a content hash to buckets (shuffle files on disk). A bucket
 whose distinct texts fit an open-addressing table is resolved by comparing
 complete contents; a bucket that does not fit is written to a spill table in
 the shared folder and dealt again, by another hash, to more buckets, until all
-fit. Copies collapse inside the table, and each map task collapses its own
+fit; a single text always does, so memory is bounded at any depth. Copies collapse inside the table, and each map task collapses its own
 copies before the shuffle, so a group of any size adds one entry to its bucket.
 
 Defined results: a null text counts as empty; a null id is below every other;
@@ -26,8 +26,6 @@ from .common import attach_groups, materialize, shuffle_partitions, text_or_empt
 BUCKET_BYTES = 48 << 20
 #: Bytes after which a map task hands its collapsed rows on.
 COMBINE_BYTES = 24 << 20
-#: At this depth a bucket is resolved whatever its size: seven independent hashes did not split it.
-DEEPEST = 7
 
 
 class OpenAddressingTable:
@@ -126,7 +124,7 @@ def _combine(schema, carried: list[str], level: int, limit: int):
     return run
 
 
-def _resolve(schema, carried: list[str], level: int, limit: int, deepest: int, with_text: bool):
+def _resolve(schema, carried: list[str], level: int, limit: int, with_text: bool):
     """Resolves a bucket if its table stays under limit, else hands its rows on to the next level."""
 
     def run(batches: Iterator):
@@ -135,7 +133,7 @@ def _resolve(schema, carried: list[str], level: int, limit: int, deepest: int, w
         table, spilled = OpenAddressingTable(), False
         for text, best, n in _rows(batches, carried):
             table.add(xxhash.xxh3_64_intdigest(text, seed=101), text, best, n)
-            if table.bytes > limit and len(table) > 1 and level < deepest:
+            if table.bytes > limit and len(table) > 1:
                 spilled = True
                 yield from _emit(table, schema, carried, level + 1, False, True)
                 table.clear()
@@ -157,7 +155,6 @@ def grace_dedup(
     carry: list[str] | None = None,
     bucket_bytes: int = BUCKET_BYTES,
     combine_bytes: int = COMBINE_BYTES,
-    deepest: int = DEEPEST,
     total_bytes: int | None = None,
 ) -> DataFrame:
     """One row per distinct text: __id (largest), __n (rows), __sha, and the carried columns of the row that stays.
@@ -190,7 +187,7 @@ def grace_dedup(
     done, level, before = None, 0, None
     while True:
         buckets = shuffle_partitions(spark, total_bytes, bucket_bytes // 2)
-        out = rows.repartition(buckets, "__bucket").mapInArrow(_resolve(_arrow(leaf), carried, level, bucket_bytes, deepest, with_text), leaf)
+        out = rows.repartition(buckets, "__bucket").mapInArrow(_resolve(_arrow(leaf), carried, level, bucket_bytes, with_text), leaf)
         out = materialize(out, f"grace-{level}")
         if before is not None:
             # the rows that this level dealt again are still needed only for the results resolved there
@@ -220,7 +217,7 @@ def exact_dedup(df: DataFrame, text: str = "text", key: str = "doc_id", **option
 def duplicate_groups(df: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """One row per row of df: doc_id, keep_id, group_size, kept, text_sha256.
 
-    Rows that repeat the kept id with the same text all count as kept.
+    Groups are made by comparing contents; a row finds its group by SHA-256. Rows that repeat the kept id with the same text all count as kept.
     """
     df = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     size = df.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
