@@ -137,9 +137,42 @@ def label_from_path(path: str) -> str:
     return Path(path).stem.split("_")[-1]
 
 
+def _hadoop(path: str):
+    """The file system of a URI and the path in it, through the active session."""
+    spark = SparkSession.active()
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return spark, at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def read_text(path: str) -> str | None:
+    """A small file, from this machine or, if the path is a URI, from any store that Spark reads; None if it is not there."""
+    if "://" not in path:
+        return Path(path).read_text(encoding="utf-8") if Path(path).exists() else None
+    spark, fs, at = _hadoop(path)
+    return spark.read.text(path, wholetext=True).first()[0] if fs.exists(at) else None
+
+
+def replace_text(path: str, text: str) -> None:
+    """Writes a small file beside its place and moves it there."""
+    if "://" not in path:
+        part = Path(f"{path}.part")
+        part.write_text(text, encoding="utf-8")
+        part.replace(path)
+        return
+    spark, fs, at = _hadoop(path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(at, False)
+    if not fs.rename(part, at):
+        raise RuntimeError(f"could not replace {path}")
+
+
 def load_config(path: str, defaults: dict) -> dict:
-    """Defaults overlaid by a YAML or JSON file; anything but a mapping counts as empty; counts are not negative."""
-    text = Path(path).read_text(encoding="utf-8")
+    """Defaults overlaid by a YAML or JSON file; anything but a mapping counts as empty; counts are not negative; a missing file is an error."""
+    if (text := read_text(path)) is None:
+        raise FileNotFoundError(path)
     if path.endswith((".yaml", ".yml")):
         try:
             import yaml
@@ -157,6 +190,27 @@ def load_config(path: str, defaults: dict) -> dict:
     return out
 
 
+def rubric_tags(rubric: str) -> list[tuple[str, str]]:
+    """(likelihood, tag) of every row of a rubric's table whose last cell names a tag, and the tag none."""
+    cells = [[c.strip() for c in line.strip().strip("|").split("|")] for line in rubric.splitlines() if line.lstrip().startswith("|")]
+    tagged = [(row[0], m[1]) for row in cells if len(row) > 1 and (m := re.fullmatch(r"`([^`]+)`", row[-1]))]
+    return [*tagged, ("All", "none")]
+
+
+def stamped_name(prefix: str, stamp: str, taken: set[str]) -> str:
+    """The name of a run's export; a second one of the same second gets _2, a third _3."""
+    name, n = f"{prefix}_{stamp}", 2
+    while name in taken:
+        name, n = f"{prefix}_{stamp}_{n}", n + 1
+    return name
+
+
+def classified_path(export: str, alias: str) -> str:
+    """Where the classified form of an export goes: beside it, under the model's alias."""
+    folder, _, name = export.rstrip("/").rpartition("/")
+    return f"{folder or '.'}/{name.rsplit('.', 1)[0]}_classified_{alias}.csv"
+
+
 def parse_selection(text: str, n: int) -> tuple[list[int], list[str]]:
     """Ordinals 1..n of "all", "1,4" or "1-5,8", sorted, and the parts that mean nothing."""
     if text.strip().lower() == "all":
@@ -184,14 +238,12 @@ def select_sources(sources: list[dict], name: str | None, strict: bool = True) -
 
 
 def read_ledger(path: str) -> dict:
-    return json.loads(Path(path).read_text(encoding="utf-8")) if Path(path).exists() else {}
+    return json.loads(read_text(path) or "{}")
 
 
 def update_ledger(path: str, batch_id: str, **fields) -> dict:
     """Reads, merges and replaces a small JSON ledger."""
     ledger = read_ledger(path)
     ledger[batch_id] = ledger.get(batch_id, {}) | fields
-    part = Path(f"{path}.part")
-    part.write_text(json.dumps(ledger, indent=1), encoding="utf-8")
-    part.replace(path)
+    replace_text(path, json.dumps(ledger, indent=1))
     return ledger

@@ -217,6 +217,22 @@ def test_repair_lists(spark):
     assert files.resolve_repairs(spark, got[:1], twice).first()["permalink"] == "/new/"
 
 
+def test_small_files_in_any_store(spark, tmp_path):
+    uri = f"file://{tmp_path}/ledger.json"
+    assert files.read_ledger(uri) == {}
+    files.update_ledger(uri, "b", status="sent")
+    assert files.update_ledger(uri, "b", done=1) == files.read_ledger(str(tmp_path / "ledger.json")) == {"b": {"status": "sent", "done": 1}}
+    with pytest.raises(FileNotFoundError):
+        files.load_config(f"file://{tmp_path}/none.json", {})
+
+
+def test_names_and_rubrics():
+    assert files.stamped_name("comments", "1", set()) == "comments_1" and files.stamped_name("comments", "1", {"comments_1", "comments_1_2"}) == "comments_1_3"
+    assert files.classified_path("/x/y.csv", "small") == "/x/y_classified_small.csv" and files.classified_path("y.csv", "a") == "./y_classified_a.csv"
+    table = "| Who | Question | Tag |\n|---|---|---|\n| All | what? | `own-words` |\n| 2A | why? | see below |\n| 3 | how? | `plan` |\n"
+    assert files.rubric_tags(table) == [("All", "own-words"), ("3", "plan"), ("All", "none")]
+
+
 def test_driver_side_helpers(tmp_path):
     assert files.parse_selection("1, 5-3,9,x,4", 6) == ([1, 3, 4, 5], ["x"]) and files.parse_selection("ALL", 3) == ([1, 2, 3], [])
     sources = [{"name": "One"}, {"name": "two"}]
