@@ -38,7 +38,7 @@ STREAMS = None
 #: The longest part whose segmentations are kept; longer ones are merged at every occurrence.
 SHORT = 32
 #: Parts of texts whose ids a worker keeps, for each stream.
-CACHE_PARTS = 300_000
+CACHE_PARTS = 200_000
 MASK = (1 << 64) - 1
 NEVER = (1 << 31) - 1
 #: Texts encoded together.
@@ -162,14 +162,52 @@ class DropoutEncoder:
         self.more.append(more)
         return len(self.nodes) - 1
 
-    def _child(self, key: int) -> int:
-        """The node where, after `key % 64` further candidates of node `key // 64`, one is skipped."""
-        if (found := self.children.get(key)) is None:
+    def _grow(self, keys: list[int]) -> None:
+        """Makes the nodes where, after `key % 64` further candidates of node `key // 64`, one is skipped; many agendas are worked off in step."""
+        import numpy as np
+
+        made = []
+        for key in keys:
             part, skips = self.nodes[key // 64]
-            skips = (*skips, (skips[-1] + 1 if skips else 0) + key % 64)
-            ids, taken = self._agenda(part, skip=lambda at, i, piece: at in skips)
-            found = self.children[key] = self._node(part, skips, array("I", ids).tobytes(), taken - skips[-1] - 1)
-        return found
+            made.append((part, (*skips, (skips[-1] + 1 if skips else 0) + key % 64)))
+        for a in range(0, len(made), 8192):
+            few = made[a : a + 8192]
+            parts, width = [p for p, _ in few], max(len(s) for _, s in few)
+            skips = np.full((len(few), width), -1, np.int32)
+            for k in range(1, width + 1):
+                rows = [r for r, (_, s) in enumerate(few) if len(s) == k]
+                skips[rows, :k] = [few[r][1] for r in rows] if rows else np.zeros((0, k))
+            for key, (part, own), (ids, taken) in zip(keys[a : a + 8192], few, self._merge_skipping(parts, skips)):
+                self.children[key] = self._node(part, own, ids, taken - own[-1] - 1)
+
+    def _merge_skipping(self, parts: list[str], skips) -> list[tuple[bytes, int]]:
+        """Ids of each part, and its candidates, if those with the numbers of its row of skips (-1: none) are skipped."""
+        import numpy as np
+
+        out: list = [None] * len(parts)
+        for rows, symbols, odd in self._symbols(parts):
+            for r in rows[odd].tolist():
+                ids, taken = self._agenda(parts[r], skip=lambda at, i, piece, own=set(skips[r].tolist()): at in own)
+                out[r] = array("I", ids).tobytes(), taken
+            plain = rows[~odd]
+            ids, taken = self._in_step(symbols[~odd], None, skips[plain])
+            for r, x, n in zip(plain.tolist(), ids, taken.tolist()):
+                out[r] = x, n
+        return out
+
+    def _symbols(self, parts: list[str]):
+        """Parts of 1 to 32 characters in groups of like length: their rows, their symbols (-1 after the last), and which have a character without a piece."""
+        import numpy as np
+
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        for low, high in ((0, 1), (1, 6), (6, 10), (10, 16), (16, SHORT)):
+            rows = np.flatnonzero((sizes > low) & (sizes <= high))
+            if len(rows):
+                chars = np.frombuffer("".join([parts[i] for i in rows.tolist()]).encode("utf-32-le", "surrogatepass"), "<u4")
+                filled = np.arange(high)[None, :] < sizes[rows][:, None]
+                symbols = np.full((len(rows), high), -1, np.int32)
+                symbols[filled] = self.pieces.of_char[chars]
+                yield rows, symbols, ((symbols < 0) & filled).any(axis=1)
 
     def _varied(self, texts: list[str], keys: list) -> list[bytes]:
         """encode() with draws for every occurrence of a part.
@@ -203,7 +241,9 @@ class DropoutEncoder:
             going, u, more = going[skip], u[skip], more[skip]
             taken = np.minimum(np.floor(np.log(u) / np.log(keep)).astype(np.int64), more - 1) if keep > 0 else np.zeros(len(going), np.int64)
             steps, which = np.unique(node[going] * 64 + taken, return_inverse=True)
-            node[going] = np.fromiter(map(self._child, steps.tolist()), np.int64, len(steps))[which]
+            steps = steps.tolist()
+            self._grow([k for k in steps if k not in self.children])
+            node[going] = np.fromiter(map(self.children.__getitem__, steps), np.int64, len(steps))[which]
             draw += 1
         known_nodes = len(self.ids)
         for at in np.flatnonzero(node < 0).tolist():
@@ -281,42 +321,36 @@ class DropoutEncoder:
         import xxhash
 
         out: list[bytes] = [b""] * len(parts)
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        for low, high in ((0, 1), (1, 6), (6, 10), (10, 16), (16, 32)):
-            rows = np.flatnonzero((sizes > low) & (sizes <= high))
-            if not len(rows):
-                continue
-            own = [parts[i] for i in rows]
-            length = sizes[rows]
-            chars = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), "<u4")
-            filled = np.arange(high)[None, :] < length[:, None]
-            symbols = np.full((len(rows), high), -1, np.int32)
-            symbols[filled] = self.pieces.of_char[chars]
-            odd = (symbols < 0) & filled
-            for r in np.flatnonzero(odd.any(axis=1)):
-                out[rows[r]] = array("I", self.merge(own[r], stream)).tobytes()
-            plain = np.flatnonzero(~odd.any(axis=1))
-            base = np.array([xxhash.xxh3_64_intdigest(own[r], seed=self.seed + stream) for r in plain] if self.least else np.zeros(len(plain)), np.uint64)
-            for r, ids in zip(rows[plain], self._in_step(symbols[plain], base)):
+        for rows, symbols, odd in self._symbols(parts):
+            for r in rows[odd].tolist():
+                out[r] = array("I", self.merge(parts[r], stream)).tobytes()
+            plain = rows[~odd].tolist()
+            base = np.array([xxhash.xxh3_64_intdigest(parts[r], seed=self.seed + stream) for r in plain] if self.least else np.zeros(len(plain)), np.uint64)
+            for r, ids in zip(plain, self._in_step(symbols[~odd], base)[0]):
                 out[r] = ids
-        for r in np.flatnonzero(sizes > 32):
-            out[r] = array("I", self.merge(parts[r], stream)).tobytes()
+        for r, part in enumerate(parts):
+            if len(part) > SHORT:
+                out[r] = array("I", self.merge(part, stream)).tobytes()
         return out
 
-    def _in_step(self, symbols, base):
-        """The ids of rows of symbols (-1 after the last), as bytes."""
+    def _in_step(self, symbols, base, skips=None):
+        """The ids of rows of symbols (-1 after the last), as bytes, and the number of candidates of each.
+
+        Skipped are the candidates whose numbers are in the row's skips, or, without skips, those that the hash of the base says.
+        """
         import numpy as np
 
         n, width = symbols.shape
+        seen = np.zeros(n, np.int64)
         if width == 1:
-            return [x.tobytes() for x in symbols.astype("<u4")]
+            return [x.tobytes() for x in symbols.astype("<u4")], seen
         places = np.tile(np.arange(width, dtype=np.int64), (n, 1))
 
         def candidate(row, at):
             """The piece that the symbols at a place and after it make and its rank, or NEVER if there is none or it is skipped."""
             piece = self.pieces.joined(symbols[row, at], symbols[row, at + 1])
             rank = np.where(piece >= 0, self.pieces.rank[np.maximum(piece, 0)], NEVER)
-            if self.least:
+            if self.least and skips is None:
                 with np.errstate(over="ignore"):
                     h = (base[row] ^ (places[row, at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.maximum(piece, 0).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
                     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -334,19 +368,27 @@ class DropoutEncoder:
             active, at = active[going], at[going]
             if not len(active):
                 break
-            made = piece[active, at]
+            if skips is not None:
+                skipped = (skips[active] == seen[active][:, None]).any(axis=1)
+                seen[active] += 1
+                rank[active[skipped], at[skipped]] = NEVER
+                rows, at = active[~skipped], at[~skipped]
+            else:
+                seen[active] += 1
+                rows = active
+            made = piece[rows, at]
             # what stands after the joined pair moves one place to the left
             source = np.minimum(columns[None, :] + (columns[None, :] > at[:, None]), width - 1)
             for table, end in ((symbols, -1), (places, 0), (rank, NEVER), (piece, -1)):
-                moved = np.take_along_axis(table[active], source, axis=1)
+                moved = np.take_along_axis(table[rows], source, axis=1)
                 moved[:, -1] = end
-                table[active] = moved
-            symbols[active, at] = made
-            for row, where in ((active, at), (active[at > 0], at[at > 0] - 1)):
+                table[rows] = moved
+            symbols[rows, at] = made
+            for row, where in ((rows, at), (rows[at > 0], at[at > 0] - 1)):
                 ok = where < width - 1
                 rank[row[ok], where[ok]], piece[row[ok], where[ok]] = candidate(row[ok], where[ok])
         whole, ends = symbols[symbols >= 0].astype("<u4").tobytes(), (4 * np.cumsum((symbols >= 0).sum(axis=1))).tolist()
-        return [whole[a:b] for a, b in zip([0, *ends], ends)]
+        return [whole[a:b] for a, b in zip([0, *ends], ends)], seen
 
     def encode(self, texts: list[str], keys: list) -> list[bytes]:
         """For each text its ids as little-endian 32-bit integers."""
