@@ -156,6 +156,13 @@ class DropoutEncoder:
         #: candidates of a node after its last skipped one
         self.more = array("q")
 
+    def let_go(self) -> None:
+        """Empties all tables of parts."""
+        for cache in self.caches:
+            cache.clear()
+        if not self.streams:
+            self._forget()
+
     def _node(self, part: str, skips: tuple[int, ...], ids: bytes, more: int) -> int:
         self.nodes.append((part, skips))
         self.ids.append(ids)
@@ -418,7 +425,7 @@ _ENCODERS: dict[tuple, DropoutEncoder] = {}
 
 
 def _shared(*how) -> DropoutEncoder:
-    """The worker's own encoder, which keeps its tables from task to task."""
+    """The worker's own encoder, which keeps the model's tables from task to task."""
     if how not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[how] = DropoutEncoder(*how)
@@ -453,6 +460,7 @@ def _encode(how: tuple, more: list[str], text: str, key: str, added: list[str]):
                     offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
                     columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, "<i4"))))
                 yield pa.RecordBatch.from_arrays(columns, [*more, *added])
+        encoder.let_go()  # the worker has other things to hold
 
     return run
 
