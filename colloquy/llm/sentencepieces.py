@@ -105,23 +105,72 @@ class Pieces:
         import numpy as np
 
         with np.errstate(over="ignore"):
-            return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+            return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
 
     def joined(self, left, right):
-        """The piece that each pair of pieces makes, or -1."""
+        """The piece that each pair of symbols makes, or -1. Characters without a piece are symbols beyond the pieces."""
         import numpy as np
 
-        keys = np.where((left >= 0) & (right >= 0), left.astype(np.int64) * self.size + right, -2)
-        slot, out = self._slots(keys), np.full(len(keys), -1, np.int32)
-        rest = np.arange(len(keys))
+        keys = left.astype(np.int64) * self.size + right
+        keys[((left < 0) | (right < 0)) | ((left >= self.size) | (right >= self.size))] = -2
+        slot = self._slots(keys)
+        found = self.join_key[slot]
+        out = np.where(found == keys, self.join_piece[slot], np.int32(-1))
+        rest = np.flatnonzero((found >= 0) & (found != keys))
         while len(rest):
-            found = self.join_key[slot[rest]]
-            same = found == keys[rest]
+            slot[rest] += 1
+            found, wanted = self.join_key[slot[rest]], keys[rest]
+            same = found == wanted
             out[rest[same]] = self.join_piece[slot[rest[same]]]
             rest = rest[(found >= 0) & ~same]
-            slot[rest] += 1
         return out
 
+    def symbols(self, parts: list[str]):
+        """The characters of all parts as symbols: their pieces, or the model's size and the code point."""
+        import numpy as np
+
+        chars = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), "<u4")
+        symbols = self.of_char[chars]
+        odd = np.flatnonzero(symbols < 0)
+        symbols[odd] = self.size + chars[odd].astype(np.int32)
+        return symbols
+
+    def spelled_out(self, symbols, counts):
+        """Rows of symbols one after the other as ids, characters without a piece as byte pieces, and the number of ids of each row."""
+        import numpy as np
+
+        odd = symbols >= self.size
+        if not odd.any():
+            return symbols.astype("<u4"), counts
+        point = np.where(odd, symbols - self.size, 0)
+        width = 1 + (point > 0x7F) + (point > 0x7FF) + (point > 0xFFFF)
+        ends = np.cumsum(width)
+        whole = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        place = np.arange(ends[-1]) - np.repeat(ends - width, width)
+        symbols, odd, point, width = (np.repeat(x, width) for x in (symbols, odd, point, width))
+        byte = np.where(place == 0, np.array([0, 0, 0xC0, 0xE0, 0xF0])[width], 0x80) | (point >> 6 * (width - 1 - place)) & np.where((place == 0), 0xFF, 0x3F)
+        return np.where(odd, np.array(self.bytes)[byte], symbols).astype("<u4"), np.diff(whole)
+
+
+class Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind):
+        import numpy as np
+
+        self.held, self.n = np.empty(1024, kind), 0
+
+    def add(self, values) -> None:
+        import numpy as np
+
+        end = self.n + len(values)
+        if end > len(self.held):
+            held = np.empty(max(end, 2 * len(self.held)), self.held.dtype)
+            held[: self.n] = self.held[: self.n]
+            self.held = held
+        self.held[self.n : end] = values
+        self.n = end
+
 
 def _mixed(base, number):
     """A 64-bit hash of each base and number."""
@@ -134,6 +183,20 @@ def _mixed(base, number):
         return h ^ (h >> np.uint64(31))
 
 
+#: A part's place and size in the table of symbols, its ids, its candidates after the last skipped one, its children for each of those, the skipped ones as bits.
+NODE = [("start", "i8"), ("first_id", "i8"), ("child", "i8"), ("skips", "u8", (2,)), ("size", "i4"), ("n_ids", "i4"), ("more", "i4"), ("last", "i4")]
+
+
+def _alike(size):
+    """Rows of parts of 1 to 32 characters in groups of like length, at most 8192 each, and the greatest length."""
+    import numpy as np
+
+    for low, high in ((0, 5), (5, 8), (8, 12), (12, 18), (18, SHORT)):
+        rows = np.flatnonzero((size > low) & (size <= high))
+        for a in range(0, len(rows), 8192):
+            yield rows[a : a + 8192], high
+
+
 class DropoutEncoder:
     """Ids of texts under one model, seed and rate."""
 
@@ -143,18 +206,13 @@ class DropoutEncoder:
         self.streams = streams if self.least else 1
         self.caches: list[dict[str, bytes]] = [{} for _ in range(self.streams or 0)]
         if not self.streams:
-            self.whole = DropoutEncoder.__new__(DropoutEncoder)
-            self.whole.__dict__.update(pieces=self.pieces, seed=seed, least=0)
             self._forget()
 
     def _forget(self) -> None:
-        """Empties the tables of parts. A node is a part and the places, in its row of candidates, of those that are skipped."""
+        """Empties the tables of parts. A node is a part and the numbers, in its row of candidates, of those that are skipped."""
         self.roots: dict[str, int] = {}
-        self.children: dict[int, int] = {}
-        self.nodes: list[tuple[str, tuple[int, ...]]] = []
-        self.ids: list[bytes] = []
-        #: candidates of a node after its last skipped one
-        self.more = array("q")
+        self.nodes = Grown(NODE)
+        self.symbols, self.ids, self.children = Grown("i4"), Grown("<u4"), Grown("i4")
 
     def let_go(self) -> None:
         """Empties all tables of parts."""
@@ -163,58 +221,45 @@ class DropoutEncoder:
         if not self.streams:
             self._forget()
 
-    def _node(self, part: str, skips: tuple[int, ...], ids: bytes, more: int) -> int:
-        self.nodes.append((part, skips))
-        self.ids.append(ids)
-        self.more.append(more)
-        return len(self.nodes) - 1
-
-    def _grow(self, keys: list[int]) -> None:
-        """Makes the nodes where, after `key % 64` further candidates of node `key // 64`, one is skipped; many agendas are worked off in step."""
+    def _add(self, start, size, skips, last):
+        """Makes the nodes of parts (where their symbols start, and how many) with skipped candidates, the last of them apart; their numbers."""
         import numpy as np
 
-        made = []
-        for key in keys:
-            part, skips = self.nodes[key // 64]
-            made.append((part, (*skips, (skips[-1] + 1 if skips else 0) + key % 64)))
-        for a in range(0, len(made), 8192):
-            few = made[a : a + 8192]
-            parts, width = [p for p, _ in few], max(len(s) for _, s in few)
-            skips = np.full((len(few), width), -1, np.int32)
-            for k in range(1, width + 1):
-                rows = [r for r, (_, s) in enumerate(few) if len(s) == k]
-                skips[rows, :k] = [few[r][1] for r in rows] if rows else np.zeros((0, k))
-            for key, (part, own), (ids, taken) in zip(keys[a : a + 8192], few, self._merge_skipping(parts, skips)):
-                self.children[key] = self._node(part, own, ids, taken - own[-1] - 1)
-
-    def _merge_skipping(self, parts: list[str], skips) -> list[tuple[bytes, int]]:
-        """Ids of each part, and its candidates, if those with the numbers of its row of skips (-1: none) are skipped."""
+        numbers = np.empty(len(start), np.int64)
+        for rows, high in _alike(size):
+            place = np.arange(high)[:, None]
+            symbols = self.symbols.held[np.minimum(start[rows] + place, self.symbols.n - 1)]
+            symbols[place >= size[rows]] = -1
+            ids, counts, seen = self._in_step(symbols, skips=skips[rows])
+            made = np.empty(len(rows), NODE)
+            made["start"], made["size"], made["skips"], made["last"] = start[rows], size[rows], skips[rows], last[rows]
+            made["n_ids"], made["more"] = counts, seen - last[rows] - 1
+            for name, pool, n in (("first_id", self.ids, counts), ("child", self.children, made["more"])):
+                made[name] = pool.n + np.cumsum(n) - n
+            self.ids.add(ids)
+            self.children.add(np.full(int(made["more"].sum()), -1, np.int32))
+            numbers[rows] = self.nodes.n + np.arange(len(rows))
+            self.nodes.add(made)
+        return numbers
+
+    def _learn(self, parts: list[str]) -> None:
+        """Makes the nodes of new parts, with nothing skipped."""
         import numpy as np
 
-        out: list = [None] * len(parts)
-        for rows, symbols, odd in self._symbols(parts):
-            for r in rows[odd].tolist():
-                ids, taken = self._agenda(parts[r], skip=lambda at, i, piece, own=set(skips[r].tolist()): at in own)
-                out[r] = array("I", ids).tobytes(), taken
-            plain = rows[~odd]
-            ids, taken = self._in_step(symbols[~odd], None, skips[plain])
-            for r, x, n in zip(plain.tolist(), ids, taken.tolist()):
-                out[r] = x, n
-        return out
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        start = self.symbols.n + np.cumsum(size) - size
+        self.symbols.add(self.pieces.symbols(parts))
+        numbers = self._add(start, size, np.zeros((len(parts), 2), np.uint64), np.full(len(parts), -1))
+        self.roots.update(zip(parts, numbers.tolist()))
 
-    def _symbols(self, parts: list[str]):
-        """Parts of 1 to 32 characters in groups of like length: their rows, their symbols (-1 after the last), and which have a character without a piece."""
+    def _grow(self, node, taken):
+        """Makes the nodes where, after so many further candidates of each node, one is skipped."""
         import numpy as np
 
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        for low, high in ((0, 1), (1, 6), (6, 10), (10, 16), (16, SHORT)):
-            rows = np.flatnonzero((sizes > low) & (sizes <= high))
-            if len(rows):
-                chars = np.frombuffer("".join([parts[i] for i in rows.tolist()]).encode("utf-32-le", "surrogatepass"), "<u4")
-                filled = np.arange(high)[None, :] < sizes[rows][:, None]
-                symbols = np.full((len(rows), high), -1, np.int32)
-                symbols[filled] = self.pieces.of_char[chars]
-                yield rows, symbols, ((symbols < 0) & filled).any(axis=1)
+        of = self.nodes.held[node]
+        at, skips = of["last"] + 1 + taken, of["skips"]
+        skips[np.arange(len(at)), at >> 6] |= np.uint64(1) << (at & 63).astype(np.uint64)
+        return self._add(of["start"], of["size"], skips, at)
 
     def _varied(self, texts: list[str], keys: list) -> list[bytes]:
         """encode() with draws for every occurrence of a part.
@@ -225,41 +270,47 @@ class DropoutEncoder:
         import numpy as np
         import xxhash
 
-        if len(self.nodes) > 2 * self.limit:
+        if self.nodes.n > 2 * self.limit:
             self._forget()
         split = [self.pieces.parts.findall(" " + t) if t else [] for t in texts]
         parts = [p for row in split for p in row]
-        short = [p for p in set(parts) - self.roots.keys() if len(p) <= SHORT]
-        known = self.pieces.known
-        for a in range(0, len(short), 8192):
-            for p, ids in zip(short[a : a + 8192], self.whole.merge_all(short[a : a + 8192], 0)):
-                bytewise = sum(len(c.encode()) - 1 for c in p if c not in known)
-                self.roots[p] = self._node(p, (), ids, len(p) - (len(ids) // 4 - bytewise))
         node = np.fromiter(map(self.roots.get, parts, repeat(-1)), np.int64, len(parts))
+        missing = np.flatnonzero(node < 0).tolist()
+        if new := list({p for p in map(parts.__getitem__, missing) if len(p) <= SHORT}):
+            self._learn(new)
+            node[missing] = np.fromiter(map(self.roots.get, map(parts.__getitem__, missing), repeat(-1)), np.int64, len(missing))
         ends = np.cumsum([0, *map(len, split)])
         place = np.arange(len(parts)) - np.repeat(ends[:-1], np.diff(ends))
         document = np.array([xxhash.xxh3_64_intdigest(str(k), seed=self.seed) for k in keys], np.uint64)
         own = _mixed(np.repeat(document, np.diff(ends)), place)
         going, draw, keep = np.flatnonzero(node >= 0), 0, 1 - self.rate
+        none = keep ** np.arange(SHORT + 1.0)  # that none of so many candidates is skipped
         while len(going):
-            more = np.frombuffer(self.more, np.int64)[node[going]]
+            more = self.nodes.held["more"][node[going]]
             u = ((_mixed(own[going], np.full(len(going), draw)) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
-            skip = u >= keep ** more.astype(np.float64)
+            skip = u >= none[more]
             going, u, more = going[skip], u[skip], more[skip]
             taken = np.minimum(np.floor(np.log(u) / np.log(keep)).astype(np.int64), more - 1) if keep > 0 else np.zeros(len(going), np.int64)
-            steps, which = np.unique(node[going] * 64 + taken, return_inverse=True)
-            steps = steps.tolist()
-            self._grow([k for k in steps if k not in self.children])
-            node[going] = np.fromiter(map(self.children.__getitem__, steps), np.int64, len(steps))[which]
+            at = self.nodes.held["child"][node[going]] + taken
+            if len(lack := np.flatnonzero(self.children.held[at] < 0)):
+                slots, first = np.unique(at[lack], return_index=True)
+                first = lack[first]
+                # made first: the table of children grows with them
+                made = self._grow(node[going[first]], taken[first])
+                self.children.held[slots] = made
+            node[going] = self.children.held[at]
             draw += 1
-        known_nodes = len(self.ids)
-        for at in np.flatnonzero(node < 0).tolist():
-            node[at] = len(self.ids)
-            self.ids.append(array("I", self.merge(parts[at], 0, int(own[at]))).tobytes())
-        node, ends = node.tolist(), ends.tolist()
-        out = [b"".join(map(self.ids.__getitem__, node[a:b])) for a, b in zip(ends, ends[1:])]
-        del self.ids[known_nodes:]
-        return out
+        of = self.nodes.held[["first_id", "n_ids"]][node]
+        first, n, known = of["first_id"], of["n_ids"].astype(np.int64), self.ids.n
+        for k in np.flatnonzero(node < 0).tolist():
+            long = self.merge(parts[k], 0, int(own[k]))
+            first[k], n[k] = self.ids.n, len(long)
+            self.ids.add(long)
+        to = np.concatenate([[0], np.cumsum(n)])
+        whole = self.ids.held[np.repeat(first - to[:-1], n) + np.arange(to[-1])].tobytes()
+        self.ids.n = known
+        cuts = (4 * to[ends]).tolist()
+        return [whole[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def stream(self, key) -> int:
         """The stream of a document id."""
@@ -328,74 +379,89 @@ class DropoutEncoder:
         import xxhash
 
         out: list[bytes] = [b""] * len(parts)
-        for rows, symbols, odd in self._symbols(parts):
-            for r in rows[odd].tolist():
-                out[r] = array("I", self.merge(parts[r], stream)).tobytes()
-            plain = rows[~odd].tolist()
-            base = np.array([xxhash.xxh3_64_intdigest(parts[r], seed=self.seed + stream) for r in plain] if self.least else np.zeros(len(plain)), np.uint64)
-            for r, ids in zip(plain, self._in_step(symbols[~odd], base)[0]):
-                out[r] = ids
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        for rows, high in _alike(np.where(size > SHORT, 0, size)):
+            some = [parts[r] for r in rows.tolist()]
+            symbols = np.full((len(rows), high), -1, np.int32)
+            symbols[np.arange(high) < size[rows][:, None]] = self.pieces.symbols(some)
+            base = np.array([xxhash.xxh3_64_intdigest(p, seed=self.seed + stream) for p in some], np.uint64) if self.least else None
+            ids, counts, _ = self._in_step(np.ascontiguousarray(symbols.T), base)
+            whole, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+            for r, a, b in zip(rows.tolist(), [0, *ends], ends):
+                out[r] = whole[a:b]
         for r, part in enumerate(parts):
             if len(part) > SHORT:
                 out[r] = array("I", self.merge(part, stream)).tobytes()
         return out
 
-    def _in_step(self, symbols, base, skips=None):
-        """The ids of rows of symbols (-1 after the last), as bytes, and the number of candidates of each.
+    def _in_step(self, symbols, base=None, skips=None):
+        """Ids of columns of symbols (-1 after the last) one after the other, the number of ids and of candidates of each.
 
-        Skipped are the candidates whose numbers are in the row's skips, or, without skips, those that the hash of the base says.
+        Skipped are the candidates whose numbers are set in the column's skips, or those that the hash of its base says.
+        Symbols stay at their places; each has those before and after it, and the last row stands for neither.
         """
         import numpy as np
 
-        n, width = symbols.shape
-        seen = np.zeros(n, np.int64)
-        if width == 1:
-            return [x.tobytes() for x in symbols.astype("<u4")], seen
-        places = np.tile(np.arange(width, dtype=np.int64), (n, 1))
-
-        def candidate(row, at):
-            """The piece that the symbols at a place and after it make and its rank, or NEVER if there is none or it is skipped."""
-            piece = self.pieces.joined(symbols[row, at], symbols[row, at + 1])
-            rank = np.where(piece >= 0, self.pieces.rank[np.maximum(piece, 0)], NEVER)
-            if self.least and skips is None:
+        width, n = symbols.shape
+        final, seen, column = np.empty((width, n), np.int32), np.zeros(n, np.int64), np.arange(n)
+        symbols = np.concatenate([symbols, np.full((1, n), -1, np.int32)])
+        after = np.repeat(np.arange(1, width + 2, dtype=np.int32), n).reshape(-1, n)
+        before = after - 2
+        after[width], before[0], before[width] = width, width, width
+        best, piece = np.full((width + 1, n), NEVER, np.int32), np.full((width + 1, n), -1, np.int32)
+
+        def set_candidates(at, place, of, left, right):
+            """Which piece the symbols left and right make, and its rank and place, or NEVER if there is none or it is skipped."""
+            made = self.pieces.joined(left, right)
+            rank = np.where(made >= 0, self.pieces.rank[made] * 32 + place, NEVER)
+            if base is not None:
                 with np.errstate(over="ignore"):
-                    h = (base[row] ^ (places[row, at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.maximum(piece, 0).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+                    h = (base[of] ^ (place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.maximum(made, 0).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
                     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
                 rank[(h >> np.uint64(32)) < self.least] = NEVER
-            return rank, piece
-
-        rank, piece = candidate(np.repeat(np.arange(n), width - 1), np.tile(np.arange(width - 1), n))
-        rank = np.concatenate([rank.reshape(n, width - 1), np.full((n, 1), NEVER, np.int32)], axis=1)
-        piece = np.concatenate([piece.reshape(n, width - 1), np.full((n, 1), -1, np.int32)], axis=1)
-        columns = np.arange(width)
-        active = np.arange(n)
-        while len(active):
-            at = rank[active].argmin(axis=1)
-            going = rank[active, at] < NEVER
-            active, at = active[going], at[going]
-            if not len(active):
-                break
-            if skips is not None:
-                skipped = (skips[active] == seen[active][:, None]).any(axis=1)
-                seen[active] += 1
-                rank[active[skipped], at[skipped]] = NEVER
-                rows, at = active[~skipped], at[~skipped]
+            best.ravel()[at], piece.ravel()[at] = rank, made
+
+        at = np.flatnonzero(symbols[1:].ravel() >= 0)
+        set_candidates(at, at // n, at % n, symbols.ravel()[at], symbols.ravel()[at + n])
+        step = 0
+        while True:
+            least = best[:width].min(axis=0)
+            going = np.flatnonzero(least < NEVER)
+            if len(going) < 0.75 * n or not len(going):
+                # the others have ended
+                ended = np.flatnonzero(least == NEVER)
+                final[:, column[ended]] = symbols[:width, ended]
+                if not len(going):
+                    break
+                symbols, after, before, best, piece = (x.take(going, axis=1) for x in (symbols, after, before, best, piece))
+                column, n, least, going = column[going], len(going), least[going], np.arange(len(going))
             else:
-                seen[active] += 1
-                rows = active
-            made = piece[rows, at]
-            # what stands after the joined pair moves one place to the left
-            source = np.minimum(columns[None, :] + (columns[None, :] > at[:, None]), width - 1)
-            for table, end in ((symbols, -1), (places, 0), (rank, NEVER), (piece, -1)):
-                moved = np.take_along_axis(table[rows], source, axis=1)
-                moved[:, -1] = end
-                table[rows] = moved
-            symbols[rows, at] = made
-            for row, where in ((rows, at), (rows[at > 0], at[at > 0] - 1)):
-                ok = where < width - 1
-                rank[row[ok], where[ok]], piece[row[ok], where[ok]] = candidate(row[ok], where[ok])
-        whole, ends = symbols[symbols >= 0].astype("<u4").tobytes(), (4 * np.cumsum((symbols >= 0).sum(axis=1))).tolist()
-        return [whole[a:b] for a, b in zip([0, *ends], ends)], seen
+                least = least[going]
+            seen[column[going]] += 1
+            place = least & 31
+            at = place.astype(np.int64) * n + going
+            if skips is not None:
+                skipped = (skips[column[going], step >> 6] >> np.uint64(step & 63) & np.uint64(1)).astype(bool)
+                best.ravel()[at[skipped]] = NEVER
+                going, place, at = going[~skipped], place[~skipped], at[~skipped]
+            step += 1
+            made = piece.ravel()[at]
+            gone = after.ravel()[at].astype(np.int64) * n + going
+            right = after.ravel()[gone]
+            right_at = right.astype(np.int64) * n + going
+            left = before.ravel()[at]
+            left_at = left.astype(np.int64) * n + going
+            symbols.ravel()[at], symbols.ravel()[gone], best.ravel()[gone] = made, -1, NEVER
+            after.ravel()[at], before.ravel()[right_at] = right, place
+            # the pair with the symbol after, and that with the symbol before
+            set_candidates(
+                np.concatenate([at, left_at]), np.concatenate([place, left]), np.tile(column[going], 2),
+                np.concatenate([made, symbols.ravel()[left_at]]), np.concatenate([symbols.ravel()[right_at], made]),
+            )
+        final = final.T
+        filled = final >= 0
+        ids, counts = self.pieces.spelled_out(final[filled], filled.sum(axis=1))
+        return ids, counts, seen
 
     def encode(self, texts: list[str], keys: list) -> list[bytes]:
         """For each text its ids as little-endian 32-bit integers."""

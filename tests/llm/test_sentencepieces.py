@@ -99,3 +99,32 @@ def test_segmentations_are_as_frequent_as_with_a_draw_for_each_candidate():
         got = Counter(tuple(ids(encoder, word, k)) for k in range(n))
         want = Counter(tuple(encoder.merge(" " + word, 0, rnd.getrandbits(64))) for _ in range(n))
         assert all(abs(got[x] - want[x]) < 0.03 * n for x in got | want)
+
+
+def test_short_parts_of_any_characters_are_worked_off_in_step(monkeypatch):
+    import math
+
+    import xxhash
+
+    rate, keep = 0.3, 1 - 0.3
+    encoder = P.DropoutEncoder(PATH, rate)
+    texts = ["\nThedhely $$$ xé你\U0001f600 orchards%%%\x00", prose(7, 60), ""]
+
+    def with_draws_one_by_one(text, key):
+        document, out = np.array([xxhash.xxh3_64_intdigest(str(key), seed=encoder.seed)], np.uint64), []
+        for place, part in enumerate(encoder.pieces.parts.findall(" " + text) if text else []):
+            own, skipped, at = P._mixed(document, np.array([place])), set(), -1
+            for draw in range(40):
+                u = (int(P._mixed(own, np.array([draw]))[0] >> np.uint64(11)) + 0.5) * 2.0**-53
+                at += 1 + math.floor(math.log(u) / math.log(keep))
+                skipped.add(at)
+            out += encoder._agenda(part, lambda number, i, piece: number in skipped)[0]
+        return out
+
+    want = [[with_draws_one_by_one(t, k) for t in texts] for k in range(30)]
+
+    def slow(*_):
+        raise AssertionError("a short part was merged alone")
+
+    monkeypatch.setattr(P.DropoutEncoder, "_agenda", slow)
+    assert [[ids(encoder, t, k) for t in texts] for k in range(30)] == want
