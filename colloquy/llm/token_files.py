@@ -29,7 +29,7 @@ MAGIC = b"IDPLANE1"
 BLOCK_IDS = 1 << 16
 #: Bytes of text that one file takes.
 FILE_TEXT_BYTES = 64 << 20
-#: Entries and characters of a worker's table of encoded words; it starts anew when full. Longer runs are not kept.
+#: Entries and characters of a worker's table of encoded words and runs of words; it starts anew when full. Longer runs are not kept.
 CACHE_WORDS, CACHE_CHARACTERS, LONGEST_RUN = 700_000, 32 << 20, 256
 #: Texts encoded together.
 TEXTS = 256
@@ -173,36 +173,52 @@ UNUSUAL = re.compile(f"[^{_PLAIN}]")
 OTHER = re.compile(f"([^ \\t\\n\\r]*[^{_PLAIN}][^ \\t\\n\\r]*)")
 
 
+class Runs(dict):
+    """Ids of runs without white space, in lower case and of the characters above, and of their words, each encoded when it is first asked for."""
+
+    def __init__(self, model):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenize, self.bytewise = model.tokenize, ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.characters = 0
+
+    def _word(self, word: str) -> bytes:
+        return array("I", [t.id for t in self.tokenize(word if word.isascii() else self.bytewise(word)[0][0])]).tobytes()
+
+    def __missing__(self, run: str) -> bytes:
+        if run.isalpha() or len(words := WORDS.findall(run)) == 1:
+            ids = self._word(run)
+        else:
+            ids = b"".join([self[w] for w in words])
+        if len(run) <= LONGEST_RUN:
+            self[run] = ids
+            self.characters += len(run)
+        return ids
+
+    def clear(self) -> None:
+        super().clear()
+        self.characters = 0
+
+
 class WordEncoder:
     """Ids of whole texts by a word tokenizer file, each word encoded once while the table lasts.
 
-    Such a tokenizer drops white space and ends every word's last piece with the
-    suffix for word ends, so a text's ids are those of its words in order, and
-    many words encoded in one call can be told apart.
+    Such a tokenizer drops white space and its model sees each word alone, so a
+    text's ids are those of its words in order. No word holds white space, so a
+    text is looked up by runs without any, and only new runs are split.
     """
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import numpy as np
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self.words: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
-        self.characters = 0
-        described = json.loads(self.tokenizer.to_str())
-        suffix = described["model"].get("end_of_word_suffix")
-        if not suffix:
+        if not self.tokenizer.model.end_of_word_suffix:
             raise ValueError(f"{path} has no suffix for word ends")
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        for piece, i in self.tokenizer.get_vocab().items():
-            self.ends[i] = piece.endswith(suffix)
-        # the same model for words that are split and in lower case already
-        described["normalizer"] = None
-        described["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
-        self.by_words = Tokenizer.from_str(json.dumps(described))
+        self.words = Runs(self.tokenizer.model)
+        self.runs: dict[str, bytes] = {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     @classmethod
@@ -222,46 +238,22 @@ class WordEncoder:
                 self.runs[run] = got
         return got
 
-    def _learn(self, words: list[str]) -> None:
-        """Encodes new words, many in a call."""
-        import numpy as np
-
-        for a in range(0, len(words), 512):
-            part = words[a : a + 512]
-            ids = np.array(self.by_words.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != len(part):
-                raise ValueError("the tokenizer does not split as its words do")
-            whole, at = ids.tobytes(), 0
-            for word, end in zip(part, (4 * ends).tolist()):
-                self.words[word] = whole[at:end]
-                at = end
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, text.lower().split()))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian 32-bit integers."""
-        split = []
+        out = []
         for text in texts:
+            if len(self.words) > self.limit or self.words.characters > CACHE_CHARACTERS:
+                self.words.clear()
             if any(x in text for x in self.special):
-                split.append([(text, None)])
+                out.append(self._library(text))
             elif UNUSUAL.search(text):
-                pieces = OTHER.split(text)
-                split.append([(p, None) if k % 2 else (None, WORDS.findall(p.lower())) for k, p in enumerate(pieces)])
+                out.append(b"".join([self._library(p) if k % 2 else self._plain(p) for k, p in enumerate(OTHER.split(text))]))
             else:
-                split.append([(None, WORDS.findall(text.lower()))])
-        used: set[str] = set()
-        for pieces in split:
-            for _, words in pieces:
-                if words:
-                    used.update(words)
-        new = used - self.words.keys()
-        more = sum(map(len, new))
-        if len(self.words) + len(new) > self.limit or self.characters + more > CACHE_CHARACTERS:
-            self.words, new, self.characters = {}, used, 0
-            more = sum(map(len, new))
-        self.characters += more
-        self._learn(list(new))
-        get = self.words.__getitem__
-        return [b"".join([b"".join(map(get, words)) if words is not None else self._library(run) for run, words in pieces]) for pieces in split]
+                out.append(self._plain(text))
+        return out
 
 
 def _write(folder: str, path: str, end_id: int | None, kind: str, width: int):

@@ -58,3 +58,21 @@ def test_files_of_awkward_rows(awkward, awkward_rows, empty):
     ids = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
     assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
     assert T.read_token_files(T.write_token_files(empty, PATH)).collect() == []
+
+
+def test_runs_met_before_are_not_split_again(monkeypatch):
+    encoder = T.WordEncoder(PATH)
+    texts = ["Don't stop, it's a's,b''s '''s!'d 12.5%; ÉTÉ's\xa0Ñandú³\x0bx", "over\tthe\r\nhills ... it's"]
+    want = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(c, "<u4").tolist() for c in encoder.encode(texts)] == want
+    monkeypatch.setattr(T, "WORDS", None)
+    assert [np.frombuffer(c, "<u4").tolist() for c in encoder.encode(texts)] == want
+
+
+def test_tables_that_are_full_and_runs_that_are_too_long_to_keep():
+    encoder, rnd = T.WordEncoder(PATH, limit=20), random.Random(9)
+    texts = [" ".join("".join(rnd.choices("abcé1.,'s你", k=rnd.choice([1, 3, 9, 700]))) for _ in range(8)) for _ in range(60)]
+    want = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(c, "<u4").tolist() for c in encoder.encode(texts)] == want
+    assert len(encoder.words) < 2000 and max(map(len, encoder.words)) <= T.LONGEST_RUN
+    assert encoder.words.characters == sum(map(len, encoder.words))
