@@ -464,7 +464,8 @@ def short_comment_rows(spark, sf_dir):
     SELECT 'd' || doc_id AS post_id, source AS subreddit, 'full_scrape' AS source_type, '' AS matched_keyword, 'T ' || doc_id AS title, CASE WHEN doc_id % 5 = 0 THEN '' ELSE (doc_id % 5)::VARCHAR END AS score, n_chars::VARCHAR AS num_comments,
            '' AS created_utc, '' AS created_iso, 'https://www.reddit.com/r/d' || doc_id AS permalink FROM documents""")
 def discovery_export(spark, sf_dir):
-    rows = _docs(spark, sf_dir).select(F.concat(F.lit("d"), "doc_id").alias("post_id"), F.col("source").alias("subreddit"), F.lit("full_scrape").alias("source_type"), F.lit(None).cast("string").alias("matched_keyword"), F.concat(F.lit("T\n"), "doc_id").alias("title"), (F.col("doc_id") % 5).alias("score"), F.col("n_chars").alias("num_comments"), F.lit(0.0).alias("created_utc"), F.concat(F.lit("/r/d"), "doc_id").alias("permalink"))
+    """The count comes as text, so that a zero stays; the score as a number, so that it goes."""
+    rows = _docs(spark, sf_dir).select(F.concat(F.lit("d"), "doc_id").alias("post_id"), F.col("source").alias("subreddit"), F.lit("full_scrape").alias("source_type"), F.lit(None).cast("string").alias("matched_keyword"), F.concat(F.lit("T\n"), "doc_id").alias("title"), (F.col("doc_id") % 5).alias("score"), F.col("n_chars").cast("string").alias("num_comments"), F.lit(0.0).alias("created_utc"), F.concat(F.lit("/r/d"), "doc_id").alias("permalink"))
     return exports.discovered(rows)
 
 

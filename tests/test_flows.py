@@ -203,3 +203,17 @@ def test_queries_against_sql(spark, db, name):
 def test_entry_points(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_discovery_export_keeps_counts_of_zero_that_come_as_text(spark, tmp_path):
+    """The query against its SQL on documents without characters, without a size and without a source."""
+    docs = [(5, "", "en", "s1", 0), (6, "ab", "en", None, 2), (7, None, "en", "s2", None)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = __spark_entry__.queries()["discovery_export"](spark, str(tmp_path))
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+        wanted = con.execute(f"SELECT {', '.join(got.columns)} FROM ({__spark_entry__.oracle_sql()['discovery_export']}) ORDER BY post_id").fetchall()
+    assert [tuple(r) for r in got.orderBy("post_id").collect()] == wanted
+    assert wanted[0][6] == "0"
+    numbers = spark.createDataFrame([("a", "s", "t", "k", "x", 0, 0, 0.0, "/p"), ("b", "s", "t", None, "x", 3, 4, 1.0, None)], "post_id string, subreddit string, source_type string, matched_keyword string, title string, score int, num_comments int, created_utc double, permalink string")
+    assert [(r.matched_keyword, r.score, r.num_comments, r.created_utc, r.permalink) for r in exports.discovered(numbers).orderBy("post_id").collect()] == [("k", "", "", "", "https://www.reddit.com/p"), ("", "3", "4", "1.0", "")]
