@@ -1,7 +1,9 @@
 import json
 
+import duckdb
 import pytest
 
+from colloquy.plans import registry
 from colloquy.sources import files, html, jsontree
 
 
@@ -106,6 +108,19 @@ def test_malformed_pages(spark):
     assert html.parse(deep).text() == "x"
 
 
+def test_references_that_are_cut_off_stay_text(spark):
+    """Titles cut to a length before or after any character of a reference, against the query's SQL."""
+    cuts = ["a &amp", "&am", "&a", "&", "&quot", "x &quo y", "&copy 1", "&amp;amp", "&amp;lt;", "&amp;&lt;b&gt; &quot;q&quot; &copy; &middot;", "&amp;&amp", "&ampx;", "&&amp;&"]
+    pages = spark.createDataFrame([(n, f'<title>{c}</title><h1>{c}</h1><a href="/?a=1&copy=2">x</a>') for n, c in enumerate(cuts)], "page_id long, html string")
+    got = [tuple(r) for r in html.page_facts(pages, ["page_id"]).orderBy("page_id").collect()]
+    with duckdb.connect() as con:
+        con.execute("CREATE TABLE pages (page_id BIGINT, html VARCHAR)")
+        con.executemany("INSERT INTO pages VALUES (?, ?)", [tuple(r) for r in pages.collect()])
+        assert got == con.execute(f"SELECT page_id, title, h1, links FROM ({registry.ORACLES['parse_pages']}) ORDER BY 1").fetchall()
+    assert [r[1] for r in got][:4] == ["a &amp", "&am", "&a", "&"]
+    assert html.page_facts(spark.createDataFrame([(1, "<title>&#39;&#x41;&eacute; &#4</title>")], "page_id long, html string"), ["page_id"]).first().title == "'Aé &#4"
+
+
 def item(i, replies=None, more=None):
     out = {"id": i, "text": f"body {i}"}
     if replies is not None or more:
