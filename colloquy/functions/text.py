@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,15 +32,17 @@ def clean_lines(c: str | Column) -> Column:
     return F.regexp_replace(F.replace(F.coalesce(column(c), F.lit("")), F.lit("\n"), F.lit(" ")), f"^{BLANK}+|{BLANK}+$", "")
 
 
-@F.pandas_udf(T.StringType())
-def normalize_for_match(texts: pd.Series) -> pd.Series:
+def fold(text: str | None) -> str:
     """Compatibility decomposition without marks, in lower case."""
-    import unicodedata
+    text = text or ""
+    if text.isascii():
+        return text.lower()
+    # no character below U+0300 is a mark
+    return re.sub("[^\x00-\u02ff]+", lambda run: "".join(c for c in run[0] if not unicodedata.combining(c)), unicodedata.normalize("NFKD", text)).lower()
 
-    def fold(text: str | None) -> str:
-        return "".join(c for c in unicodedata.normalize("NFKD", text or "") if not unicodedata.combining(c)).lower()
 
-    return texts.map(fold)
+#: fold() row by row: texts go to Python by the hundred, not in batches of 10,000, whose size grows with the texts.
+normalize_for_match = F.udf(fold, T.StringType(), useArrow=False)
 
 
 def is_title(c: str | Column) -> Column:

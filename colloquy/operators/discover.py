@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
-from ..functions.text import clean_text, is_gone, is_title, normalize_for_match, normalize_post_id, parse_created, parse_int, strip_fullname
+from ..functions.text import clean_text, fold, is_gone, is_title, normalize_for_match, normalize_post_id, parse_created, parse_int, strip_fullname
 from ..session import cut
 
 
@@ -64,11 +63,6 @@ def match_keywords(posts: DataFrame, keywords: list[str], text: str = "title") -
     An empty keyword matches all. Posts are normalised once. A short keyword list
     travels inside the plan; a long one goes to the tasks as an automaton.
     """
-    import unicodedata
-
-    def fold(k: str) -> str:
-        return "".join(c for c in unicodedata.normalize("NFKD", k) if not unicodedata.combining(c)).lower()
-
     folded = [fold(k) for k in keywords]
     if len(keywords) <= KEYWORDS_IN_PLAN:
         hits = F.array_compact(F.array(*[F.when(F.col("__text").contains(f), F.struct(F.lit(i).alias("kw_seq"), F.lit(k).alias("keyword"))) for i, (f, k) in enumerate(zip(folded, keywords))]))
@@ -78,10 +72,11 @@ def match_keywords(posts: DataFrame, keywords: list[str], text: str = "title") -
 
 
 def _found_places(folded: list[str]):
-    """A function from texts to the places, in the list, of the keywords that they contain."""
+    """A function from texts to the places, in the list, of the keywords that they contain; texts go to Python by the hundred."""
 
-    @F.pandas_udf("array<int>")
-    def found(texts: pd.Series) -> pd.Series:
+    made: list = []  # filled once in every task
+
+    def finder():
         always = [i for i, f in enumerate(folded) if not f]
         same: dict[str, list[int]] = {}
         for i, f in enumerate(folded):
@@ -90,14 +85,19 @@ def _found_places(folded: list[str]):
         try:
             import ahocorasick
         except ImportError:
-            return texts.map(lambda t: sorted(always + [i for f, at in same.items() if f in t for i in at]))
+            return lambda t: sorted(always + [i for f, at in same.items() if f in t for i in at])
         automaton = ahocorasick.Automaton()
         for f, at in same.items():
             automaton.add_word(f, at)
         automaton.make_automaton()
-        return texts.map(lambda t: sorted({*always, *(i for _, at in automaton.iter(t) for i in at)}))
+        return lambda t: sorted({*always, *(i for _, at in automaton.iter(t) for i in at)})
+
+    def found(text: str) -> list[int]:
+        if not made:
+            made.append(finder())
+        return made[0](text)
 
-    return found
+    return F.udf(found, "array<int>", useArrow=False)
 
 
 def literal_hits(results: DataFrame, title: str = "title", term: str = "term") -> DataFrame:

@@ -1,6 +1,9 @@
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
+from colloquy.functions import text as X
 from colloquy.operators import discover as D
 from colloquy.operators import state as S
 
@@ -38,6 +41,19 @@ def test_keywords(spark):
     assert rows(D.match_keywords(posts, many).select("post_id", "kw_seq", "keyword")) == sorted([(1, 0, "crédito"), (1, 1, "tarjeta"), (1, 304, "TARJETA"), (2, 0, "crédito"), (1, 303, ""), (2, 303, ""), (3, 303, "")], key=str)
 
 
+def test_texts_go_to_python_by_the_hundred(spark):
+    """Matching puts no batch of 10,000 texts into a worker, and folds as the plain definition does."""
+    odd = ["", "ASCII Only", "Crème BRÛLÉE", "ﬁ ² ½ Å", "İ ΑΣ ς ß ẞ", "한국어 각", "नि à̖ ạ̈", "\ufdfa \U0001d400 e\u0301\u0327x", "ـً عربي", "A\x00\u02ff\u0300Z"]
+    plain = ["".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).lower() for t in odd]
+    posts = spark.createDataFrame([(n, t, "x") for n, t in enumerate(odd)], "n int, title string, term string")
+    assert [r[0] for r in posts.orderBy("n").select(X.normalize_for_match("title")).collect()] == plain
+    for df in (D.match_keywords(posts, ["e"]), D.match_keywords(posts, [*(f"none{k}" for k in range(300)), "e"]), D.literal_hits(posts)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    for more in ([], [f"none{k}" for k in range(300)]):
+        assert sorted(r.n for r in D.match_keywords(posts, ["é", *more]).collect()) == [n for n, t in enumerate(plain) if "e" in t]
+
+
 def test_titles(spark):
     df = spark.createDataFrame([("12 comments", "share", "A  title"), ("1.2 votes", "", None), (None, "Real", "x")], "a string, b string, c string")
     assert [r[0] for r in df.select(D.title_of("a", "b", "c")).collect()] == ["A title", "", "Real"]
